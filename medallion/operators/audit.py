@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medallion.operators.latest import latest_per_key
 from medallion.operators.upsert import upsert_frames
 
 RUN_KEYS = ["run_id", "table_id"]
@@ -18,7 +19,10 @@ INPROGRESS, SUCCESS, FAILED = "INPROGRESS", "SUCCESS", "FAILED"
 
 
 def apply_begin(runs: DataFrame, begins: DataFrame) -> DataFrame:
-    """``begins`` (run_id, table_id, layer, start_time): row set to INPROGRESS, end/count/error cleared."""
+    """``begins`` (run_id, table_id, layer, start_time): row set to INPROGRESS, end/count/error cleared.
+
+    Several begins for one (run_id, table_id) collapse to the latest start.
+    """
     rows = begins.select(
         F.col("run_id").cast("bigint"),
         F.col("table_id").cast("int"),
@@ -29,13 +33,14 @@ def apply_begin(runs: DataFrame, begins: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("number_of_records"),
         F.lit(None).cast("string").alias("error_message"),
     )
-    return upsert_frames(runs, rows, RUN_KEYS)
+    return upsert_frames(runs, rows, RUN_KEYS, order=["start_time"])
 
 
 def apply_end(runs: DataFrame, ends: DataFrame) -> DataFrame:
     """``ends`` (run_id, table_id, end_time, status, number_of_records, error_message).
 
     Like an UPDATE ... WHERE: only existing rows change, layer and start are kept.
+    Several ends for one (run_id, table_id) collapse to the latest end.
     """
     current = runs.select("run_id", "table_id", "layer", "start_time")
     new = ends.select(
@@ -46,7 +51,8 @@ def apply_end(runs: DataFrame, ends: DataFrame) -> DataFrame:
         F.col("number_of_records").cast("bigint"),
         F.col("error_message").cast("string"),
     )
-    updated = current.join(new, RUN_KEYS, "inner").select(*RUN_COLUMNS)
+    latest = latest_per_key(new, RUN_KEYS, ["end_time"], drop_null_keys=True)
+    updated = current.join(latest, RUN_KEYS, "inner").select(*RUN_COLUMNS)
     return upsert_frames(runs, updated, RUN_KEYS)
 
 

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import audit, registry
@@ -48,25 +48,61 @@ class RunRecord:
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, root: str, landing_root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, landing_root: str | None = None, namespace: str = ""):
         self.spark = spark
-        self.store = TableStore(spark, root)
+        self.store = TableStore(spark, root, namespace)
         self.root = root.rstrip("/")
         self.landing_root = (landing_root or f"{self.root}/landing").rstrip("/")
 
     # ---- metadata ------------------------------------------------------------------------
-    def setup(self, reset: bool = False) -> None:
-        """Layers + metadata tables seeded from ``medallion.seed`` (51 / 110 / 28 rows)."""
+    def setup(self, reset: bool = False, seed: bool = True) -> None:
+        """Layers + metadata tables, seeded from ``medallion.seed`` (51 / 110 / 28 rows)
+        unless ``seed=False`` (empty registry, tables added with ``register``)."""
         for db in ("bronze", "silver", "gold", METADATA):
             self.store.ensure_database(db)
         frames = registry.seed_frames(self.spark, self.landing_root)
         for name in METADATA_TABLES:
             if reset or not self.store.exists(METADATA, name):
-                self.store.replace(METADATA, name, frames[name])
+                self.store.replace(METADATA, name, frames[name] if seed else frames[name].limit(0))
 
     def meta(self, name: str) -> DataFrame:
         return self.store.read(METADATA, name)
 
+    def register(
+        self,
+        table_id: int,
+        table_name: str,
+        source_system: str,
+        params: Mapping[str, str | None],
+        load_order: int = 1,
+        source_path: str | None = None,
+        schema_json: str | None = None,
+        initial_mark: str | None = "1900-01-01 00:00:00",
+    ) -> None:
+        """Add or replace one table's registry, parameter, watermark and schema rows."""
+        ts = now()
+        row = self.spark.createDataFrame(
+            [(table_id, table_name, source_system, None, table_name, source_path, "silver", "bronze", "silver", "gold", True, load_order)],
+            registry.TABLES_SCHEMA,
+        ).withColumn("created_at", F.lit(ts))
+        self.store.upsert(METADATA, "tables", row, ["table_id"])
+        prm = self.spark.createDataFrame(
+            [(table_id, k, v) for k, v in params.items() if v is not None], registry.PARAMS_SCHEMA
+        ).withColumn("created_at", F.lit(ts))
+        others = self.meta("table_parameters").filter(F.col("table_id") != F.lit(table_id))
+        self.store.replace(METADATA, "table_parameters", others.unionByName(prm))
+        if params.get("load_type") in ("APPEND", "MERGE") and initial_mark is not None:
+            mark = self.spark.createDataFrame(
+                [(table_id, initial_mark, ts, None)],
+                "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
+            )
+            self.store.upsert(METADATA, "table_watermarks", mark, ["table_id"])
+        if schema_json is not None:
+            sch = self.spark.createDataFrame([(table_name, 1, schema_json, True)], registry.SCHEMAS_SCHEMA).withColumn(
+                "created_at", F.lit(ts)
+            )
+            self.store.upsert(METADATA, "schemas", sch, ["table_name", "schema_version"])
+
     def table_row(self, table_id: int) -> dict:
         rows = self.meta("tables").filter(F.col("table_id") == table_id).collect()
         if not rows:
@@ -124,7 +160,7 @@ class Lakehouse:
                 self.spark,
                 source_path or t["source_path"],
                 schema,
-                f"{bronze_db}.{name}",
+                self.store.qualified(bronze_db, name),
                 f"{self.store.table_dir(bronze_db, name)}/stream",
                 f"{self.root}/_checkpoints/{name}",
             )
@@ -142,9 +178,6 @@ class Lakehouse:
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
             last = self.last_mark(table_id) if uses_watermark(load_type, mark_col) else None
             src = with_bronze_audit(read(load_type, mark_col, last))
-            n = self.spark.sparkContext.accumulator(0)  # noqa: F841 - counted through observe below
-            from pyspark.sql import Observation
-
             obs = Observation(f"bronze_{table_id}_{int(time.time() * 1000)}")
             self.store.append(t["bronze_schema"] or "bronze", t["table_name"], src.observe(obs, F.count(F.lit(1)).alias("n")))
             rec.records = int(obs.get["n"])
@@ -174,10 +207,7 @@ class Lakehouse:
             incremental = uses_watermark(load_type, mark_col)
             last = self.last_mark(table_id) if incremental else None
             sl = incremental_slice(bronze, load_type, mark_col, last)
-            if "_rescued_data" in sl.columns:
-                sl = sl.drop("insert_timestamp", "source_file_name")
-            else:
-                sl = sl.drop("insert_timestamp", "source_file_name")
+            sl = sl.drop("insert_timestamp", "source_file_name")
             exists = self.store.exists(silver_db, name)
             if load_type == "MERGE" and exists:
                 keys = split_keys(key or "")
@@ -187,8 +217,6 @@ class Lakehouse:
                 stats = sl.agg(F.count(F.lit(1)).alias("n"), *( [F.max(mark_col).alias("mx")] if incremental else [])).first()
                 self.store.upsert(silver_db, name, sl, keys, order=[mark_col] if mark_col else None, strict=strict)
             else:
-                from pyspark.sql import Observation
-
                 obs = Observation(f"silver_{table_id}_{int(time.time() * 1000)}")
                 metrics = [F.count(F.lit(1)).alias("n")] + ([F.max(mark_col).alias("mx")] if incremental else [])
                 out = with_silver_audit(sl, as_of).observe(obs, *metrics)

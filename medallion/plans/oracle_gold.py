@@ -76,7 +76,7 @@ shipment_header AS (SELECT o_orderkey AS shipment_id, o_orderpriority AS shipmen
   CAST(o_orderkey AS VARCHAR) AS tracking_number, o_orderdate AS shipment_datetime FROM orders),
 shipment_item AS (SELECT l_orderkey AS shipment_id, l_linenumber AS item_id FROM lineitem),
 delivery_header AS (SELECT o_orderkey AS shipment_id,
-  o_orderdate + (o_orderkey % 72) * INTERVAL '1' HOUR AS actual_delivery_datetime FROM orders WHERE o_orderkey % 10 <> 0)"""
+  o_orderdate + (o_orderkey % 72) * INTERVAL '1' HOUR AS actual_delivery_datetime FROM orders WHERE o_orderstatus <> 'O')"""
 
 SHIPMENT = f"""
 WITH {SHIPMENT_VIEWS}

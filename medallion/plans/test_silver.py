@@ -89,7 +89,7 @@ def shipment_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("o_orderdate").alias("shipment_datetime"),
     )
     shipment_item = lineitem.select(F.col("l_orderkey").alias("shipment_id"), F.col("l_linenumber").alias("item_id"))
-    delivery_header = orders.filter(F.col("o_orderkey") % 10 != 0).select(
+    delivery_header = orders.filter(F.col("o_orderstatus") != "O").select(
         F.col("o_orderkey").alias("shipment_id"),
         F.timestamp_add("HOUR", F.col("o_orderkey") % 72, F.col("o_orderdate")).alias("actual_delivery_datetime"),
     )

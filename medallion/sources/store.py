@@ -20,14 +20,23 @@ VERSION_PREFIX = "v="
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``namespace`` prefixes every database name (``<namespace>_bronze`` ...), so
+    several pipelines can share one catalog."""
+
+    def __init__(self, spark: SparkSession, root: str, namespace: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.namespace = namespace
 
     # ---- names and paths -------------------------------------------------------------
-    @staticmethod
-    def fqn(database: str, table: str) -> str:
-        return f"`{database}`.`{table}`"
+    def db(self, database: str) -> str:
+        return f"{self.namespace}_{database}" if self.namespace else database
+
+    def qualified(self, database: str, table: str) -> str:
+        return f"{self.db(database)}.{table}"
+
+    def fqn(self, database: str, table: str) -> str:
+        return f"`{self.db(database)}`.`{table}`"
 
     def table_dir(self, database: str, table: str) -> str:
         return f"{self.root}/{database}/{table}"
@@ -51,10 +60,10 @@ class TableStore:
 
     # ---- catalog ---------------------------------------------------------------------
     def ensure_database(self, database: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db(database)}`")
 
     def exists(self, database: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{database}.{table}")
+        return self.spark.catalog.tableExists(self.qualified(database, table))
 
     def read(self, database: str, table: str) -> DataFrame:
         return self.spark.table(self.fqn(database, table))
@@ -63,7 +72,7 @@ class TableStore:
         self.ensure_database(database)
         name = self.fqn(database, table)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
+        self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
 
     # ---- writes ----------------------------------------------------------------------
     def replace(self, database: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
@@ -86,8 +95,8 @@ class TableStore:
         extra = set(df.columns) - set(cols)
         if extra:
             raise ValueError(f"columns not in {database}.{table}: {sorted(extra)}")
-        df.select(*cols).write.insertInto(f"{database}.{table}")
-        self.spark.catalog.refreshTable(f"{database}.{table}")
+        df.select(*cols).write.insertInto(self.qualified(database, table))
+        self.spark.catalog.refreshTable(self.qualified(database, table))
 
     def upsert(
         self,

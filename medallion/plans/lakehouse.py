@@ -215,12 +215,18 @@ class Lakehouse:
                 # mark: materialise it once (reliable checkpoint) so all three agree.
                 sl = with_silver_audit(sl, as_of).checkpoint(eager=True)
                 stats = sl.agg(F.count(F.lit(1)).alias("n"), *( [F.max(mark_col).alias("mx")] if incremental else [])).first()
-                self.store.upsert(silver_db, name, sl, keys, order=[mark_col] if mark_col else None, strict=strict)
+                self.store.upsert(
+                    silver_db, name, sl, keys, order=[mark_col] if mark_col else None, strict=strict, bucketed=True
+                )
             else:
                 obs = Observation(f"silver_{table_id}_{int(time.time() * 1000)}")
                 metrics = [F.count(F.lit(1)).alias("n")] + ([F.max(mark_col).alias("mx")] if incremental else [])
                 out = with_silver_audit(sl, as_of).observe(obs, *metrics)
-                if not exists or load_type == "FULL":
+                if not exists and load_type == "MERGE" and key:
+                    # first load of an upsert table: bucketed by its key from the start
+                    keys, n = split_keys(key), self.store.min_buckets()
+                    self.store.replace(silver_db, name, out.repartition(n, *keys), bucket_by=keys, buckets=n)
+                elif not exists or load_type == "FULL":
                     self.store.replace(silver_db, name, out)
                 else:
                     self.store.append(silver_db, name, out)

@@ -309,7 +309,7 @@ def silver_merge_composite(spark: SparkSession, d: str) -> DataFrame:
     base = lines.filter(F.col("l_shipdate") < _ts(SPLIT_DATE))
     updates = lines.filter(F.col("l_shipdate") >= _ts(UPDATE_FROM)).withColumn("l_quantity", F.col("l_quantity") + F.lit(1.0))
     store.replace("silver", "lineitem", base)
-    store.upsert("silver", "lineitem", updates, LINE_KEY)
+    store.upsert("silver", "lineitem", updates, LINE_KEY, bucketed=True)
     return store.read("silver", "lineitem")
 
 

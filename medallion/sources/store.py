@@ -6,6 +6,11 @@ table, so a table can be rebuilt from a plan that reads it (Spark refuses to
 overwrite a table it is reading). A failed write leaves an unreferenced
 directory and the table unchanged. One writer per table; readers are not
 isolated from the repoint.
+
+Upsert targets can be bucketed by their key (``bucketBy``): the MERGE's
+anti-join then reads the target bucket by bucket without a shuffle and only
+the increment is shuffled. The bucket count doubles as the table grows so a
+bucket (one scan task) stays near ``BUCKET_BYTES``.
 """
 
 from __future__ import annotations
@@ -14,9 +19,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.operators.upsert import upsert_frames
+from medallion.operators.upsert import split_keys, upsert_frames
 
 VERSION_PREFIX = "v="
+STAGE_SUFFIX = "__stage"
+# Target on-disk size of one bucket of an upsert table (one scan task).
+BUCKET_BYTES = 512 * 1024 * 1024
 
 
 class TableStore:
@@ -75,17 +83,74 @@ class TableStore:
         self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
 
     # ---- writes ----------------------------------------------------------------------
-    def replace(self, database: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write ``df`` as a new version and make it the table (schema replaced too)."""
+    def next_path(self, database: str, table: str) -> str:
         vs = self.versions(database, table)
-        path = f"{self.table_dir(database, table)}/{VERSION_PREFIX}{(vs[-1] + 1 if vs else 1):06d}"
+        return f"{self.table_dir(database, table)}/{VERSION_PREFIX}{(vs[-1] + 1 if vs else 1):06d}"
+
+    def replace(
+        self,
+        database: str,
+        table: str,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        bucket_by: Sequence[str] = (),
+        buckets: int | None = None,
+    ) -> str:
+        """Write ``df`` as a new version and make it the table (schema replaced too).
+
+        With ``bucket_by`` the version is written bucketed (``buckets`` files per
+        writer task at most) through a staging catalog entry that is then
+        renamed, so the table keeps its bucket spec.
+        """
+        path = self.next_path(database, table)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._point(database, table, path)
+        if not bucket_by:
+            w.parquet(path)
+            self._point(database, table, path)
+            return path
+        self.ensure_database(database)
+        stage = self.fqn(database, table + STAGE_SUFFIX)
+        self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        w.bucketBy(buckets or self.min_buckets(), *bucket_by).option("path", path).saveAsTable(
+            self.qualified(database, table + STAGE_SUFFIX)
+        )
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
+        self.spark.sql(f"ALTER TABLE {stage} RENAME TO {self.fqn(database, table)}")
         return path
 
+    # ---- bucketing -------------------------------------------------------------------
+    def min_buckets(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def bucket_spec(self, database: str, table: str) -> tuple[int, list[str]] | None:
+        """(bucket count, bucket columns) of a table, or None when not bucketed."""
+        info = {
+            r["col_name"]: r["data_type"]
+            for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fqn(database, table)}").collect()
+        }
+        if "Num Buckets" not in info:
+            return None
+        cols = [c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+        return int(info["Num Buckets"]), cols
+
+    def size_bytes(self, database: str, table: str) -> int:
+        loc = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fqn(database, table)}").filter("col_name = 'Location'").collect()
+        if not loc:
+            return 0
+        fs, p = self._fs(loc[0]["data_type"])
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+    def bucket_count(self, database: str, table: str) -> int:
+        """Current count, doubled while a bucket would exceed ``BUCKET_BYTES``."""
+        spec = self.bucket_spec(database, table)
+        n = spec[0] if spec else self.min_buckets()
+        size = self.size_bytes(database, table)
+        while size / n > BUCKET_BYTES:
+            n *= 2
+        return n
+
     def append(self, database: str, table: str, df: DataFrame) -> None:
         """Add rows to the current version (creates the table when absent). Columns bind by name."""
         if not self.exists(database, table):
@@ -106,14 +171,29 @@ class TableStore:
         keys: str | Sequence[str],
         order: Sequence[str] | None = None,
         strict: bool = False,
+        bucketed: bool = False,
     ) -> None:
-        """MERGE update-all / insert-all on ``keys``; creates the table when absent."""
+        """MERGE update-all / insert-all on ``keys``; creates the table when absent.
+
+        ``bucketed`` keeps the table bucketed by ``keys``; the updates are
+        hash-partitioned into the same buckets, so each writer task writes one
+        file per bucket and the target is never shuffled.
+        """
+        key_list = split_keys(keys)
         if not self.exists(database, table):
-            empty = updates.limit(0)
-            self.replace(database, table, upsert_frames(empty, updates, keys, order, strict))
+            merged = upsert_frames(updates.limit(0), updates, key_list, order, strict)
+            n = self.min_buckets()
+            if bucketed:
+                merged = merged.repartition(n, *key_list)
+            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=n)
             return
         target = self.read(database, table)
-        self.replace(database, table, upsert_frames(target, updates, keys, order, strict))
+        if not bucketed:
+            self.replace(database, table, upsert_frames(target, updates, key_list, order, strict))
+            return
+        n = self.bucket_count(database, table)
+        merged = upsert_frames(target, updates.repartition(n, *key_list), key_list, order, strict)
+        self.replace(database, table, merged, bucket_by=key_list, buckets=n)
 
     def drop(self, database: str, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")

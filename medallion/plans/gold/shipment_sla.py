@@ -2,6 +2,8 @@
 
 shipment_header LEFT JOIN shipment_item, LEFT JOIN delivery_header (both on
 shipment_id), grouped by the 8 header columns and actual_delivery_datetime.
+The delivery join is an inner join plus the headers without delivery, so a hot
+shipment can be split by AQE's skew handling.
 The item count depends only on shipment_id, so items are aggregated once per
 shipment (single COUNT(DISTINCT), map-side partial) and joined to the distinct
 (header, delivery time) groups; the item fan-out is never materialised.
@@ -57,7 +59,15 @@ def build(silver: Mapping[str, DataFrame], as_of: datetime | Column | None = Non
     deliveries = (
         delivery.filter(F.col("shipment_id").isNotNull()).select("shipment_id", "actual_delivery_datetime").distinct()
     )
-    groups = header.select(*HEADER_COLS).join(deliveries, "shipment_id", "left").distinct()
+    headers = header.select(*HEADER_COLS)
+    # header LEFT JOIN deliveries, written as inner join + anti join: AQE can split a
+    # skewed key on either side of an inner join, but not on the right of a left join
+    # (one shipment with a huge delivery history would otherwise sit in one task).
+    delivered = headers.join(deliveries, "shipment_id", "inner")
+    undelivered = headers.join(deliveries.select("shipment_id"), "shipment_id", "left_anti").withColumn(
+        "actual_delivery_datetime", F.lit(None).cast(deliveries.schema["actual_delivery_datetime"].dataType)
+    )
+    groups = delivered.unionByName(undelivered).distinct()
     items = (
         item.filter(F.col("shipment_id").isNotNull())
         .groupBy("shipment_id")

@@ -36,6 +36,19 @@ def incremental_slice(df: DataFrame, load_type: str | None, watermark_column: st
     return df
 
 
+def latest_file(bronze: DataFrame, file_column: str = "source_file_name", time_column: str = "insert_timestamp") -> DataFrame:
+    """Rows of the last landed file only (latest ingest time, ties by file name).
+
+    For file tables re-delivered as full snapshots, where FULL over all of bronze
+    would stack every delivery. The newest file is found with a global aggregate
+    (exactly one row, so broadcasting it is bounded) and selected by an equi-join.
+    """
+    best = bronze.agg(F.max(F.struct(F.col(time_column), F.col(file_column))).alias("_best")).select(
+        F.col(f"_best.{file_column}").alias("_latest_file")
+    )
+    return bronze.join(F.broadcast(best), F.col(file_column) == F.col("_latest_file"), "inner").drop("_latest_file")
+
+
 def null_mark_rows(df: DataFrame, watermark_column: str) -> DataFrame:
     """Rows an incremental load can never pick up (null mark) — for reporting."""
     return df.filter(F.col(watermark_column).isNull())

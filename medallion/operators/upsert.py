@@ -55,19 +55,38 @@ def dedup_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]
     return best.select(*updates.columns).unionByName(without_key)
 
 
+def keep_target_values(target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Update rows whose key exists in ``target`` take ``columns`` from the target
+    (earliest value when the target repeats a key); new keys keep their own."""
+    old = (
+        target.filter(keys_present(keys))
+        .groupBy(*keys)
+        .agg(*[F.min(c).alias(f"_old_{c}") for c in columns])
+    )
+    j = updates.join(old, list(keys), "left")
+    return j.select(*[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in updates.columns])
+
+
 def upsert_frames(
     target: DataFrame,
     updates: DataFrame,
     keys: str | Sequence[str],
     order: Sequence[str] | None = None,
     strict: bool = False,
+    preserve: Sequence[str] = (),
 ) -> DataFrame:
-    """The merged table: target rows without a matching update, plus all update rows."""
+    """The merged table: target rows without a matching update, plus all update rows.
+
+    ``preserve`` names columns an update does not overwrite (e.g. the row's
+    first ``insert_timestamp``).
+    """
     keys = split_keys(keys)
     missing = [k for k in keys if k not in target.columns or k not in updates.columns]
     if missing:
         raise ValueError(f"merge key columns missing: {missing}")
     upd = dedup_updates(updates, keys, order, strict)
+    if preserve:
+        upd = keep_target_values(target, upd, keys, list(preserve))
     present = keys_present(keys)
     kept = target.filter(present).join(upd.filter(present).select(*keys), keys, "left_anti")
     untouched = target.filter(~present)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from medallion.operators import audit, registry
 from medallion.operators.silver import (
     incremental_slice,
+    latest_file,
     mark_text,
     uses_watermark,
     validate_load_type,
@@ -195,7 +196,24 @@ class Lakehouse:
         raise ValueError(f"Unsupported source_system: {system}")
 
     # ---- bronze -> silver ---------------------------------------------------------------------
-    def load_silver(self, table_id: int, run_id: int, as_of: datetime | None = None, strict: bool = False) -> RunRecord:
+    def load_silver(
+        self,
+        table_id: int,
+        run_id: int,
+        as_of: datetime | None = None,
+        strict: bool = False,
+        snapshot: str = "all",
+        preserve_insert_timestamp: bool = False,
+    ) -> RunRecord:
+        """Bronze -> silver for one table.
+
+        ``strict`` raises on duplicate source keys in a MERGE instead of keeping the
+        latest row. ``snapshot='latest_file'`` makes a FULL load take only the last
+        landed file instead of all of bronze. ``preserve_insert_timestamp`` keeps a
+        row's first silver ``insert_timestamp`` when a MERGE updates it.
+        """
+        if snapshot not in ("all", "latest_file"):
+            raise ValueError(f"Unsupported snapshot: {snapshot}")
         t = self.table_row(table_id)
         p = self.params(table_id)
         name = t["table_name"]
@@ -207,6 +225,8 @@ class Lakehouse:
             incremental = uses_watermark(load_type, mark_col)
             last = self.last_mark(table_id) if incremental else None
             sl = incremental_slice(bronze, load_type, mark_col, last)
+            if snapshot == "latest_file" and load_type == "FULL":
+                sl = latest_file(sl)
             sl = sl.drop("insert_timestamp", "source_file_name")
             exists = self.store.exists(silver_db, name)
             if load_type == "MERGE" and exists:
@@ -216,7 +236,14 @@ class Lakehouse:
                 sl = with_silver_audit(sl, as_of).checkpoint(eager=True)
                 stats = sl.agg(F.count(F.lit(1)).alias("n"), *( [F.max(mark_col).alias("mx")] if incremental else [])).first()
                 self.store.upsert(
-                    silver_db, name, sl, keys, order=[mark_col] if mark_col else None, strict=strict, bucketed=True
+                    silver_db,
+                    name,
+                    sl,
+                    keys,
+                    order=[mark_col] if mark_col else None,
+                    strict=strict,
+                    bucketed=True,
+                    preserve=["insert_timestamp"] if preserve_insert_timestamp else (),
                 )
             else:
                 obs = Observation(f"silver_{table_id}_{int(time.time() * 1000)}")

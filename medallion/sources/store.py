@@ -172,6 +172,7 @@ class TableStore:
         order: Sequence[str] | None = None,
         strict: bool = False,
         bucketed: bool = False,
+        preserve: Sequence[str] = (),
     ) -> None:
         """MERGE update-all / insert-all on ``keys``; creates the table when absent.
 
@@ -181,7 +182,7 @@ class TableStore:
         """
         key_list = split_keys(keys)
         if not self.exists(database, table):
-            merged = upsert_frames(updates.limit(0), updates, key_list, order, strict)
+            merged = upsert_frames(updates.limit(0), updates, key_list, order, strict, preserve)
             n = self.min_buckets()
             if bucketed:
                 merged = merged.repartition(n, *key_list)
@@ -189,10 +190,10 @@ class TableStore:
             return
         target = self.read(database, table)
         if not bucketed:
-            self.replace(database, table, upsert_frames(target, updates, key_list, order, strict))
+            self.replace(database, table, upsert_frames(target, updates, key_list, order, strict, preserve))
             return
         n = self.bucket_count(database, table)
-        merged = upsert_frames(target, updates.repartition(n, *key_list), key_list, order, strict)
+        merged = upsert_frames(target, updates.repartition(n, *key_list), key_list, order, strict, preserve)
         self.replace(database, table, merged, bucket_by=key_list, buckets=n)
 
     def drop(self, database: str, table: str) -> None:

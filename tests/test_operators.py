@@ -60,6 +60,12 @@ def test_upsert_duplicate_source_keys(spark):
         upsert_frames(t, u, ["k"], strict=True)
 
 
+def test_upsert_preserves_named_columns(spark):
+    t = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, born int")
+    u = spark.createDataFrame([(2, "B", 99), (3, "C", 99)], "k int, v string, born int")
+    assert rows(upsert_frames(t, u, "k", preserve=["born"])) == [(1, "a", 10), (2, "B", 20), (3, "C", 99)]
+
+
 def test_upsert_missing_key_column(spark):
     t = spark.createDataFrame([(1, "a")], KV)
     with pytest.raises(ValueError):

@@ -62,6 +62,11 @@ def test_silver_full_then_gold(spark, lh):
     assert silver.count() == 3 and "update_timestamp" in silver.columns and "source_file_name" not in silver.columns
     lh.load_silver(1, run_id=4)  # FULL replaces, never adds
     assert lh.store.read("silver", "study_master").count() == 3
+    # re-delivered snapshots: take only the last landed file
+    lh.load_silver(1, run_id=4, snapshot="latest_file")
+    assert [r["study_id"] for r in lh.store.read("silver", "study_master").collect()] == ["S3"]
+    lh.load_silver(1, run_id=4)
+    assert lh.store.read("silver", "study_master").count() == 3
 
 
 def test_bounded_merge_with_watermark(spark, lh):
@@ -71,7 +76,8 @@ def test_bounded_merge_with_watermark(spark, lh):
         SUBJECT,
     )
     assert lh.dispatch(5, run_id=3, readers={"subject": reader(src)}).records == 2  # null mark never loaded
-    lh.load_silver(5, run_id=3)
+    first_at, second_at = datetime(2030, 1, 1), datetime(2030, 1, 2)
+    lh.load_silver(5, run_id=3, as_of=first_at)
     assert lh.last_mark(5) == "2024-01-01 00:00:00"
     src2 = spark.createDataFrame(
         [("P1", "S1", "Completed", date(2024, 1, 5), t1), ("P2", "S1", "Withdrawn", date(2024, 1, 6), t2), ("P4", "S2", "Enrolled", date(2024, 2, 2), t2)],
@@ -79,9 +85,14 @@ def test_bounded_merge_with_watermark(spark, lh):
     )
     # only rows after the mark reach bronze; P1 at the mark is not reloaded (strict >)
     assert lh.dispatch(5, run_id=4, readers={"subject": reader(src2)}).records == 2
-    lh.load_silver(5, run_id=4)
-    got = {r["subject_id"]: r["enrollment_status"] for r in lh.store.read("silver", "subject").collect()}
+    lh.load_silver(5, run_id=4, as_of=second_at, preserve_insert_timestamp=True)
+    silver = {r["subject_id"]: r for r in lh.store.read("silver", "subject").collect()}
+    got = {k: r["enrollment_status"] for k, r in silver.items()}
     assert got == {"P1": "Enrolled", "P2": "Withdrawn", "P4": "Enrolled"}
+    # updated row keeps its first insert time; a new row gets the load time
+    assert (silver["P2"]["insert_timestamp"], silver["P2"]["update_timestamp"]) == (first_at, second_at)
+    assert silver["P4"]["insert_timestamp"] == second_at
+    assert lh.store.bucket_spec("silver", "subject") == (lh.store.min_buckets(), ["subject_id"])
     assert lh.last_mark(5) == "2024-02-01 00:00:00"
     counts = lh.build_gold(["study_enrollment_summary"], as_of=datetime(2030, 1, 1))
     assert counts == {"study_enrollment_summary": 3}
@@ -105,7 +116,7 @@ def test_errors_are_recorded(spark, lh):
     with pytest.raises(ValueError, match="Unsupported source_system"):
         lh.register(9100, "odd", "ftp", {"load_type": "FULL"})
         lh.dispatch(9100, run_id=7)
-    # unknown load type: first load still creates silver, the next one fails
+    # unknown load type: rejected up front (the reference only failed once silver existed)
     lh.register(9101, "odd_load", "sqlserver", {"load_type": "UPSERT", "primary_key": "k"})
     rows = spark.createDataFrame([(1,)], "k int")
     lh.dispatch(9101, run_id=7, readers={"odd_load": lambda *a: rows})

@@ -7,7 +7,7 @@ one plan applies any number of run events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.operators.latest import latest_per_key
@@ -56,6 +56,31 @@ def apply_end(runs: DataFrame, ends: DataFrame) -> DataFrame:
     return upsert_frames(runs, updated, RUN_KEYS)
 
 
+def _is_run(run_id: int, table_id: int) -> Column:
+    """Row predicate for one (run_id, table_id); null ids never match."""
+    return F.coalesce((F.col("run_id") == F.lit(run_id)) & (F.col("table_id") == F.lit(table_id)), F.lit(False))
+
+
+def begin_one(runs: DataFrame, run_id: int, table_id: int, layer: str, start) -> DataFrame:
+    """One run row set to INPROGRESS (inserted or replaced): a filter and a union, no shuffle."""
+    row = runs.sparkSession.createDataFrame(
+        [(run_id, table_id, layer, start, None, INPROGRESS, None, None)], runs.select(*RUN_COLUMNS).schema
+    )
+    return runs.filter(~_is_run(run_id, table_id)).unionByName(row)
+
+
+def end_one(runs: DataFrame, run_id: int, table_id: int, end, status: str, records: int | None, error: str | None) -> DataFrame:
+    """UPDATE of one existing run row (end, status, count, error): a projection, no shuffle."""
+    hit = _is_run(run_id, table_id)
+    new = {"end_time": end, "status": status, "number_of_records": records, "error_message": error}
+    return runs.select(
+        *[
+            F.when(hit, F.lit(new[c]).cast(runs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+            for c in runs.columns
+        ]
+    )
+
+
 def run_summary(runs: DataFrame, tables: DataFrame, run_id: int | None = None) -> DataFrame:
     """Runs (of one id, or all) with table names, columns renamed for the report, by table."""
     src = runs if run_id is None else runs.filter(F.col("run_id") == F.lit(run_id))

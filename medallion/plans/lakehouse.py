@@ -86,7 +86,7 @@ class Lakehouse:
             [(table_id, table_name, source_system, None, table_name, source_path, "silver", "bronze", "silver", "gold", True, load_order)],
             registry.TABLES_SCHEMA,
         ).withColumn("created_at", F.lit(ts))
-        self.store.upsert(METADATA, "tables", row, ["table_id"])
+        self._put("tables", row, table_id=table_id)
         prm = self.spark.createDataFrame(
             [(table_id, k, v) for k, v in params.items() if v is not None], registry.PARAMS_SCHEMA
         ).withColumn("created_at", F.lit(ts))
@@ -97,12 +97,12 @@ class Lakehouse:
                 [(table_id, initial_mark, ts, None)],
                 "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
             )
-            self.store.upsert(METADATA, "table_watermarks", mark, ["table_id"])
+            self._put("table_watermarks", mark, table_id=table_id)
         if schema_json is not None:
             sch = self.spark.createDataFrame([(table_name, 1, schema_json, True)], registry.SCHEMAS_SCHEMA).withColumn(
                 "created_at", F.lit(ts)
             )
-            self.store.upsert(METADATA, "schemas", sch, ["table_name", "schema_version"])
+            self._put("schemas", sch, table_name=table_name, schema_version=1)
 
     def table_row(self, table_id: int) -> dict:
         rows = self.meta("tables").filter(F.col("table_id") == table_id).collect()
@@ -118,22 +118,15 @@ class Lakehouse:
         return rows[0][0] if rows else None
 
     # ---- audit -----------------------------------------------------------------------------
-    def _runs_upsert(self, fn, rows: DataFrame) -> None:
-        runs = self.meta("pipeline_runs")
-        self.store.replace(METADATA, "pipeline_runs", fn(runs, rows))
-
+    # One row per call: begin / end are one-stage rewrites of the small runs table
+    # (audit.begin_one / end_one); audit.apply_begin / apply_end are the bulk forms.
     def run_begin(self, run_id: int, table_id: int, layer: str, start: datetime) -> None:
-        rows = self.spark.createDataFrame(
-            [(run_id, table_id, layer, start)], "run_id bigint, table_id int, layer string, start_time timestamp"
-        )
-        self._runs_upsert(audit.apply_begin, rows)
+        runs = audit.begin_one(self.meta("pipeline_runs"), run_id, table_id, layer, start)
+        self.store.replace(METADATA, "pipeline_runs", runs)
 
     def run_end(self, run_id: int, table_id: int, status: str, records: int | None, error: str | None) -> None:
-        rows = self.spark.createDataFrame(
-            [(run_id, table_id, now(), status, records, error)],
-            "run_id bigint, table_id int, end_time timestamp, status string, number_of_records bigint, error_message string",
-        )
-        self._runs_upsert(audit.apply_end, rows)
+        runs = audit.end_one(self.meta("pipeline_runs"), run_id, table_id, now(), status, records, error)
+        self.store.replace(METADATA, "pipeline_runs", runs)
 
     @contextlib.contextmanager
     def audited(self, run_id: int, table_id: int, layer: str, end_on_success: bool = True) -> Iterator[RunRecord]:
@@ -150,8 +143,8 @@ class Lakehouse:
             self.run_end(run_id, table_id, audit.SUCCESS, rec.records, None)
 
     # ---- source -> bronze -------------------------------------------------------------------
-    def ingest_files(self, table_id: int, run_id: int, source_path: str | None = None) -> RunRecord:
-        t = self.table_row(table_id)
+    def ingest_files(self, table_id: int, run_id: int, source_path: str | None = None, table: dict | None = None) -> RunRecord:
+        t = table or self.table_row(table_id)
         name = t["table_name"]
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
             schema = registry.schema_from_json(registry.latest_schema(self.meta("schemas"), name))
@@ -168,12 +161,18 @@ class Lakehouse:
             rec.records = res.rows
         return rec
 
-    def ingest_frame(self, table_id: int, run_id: int, read: Callable[[str | None, str | None, str | None], DataFrame]) -> RunRecord:
+    def ingest_frame(
+        self,
+        table_id: int,
+        run_id: int,
+        read: Callable[[str | None, str | None, str | None], DataFrame],
+        table: dict | None = None,
+    ) -> RunRecord:
         """Bounded source (e.g. ``sources.jdbc.jdbc_read``) -> bronze append.
 
         ``read(load_type, watermark_column, last_mark)`` returns the slice to load.
         """
-        t = self.table_row(table_id)
+        t = table or self.table_row(table_id)
         p = self.params(table_id)
         load_type, mark_col = p.get("load_type"), p.get("watermark_column")
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
@@ -186,13 +185,14 @@ class Lakehouse:
 
     def dispatch(self, table_id: int, run_id: int, readers: Mapping[str, Callable] | None = None) -> RunRecord:
         """source_system 'blob' -> file stream; 'sqlserver' -> bounded reader; other -> ValueError."""
-        system = (self.table_row(table_id)["source_system"] or "").lower()
+        t = self.table_row(table_id)
+        system = (t["source_system"] or "").lower()
         if system == "blob":
-            return self.ingest_files(table_id, run_id)
+            return self.ingest_files(table_id, run_id, table=t)
         if system == "sqlserver":
-            if not readers or self.table_row(table_id)["table_name"] not in readers:
+            if not readers or t["table_name"] not in readers:
                 raise ValueError(f"no reader configured for table_id {table_id}")
-            return self.ingest_frame(table_id, run_id, readers[self.table_row(table_id)["table_name"]])
+            return self.ingest_frame(table_id, run_id, readers[t["table_name"]], table=t)
         raise ValueError(f"Unsupported source_system: {system}")
 
     # ---- bronze -> silver ---------------------------------------------------------------------
@@ -270,8 +270,17 @@ class Lakehouse:
             [(table_id, value, now(), run_id)],
             "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
         )
-        marks = self.meta("table_watermarks")
-        self.store.replace(METADATA, "table_watermarks", marks.join(row.select("table_id"), "table_id", "left_anti").unionByName(row))
+        self._put("table_watermarks", row, table_id=table_id)
+
+    def _put(self, name: str, rows: DataFrame, **key) -> None:
+        """Replace the rows of a metadata table whose ``key`` columns equal the given
+        values by ``rows`` (filter + union: one stage, the table is small)."""
+        cur = self.meta(name)
+        hit = F.lit(True)
+        for c, v in key.items():
+            hit = hit & (F.col(c) == F.lit(v))
+        keep = cur.filter(~F.coalesce(hit, F.lit(False)))
+        self.store.replace(METADATA, name, keep.unionByName(rows.select(*cur.columns)))
 
     # ---- gold -------------------------------------------------------------------------------
     def silver_tables(self, names) -> dict[str, DataFrame]:

@@ -266,3 +266,18 @@ def test_run_begin_end_status(spark):
     again = audit.apply_begin(runs, spark.createDataFrame([(1, 5, "Silver", t1)], "run_id bigint, table_id int, layer string, start_time timestamp"))
     r = again.filter("table_id = 5").first()
     assert (r["status"], r["end_time"], r["number_of_records"], r["layer"]) == ("INPROGRESS", None, None, "Silver")
+
+
+def test_single_row_begin_end_match_bulk(spark):
+    t0, t1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    runs = spark.createDataFrame([(1, 5, "Bronze", t0, t1, "SUCCESS", 3, None), (None, 6, "x", t0, None, None, None, None)], RUNS)
+    one = audit.begin_one(runs, 1, 5, "Silver", t1)
+    bulk = audit.apply_begin(runs, spark.createDataFrame([(1, 5, "Silver", t1)], "run_id bigint, table_id int, layer string, start_time timestamp"))
+    assert rows(one) == rows(bulk)
+    one = audit.end_one(one, 1, 5, t1, "FAILED", None, "boom")
+    ends = spark.createDataFrame(
+        [(1, 5, t1, "FAILED", None, "boom")],
+        "run_id bigint, table_id int, end_time timestamp, status string, number_of_records bigint, error_message string",
+    )
+    assert rows(one) == rows(audit.apply_end(bulk, ends))
+    assert rows(audit.end_one(runs, 9, 9, t1, "SUCCESS", 1, None)) == rows(runs)  # no row: nothing changes

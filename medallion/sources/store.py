@@ -76,11 +76,16 @@ class TableStore:
     def read(self, database: str, table: str) -> DataFrame:
         return self.spark.table(self.fqn(database, table))
 
-    def _point(self, database: str, table: str, path: str) -> None:
+    def _point(self, database: str, table: str, path: str, schema=None, partition_by: Sequence[str] = ()) -> None:
+        """(Re)register the table over ``path``; with the written schema given, no footer
+        scan is needed to infer it (partitioned tables still discover their partitions)."""
         self.ensure_database(database)
         name = self.fqn(database, table)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
+        if schema is not None and not partition_by:
+            self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet", schema=schema)
+        else:
+            self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
 
     # ---- writes ----------------------------------------------------------------------
     def next_path(self, database: str, table: str) -> str:
@@ -108,7 +113,7 @@ class TableStore:
             w = w.partitionBy(*partition_by)
         if not bucket_by:
             w.parquet(path)
-            self._point(database, table, path)
+            self._point(database, table, path, df.schema, partition_by)
             return path
         self.ensure_database(database)
         stage = self.fqn(database, table + STAGE_SUFFIX)

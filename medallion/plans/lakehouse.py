@@ -29,6 +29,7 @@ from medallion.operators.silver import (
 )
 from medallion.operators.upsert import split_keys
 from medallion.plans.gold import MARTS
+from medallion.sources.jdbc import jdbc_reader, source_table_name
 from medallion.sources.store import TableStore
 from medallion.streaming.file_ingest import ingest_files
 
@@ -49,11 +50,22 @@ class RunRecord:
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, root: str, landing_root: str | None = None, namespace: str = ""):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        landing_root: str | None = None,
+        namespace: str = "",
+        jdbc: Mapping | None = None,
+    ):
+        """``jdbc``: connection for 'sqlserver' tables without an explicit reader —
+        ``{"url": ..., "properties": {...}, "partitioning": {table_name: {partition_column,
+        lower_bound, upper_bound, num_partitions}}}``."""
         self.spark = spark
         self.store = TableStore(spark, root, namespace)
         self.root = root.rstrip("/")
         self.landing_root = (landing_root or f"{self.root}/landing").rstrip("/")
+        self.jdbc = dict(jdbc or {})
 
     # ---- metadata ------------------------------------------------------------------------
     def setup(self, reset: bool = False, seed: bool = True) -> None:
@@ -190,11 +202,20 @@ class Lakehouse:
         if system == "blob":
             return self.ingest_files(table_id, run_id, table=t)
         if system == "sqlserver":
-            if not readers or t["table_name"] not in readers:
-                raise ValueError(f"no reader configured for table_id {table_id}")
-            return self.ingest_frame(table_id, run_id, readers[t["table_name"]], table=t)
+            if readers and t["table_name"] in readers:
+                return self.ingest_frame(table_id, run_id, readers[t["table_name"]], table=t)
+            if self.jdbc.get("url"):
+                return self.ingest_frame(table_id, run_id, self.jdbc_reader(t), table=t)
+            raise ValueError(f"no reader configured for table_id {table_id}")
         raise ValueError(f"Unsupported source_system: {system}")
 
+    def jdbc_reader(self, t: Mapping) -> Callable[[str | None, str | None, str | None], DataFrame]:
+        """Reader over ``source_schema.source_table`` of the registry row (the mark filter is
+        pushed into the database's WHERE; optional range partitioning per table)."""
+        name = source_table_name(t.get("source_schema"), t.get("source_table") or t["table_name"])
+        parts = (self.jdbc.get("partitioning") or {}).get(t["table_name"], {})
+        return jdbc_reader(self.spark, self.jdbc["url"], name, self.jdbc.get("properties"), **parts)
+
     # ---- bronze -> silver ---------------------------------------------------------------------
     def load_silver(
         self,
@@ -204,13 +225,17 @@ class Lakehouse:
         strict: bool = False,
         snapshot: str = "all",
         preserve_insert_timestamp: bool = False,
+        append_guard: bool = False,
     ) -> RunRecord:
         """Bronze -> silver for one table.
 
         ``strict`` raises on duplicate source keys in a MERGE instead of keeping the
         latest row. ``snapshot='latest_file'`` makes a FULL load take only the last
         landed file instead of all of bronze. ``preserve_insert_timestamp`` keeps a
-        row's first silver ``insert_timestamp`` when a MERGE updates it.
+        row's first silver ``insert_timestamp`` when a MERGE updates it. ``append_guard``
+        makes an APPEND skip rows whose primary key is already in silver, so a run
+        repeated after a failed mark update adds nothing twice (costs a join with
+        the silver keys).
         """
         if snapshot not in ("all", "latest_file"):
             raise ValueError(f"Unsupported snapshot: {snapshot}")
@@ -256,6 +281,10 @@ class Lakehouse:
                 elif not exists or load_type == "FULL":
                     self.store.replace(silver_db, name, out)
                 else:
+                    if append_guard and key:
+                        keys = split_keys(key)
+                        have = self.store.read(silver_db, name).select(*keys)
+                        out = out.join(have, keys, "left_anti")
                     self.store.append(silver_db, name, out)
                 stats = obs.get
             rec.records = int(stats["n"])

@@ -57,6 +57,19 @@ def jdbc_read(
     return incremental_slice(df, load_type, watermark_column, last_mark)
 
 
+def jdbc_reader(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    **partitioning,
+):
+    """``read(load_type, watermark_column, last_mark)`` for ``Lakehouse.ingest_frame``."""
+    return lambda load_type, watermark_column, last_mark: jdbc_read(
+        spark, url, table, properties, load_type, watermark_column, last_mark, **partitioning
+    )
+
+
 def source_table_name(source_schema: str | None, source_table: str) -> str:
     return f"{source_schema}.{source_table}" if source_schema else source_table
 
@@ -66,4 +79,4 @@ def pushed_filters(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-__all__ = ["jdbc_options", "jdbc_read", "source_table_name", "pushed_filters", "F"]
+__all__ = ["jdbc_options", "jdbc_read", "jdbc_reader", "source_table_name", "pushed_filters", "F"]

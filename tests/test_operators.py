@@ -281,3 +281,16 @@ def test_single_row_begin_end_match_bulk(spark):
     )
     assert rows(one) == rows(audit.apply_end(bulk, ends))
     assert rows(audit.end_one(runs, 9, 9, t1, "SUCCESS", 1, None)) == rows(runs)  # no row: nothing changes
+
+
+def test_jdbc_options():
+    from medallion.sources.jdbc import jdbc_options, source_table_name
+
+    o = jdbc_options("jdbc:x", "lims.result", {"user": "u"}, "result_id", 1, 1000, 8)
+    assert (o["dbtable"], o["user"], o["partitionColumn"], o["numPartitions"], o["fetchsize"]) == (
+        "lims.result", "u", "result_id", "8", "10000",
+    )
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", partition_column="id")
+    assert source_table_name("biobank", "freezer") == "biobank.freezer"
+    assert source_table_name(None, "freezer") == "freezer"

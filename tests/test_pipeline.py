@@ -112,6 +112,24 @@ def test_composite_key_merge(spark, lh):
     assert got == [("H1", "1", 5), ("H1", "2", 60), ("H2", "1", 1)]
 
 
+AUDIT_TRAIL = "audit_id string, change_datetime timestamp, note string"
+
+
+def test_append_guard_after_lost_mark_update(spark, lh):
+    t1 = datetime(2024, 3, 1)
+    rows = spark.createDataFrame([("A1", t1, "x"), ("A2", t1, "y")], AUDIT_TRAIL)
+    lh.dispatch(12, run_id=8, readers={"audit_trail": reader(rows)})
+    lh.load_silver(12, run_id=8)
+    assert lh.store.read("silver", "audit_trail").count() == 2
+    # the mark update is lost: the next run sees the same bronze rows again
+    lh.advance_mark(12, 8, "1900-01-01 00:00:00")
+    lh.load_silver(12, run_id=9, append_guard=True)
+    assert lh.store.read("silver", "audit_trail").count() == 2
+    lh.advance_mark(12, 9, "1900-01-01 00:00:00")
+    lh.load_silver(12, run_id=10)  # unguarded APPEND repeats them (the reference's behaviour)
+    assert lh.store.read("silver", "audit_trail").count() == 4
+
+
 def test_errors_are_recorded(spark, lh):
     with pytest.raises(ValueError, match="Unsupported source_system"):
         lh.register(9100, "odd", "ftp", {"load_type": "FULL"})

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -41,6 +42,19 @@ def now() -> datetime:
     return datetime.now().replace(microsecond=(datetime.now().microsecond // 1000) * 1000)
 
 
+def concurrently(tasks: list[Callable[[], object]]) -> None:
+    """Run independent driver-side actions (each its own Spark job) at the same time;
+    the first error is raised after all have finished."""
+    if len(tasks) <= 1:
+        for t in tasks:
+            t()
+        return
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = [pool.submit(t) for t in tasks]
+    for f in futures:
+        f.result()
+
+
 @dataclass
 class RunRecord:
     """Filled in by the step; written to pipeline_runs when the step ends."""
@@ -74,9 +88,13 @@ class Lakehouse:
         for db in ("bronze", "silver", "gold", METADATA):
             self.store.ensure_database(db)
         frames = registry.seed_frames(self.spark, self.landing_root)
-        for name in METADATA_TABLES:
-            if reset or not self.store.exists(METADATA, name):
-                self.store.replace(METADATA, name, frames[name] if seed else frames[name].limit(0))
+        concurrently(
+            [
+                (lambda n=name: self.store.replace(METADATA, n, frames[n] if seed else frames[n].limit(0)))
+                for name in METADATA_TABLES
+                if reset or not self.store.exists(METADATA, name)
+            ]
+        )
 
     def meta(self, name: str) -> DataFrame:
         return self.store.read(METADATA, name)
@@ -92,29 +110,32 @@ class Lakehouse:
         schema_json: str | None = None,
         initial_mark: str | None = "1900-01-01 00:00:00",
     ) -> None:
-        """Add or replace one table's registry, parameter, watermark and schema rows."""
+        """Add or replace one table's registry, parameter, watermark and schema rows
+        (four independent small-table rewrites, submitted as concurrent jobs)."""
         ts = now()
         row = self.spark.createDataFrame(
             [(table_id, table_name, source_system, None, table_name, source_path, "silver", "bronze", "silver", "gold", True, load_order)],
             registry.TABLES_SCHEMA,
         ).withColumn("created_at", F.lit(ts))
-        self._put("tables", row, table_id=table_id)
         prm = self.spark.createDataFrame(
             [(table_id, k, v) for k, v in params.items() if v is not None], registry.PARAMS_SCHEMA
         ).withColumn("created_at", F.lit(ts))
-        others = self.meta("table_parameters").filter(F.col("table_id") != F.lit(table_id))
-        self.store.replace(METADATA, "table_parameters", others.unionByName(prm))
+        writes = [
+            lambda: self._put("tables", row, table_id=table_id),
+            lambda: self._put("table_parameters", prm, table_id=table_id),
+        ]
         if params.get("load_type") in ("APPEND", "MERGE") and initial_mark is not None:
             mark = self.spark.createDataFrame(
                 [(table_id, initial_mark, ts, None)],
                 "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
             )
-            self._put("table_watermarks", mark, table_id=table_id)
+            writes.append(lambda: self._put("table_watermarks", mark, table_id=table_id))
         if schema_json is not None:
             sch = self.spark.createDataFrame([(table_name, 1, schema_json, True)], registry.SCHEMAS_SCHEMA).withColumn(
                 "created_at", F.lit(ts)
             )
-            self._put("schemas", sch, table_name=table_name, schema_version=1)
+            writes.append(lambda: self._put("schemas", sch, table_name=table_name, schema_version=1))
+        concurrently(writes)
 
     def table_row(self, table_id: int) -> dict:
         rows = self.meta("tables").filter(F.col("table_id") == table_id).collect()

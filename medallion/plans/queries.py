@@ -11,11 +11,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medallion.functions import count_where, hours_between, safe_percent
 from medallion.operators import audit, registry
@@ -393,4 +391,3 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "run_status": run_status,
 }
 
-__all__ = ["OPERATOR_QUERIES", "datetime", "T"]

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from medallion.operators.silver import incremental_slice
 
@@ -79,4 +78,3 @@ def pushed_filters(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-__all__ = ["jdbc_options", "jdbc_read", "jdbc_reader", "source_table_name", "pushed_filters", "F"]

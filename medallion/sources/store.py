@@ -7,26 +7,44 @@ overwrite a table it is reading). A failed write leaves an unreferenced
 directory and the table unchanged. One writer per table; readers are not
 isolated from the repoint.
 
-Upsert targets can be bucketed by their key (``bucketBy``): the MERGE's
-anti-join then reads the target bucket by bucket without a shuffle and only
-the increment is shuffled. The bucket count doubles as the table grows so a
-bucket (one scan task) stays near ``BUCKET_BYTES``.
+Upsert tables are kept in ``n`` hash buckets of their key: partitioned by
+``_bucket = pmod(hash(key), n)`` and bucketed (``bucketBy``) by the key into the
+same ``n`` buckets, so every partition holds exactly one bucket. A MERGE then
+
+* reads only the partitions whose bucket the increment touches (partition
+  pruning), bucket by bucket, without shuffling the target;
+* hash-partitions only the increment into the same buckets;
+* writes the touched buckets to a new version directory and repoints just
+  those partitions in the catalog.
+
+Its cost follows the touched buckets, not the table. The bucket count doubles
+when a bucket would pass ``BUCKET_BYTES``; that MERGE rewrites the whole table.
+Repointing several partitions is not atomic; an interrupted MERGE is repaired
+by running it again (upserting the same increment twice gives the same table).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion.operators.upsert import split_keys, upsert_frames
 
 VERSION_PREFIX = "v="
 STAGE_SUFFIX = "__stage"
+BUCKET_COLUMN = "_bucket"
 # Target on-disk size of one bucket of an upsert table (one scan task).
 BUCKET_BYTES = 512 * 1024 * 1024
 
 
+def bucket_of(keys: Sequence[str], n: int) -> Column:
+    """Spark's bucket id (Murmur3 hash, the function ``bucketBy`` uses) of the key."""
+    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(n))
+
+
 class TableStore:
     """``namespace`` prefixes every database name (``<namespace>_bronze`` ...), so
     several pipelines can share one catalog."""
@@ -66,6 +84,10 @@ class TableStore:
                 out.append(int(name[len(VERSION_PREFIX):]))
         return sorted(out)
 
+    def next_path(self, database: str, table: str) -> str:
+        vs = self.versions(database, table)
+        return f"{self.table_dir(database, table)}/{VERSION_PREFIX}{(vs[-1] + 1 if vs else 1):06d}"
+
     # ---- catalog ---------------------------------------------------------------------
     def ensure_database(self, database: str) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db(database)}`")
@@ -73,9 +95,14 @@ class TableStore:
     def exists(self, database: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(database, table))
 
-    def read(self, database: str, table: str) -> DataFrame:
+    def read_raw(self, database: str, table: str) -> DataFrame:
+        """The table with its storage columns (``_bucket``)."""
         return self.spark.table(self.fqn(database, table))
 
+    def read(self, database: str, table: str) -> DataFrame:
+        df = self.read_raw(database, table)
+        return df.drop(BUCKET_COLUMN) if BUCKET_COLUMN in df.columns else df
+
     def _point(self, database: str, table: str, path: str, schema=None, partition_by: Sequence[str] = ()) -> None:
         """(Re)register the table over ``path``; with the written schema given, no footer
         scan is needed to infer it (partitioned tables still discover their partitions)."""
@@ -88,10 +115,6 @@ class TableStore:
             self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
 
     # ---- writes ----------------------------------------------------------------------
-    def next_path(self, database: str, table: str) -> str:
-        vs = self.versions(database, table)
-        return f"{self.table_dir(database, table)}/{VERSION_PREFIX}{(vs[-1] + 1 if vs else 1):06d}"
-
     def replace(
         self,
         database: str,
@@ -103,27 +126,39 @@ class TableStore:
     ) -> str:
         """Write ``df`` as a new version and make it the table (schema replaced too).
 
-        With ``bucket_by`` the version is written bucketed (``buckets`` files per
-        writer task at most) through a staging catalog entry that is then
-        renamed, so the table keeps its bucket spec.
+        With ``bucket_by`` the table is laid out in hash buckets of that key (see
+        the module notes); ``df`` is hash-partitioned into them first.
         """
         path = self.next_path(database, table)
+        if bucket_by:
+            n = buckets or self.min_buckets()
+            self._write_buckets(database, table, self._with_bucket(df, bucket_by, n), list(bucket_by), n, path)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
+            self.spark.sql(f"ALTER TABLE {self.fqn(database, table + STAGE_SUFFIX)} RENAME TO {self.fqn(database, table)}")
+            return path
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        if not bucket_by:
-            w.parquet(path)
-            self._point(database, table, path, df.schema, partition_by)
-            return path
+        w.parquet(path)
+        self._point(database, table, path, df.schema, partition_by)
+        return path
+
+    def _with_bucket(self, df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+        base = df.drop(BUCKET_COLUMN) if BUCKET_COLUMN in df.columns else df
+        return base.withColumn(BUCKET_COLUMN, bucket_of(keys, n)).repartition(n, *keys)
+
+    def _write_buckets(self, database: str, table: str, df: DataFrame, keys: list[str], n: int, path: str) -> None:
+        """Write a bucketed, ``_bucket``-partitioned version at ``path`` as the staging table."""
         self.ensure_database(database)
         stage = self.fqn(database, table + STAGE_SUFFIX)
         self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
-        w.bucketBy(buckets or self.min_buckets(), *bucket_by).option("path", path).saveAsTable(
-            self.qualified(database, table + STAGE_SUFFIX)
+        (
+            df.write.mode("errorifexists")
+            .partitionBy(BUCKET_COLUMN)
+            .bucketBy(n, *keys)
+            .option("path", path)
+            .saveAsTable(self.qualified(database, table + STAGE_SUFFIX))
         )
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
-        self.spark.sql(f"ALTER TABLE {stage} RENAME TO {self.fqn(database, table)}")
-        return path
 
     # ---- bucketing -------------------------------------------------------------------
     def min_buckets(self) -> int:
@@ -140,12 +175,16 @@ class TableStore:
         cols = [c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
         return int(info["Num Buckets"]), cols
 
+    def _dirs(self, database: str, table: str) -> set[str]:
+        """Directories holding the table's current files (partition locations)."""
+        return {f.rsplit("/", 1)[0] for f in self.read_raw(database, table).inputFiles()}
+
     def size_bytes(self, database: str, table: str) -> int:
-        loc = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fqn(database, table)}").filter("col_name = 'Location'").collect()
-        if not loc:
-            return 0
-        fs, p = self._fs(loc[0]["data_type"])
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+        total = 0
+        for d in self._dirs(database, table):
+            fs, p = self._fs(d)
+            total += int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+        return total
 
     def bucket_count(self, database: str, table: str) -> int:
         """Current count, doubled while a bucket would exceed ``BUCKET_BYTES``."""
@@ -161,10 +200,13 @@ class TableStore:
         if not self.exists(database, table):
             self.replace(database, table, df)
             return
-        cols = self.read(database, table).columns
+        cols = self.read_raw(database, table).columns
         extra = set(df.columns) - set(cols)
         if extra:
             raise ValueError(f"columns not in {database}.{table}: {sorted(extra)}")
+        spec = self.bucket_spec(database, table) if BUCKET_COLUMN in cols else None
+        if spec:
+            df = self._with_bucket(df, spec[1], spec[0])
         df.select(*cols).write.insertInto(self.qualified(database, table))
         self.spark.catalog.refreshTable(self.qualified(database, table))
 
@@ -181,33 +223,65 @@ class TableStore:
     ) -> None:
         """MERGE update-all / insert-all on ``keys``; creates the table when absent.
 
-        ``bucketed`` keeps the table bucketed by ``keys``; the updates are
-        hash-partitioned into the same buckets, so each writer task writes one
-        file per bucket and the target is never shuffled.
+        ``bucketed`` keeps the table in hash buckets of ``keys`` and rewrites
+        only the buckets the updates touch.
         """
         key_list = split_keys(keys)
         if not self.exists(database, table):
             merged = upsert_frames(updates.limit(0), updates, key_list, order, strict, preserve)
-            n = self.min_buckets()
-            if bucketed:
-                merged = merged.repartition(n, *key_list)
-            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=n)
+            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=self.min_buckets())
             return
-        target = self.read(database, table)
         if not bucketed:
+            target = self.read(database, table)
             self.replace(database, table, upsert_frames(target, updates, key_list, order, strict, preserve))
             return
+        spec = self.bucket_spec(database, table)
         n = self.bucket_count(database, table)
-        merged = upsert_frames(target, updates.repartition(n, *key_list), key_list, order, strict, preserve)
-        self.replace(database, table, merged, bucket_by=key_list, buckets=n)
+        layout_ok = spec == (n, key_list) and BUCKET_COLUMN in self.read_raw(database, table).columns
+        if not layout_ok:  # first bucketed MERGE, other key, or grown table: whole rewrite
+            merged = upsert_frames(self.read(database, table), updates, key_list, order, strict, preserve)
+            self.replace(database, table, merged, bucket_by=key_list, buckets=n)
+            return
+        self._upsert_buckets(database, table, updates, key_list, n, order, strict, preserve)
+
+    def _upsert_buckets(self, database, table, updates, keys, n, order, strict, preserve) -> None:
+        upd = self._with_bucket(updates, keys, n)
+        # bucket ids the increment touches: at most n small ints
+        touched = sorted(r[0] for r in upd.select(BUCKET_COLUMN).distinct().collect())
+        if not touched:
+            return
+        target = self.read_raw(database, table).filter(F.col(BUCKET_COLUMN).isin(touched))
+        merged = upsert_frames(target, upd, keys, order, strict, preserve)
+        path = self.next_path(database, table)
+        # both union branches arrive bucket-partitioned (bucketed scan / the increment's
+        # repartition), so each writer task writes one file per bucket: no reshuffle
+        self._write_buckets(database, table, merged, keys, n, path)
+        name = self.fqn(database, table)
+        have = {
+            int(re.search(r"=(\d+)", r[0]).group(1)) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()
+        }
+        for b in touched:
+            loc = f"{path}/{BUCKET_COLUMN}={b}"
+            if b in have:
+                self.spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET_COLUMN}={b}) SET LOCATION '{loc}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({BUCKET_COLUMN}={b}) LOCATION '{loc}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table + STAGE_SUFFIX)}")
+        self.spark.catalog.refreshTable(self.qualified(database, table))
 
     def drop(self, database: str, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
 
     def vacuum(self, database: str, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` version directories; returns deleted versions."""
+        """Delete all but the newest ``keep`` version directories, never one that still
+        holds current files of the table; returns deleted versions."""
         vs = self.versions(database, table)
-        gone = vs[:-keep] if keep > 0 else vs
+        live = set()
+        for d in self._dirs(database, table):
+            m = re.search(rf"/{re.escape(VERSION_PREFIX)}(\d+)", d)
+            if m:
+                live.add(int(m.group(1)))
+        gone = [v for v in (vs[:-keep] if keep > 0 else vs) if v not in live]
         for v in gone:
             fs, p = self._fs(f"{self.table_dir(database, table)}/{VERSION_PREFIX}{v:06d}")
             fs.delete(p, True)

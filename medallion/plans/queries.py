@@ -20,7 +20,7 @@ from medallion.operators import audit, registry
 from medallion.operators.latest import latest_per_key
 from medallion.operators.silver import advance_marks, incremental_slice, next_marks
 from medallion.plans.lakehouse import Lakehouse
-from medallion.plans.test_registry import (
+from medallion.plans.registry_views import (
     customer_registry,
     event_parameters,
     order_parameters,
@@ -28,7 +28,7 @@ from medallion.plans.test_registry import (
     run_events,
     supplier_watermarks,
 )
-from medallion.plans.test_silver import load
+from medallion.plans.silver_views import load
 from medallion.session import scratch_dir
 from medallion.sources.csv import RESCUE_COLUMN, csv_batch
 from medallion.sources.store import TableStore

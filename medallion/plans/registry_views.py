@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.plans.test_silver import load
+from medallion.plans.silver_views import load
 
 # Fixed values for the test mapping of events to run rows.
 EVENT_STATUS = {"error": "FAILED", "signup": "INPROGRESS", "view": None}

@@ -206,7 +206,7 @@ class TableStore:
             raise ValueError(f"columns not in {database}.{table}: {sorted(extra)}")
         spec = self.bucket_spec(database, table) if BUCKET_COLUMN in cols else None
         if spec:
-            df = self._with_bucket(df, spec[1], spec[0])
+            df = self._with_bucket(self._typed_keys(database, table, df, spec[1]), spec[1], spec[0])
         df.select(*cols).write.insertInto(self.qualified(database, table))
         self.spark.catalog.refreshTable(self.qualified(database, table))
 
@@ -244,8 +244,14 @@ class TableStore:
             return
         self._upsert_buckets(database, table, updates, key_list, n, order, strict, preserve)
 
+    def _typed_keys(self, database: str, table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Key columns cast to the table's types: the bucket hash depends on the type
+        (an int and a bigint key of equal value hash differently)."""
+        schema = self.read_raw(database, table).schema
+        return df.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
+
     def _upsert_buckets(self, database, table, updates, keys, n, order, strict, preserve) -> None:
-        upd = self._with_bucket(updates, keys, n)
+        upd = self._with_bucket(self._typed_keys(database, table, updates, keys), keys, n)
         # bucket ids the increment touches: at most n small ints
         touched = sorted(r[0] for r in upd.select(BUCKET_COLUMN).distinct().collect())
         if not touched:

@@ -70,3 +70,15 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     assert {r["k"]: r["v"] for r in store.read("silver", "t").collect()} == got
     assert store.vacuum("silver", "t", keep=1) == [2]  # v=1 still holds live buckets
     assert store.read("silver", "t").count() == 401
+
+
+def test_bucketed_upsert_with_narrower_key_type(spark):
+    store = new_store(spark)
+    store.upsert("silver", "t", spark.range(0, 100).select(F.col("id").alias("k"), F.lit("old").alias("v")), "k", bucketed=True)
+    # int keys against a bigint table: same buckets, so the rows are updated, not duplicated
+    upd = spark.createDataFrame([(k, "new") for k in range(0, 100, 10)], "k int, v string")
+    store.upsert("silver", "t", upd, "k", bucketed=True)
+    got = store.read("silver", "t")
+    assert got.count() == 100 and got.filter("v = 'new'").count() == 10
+    store.append("silver", "t", spark.createDataFrame([(500, "app")], "k int, v string"))
+    assert store.read("silver", "t").count() == 101

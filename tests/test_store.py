@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from medallion.operators.upsert import upsert_frames
@@ -82,3 +84,25 @@ def test_bucketed_upsert_with_narrower_key_type(spark):
     assert got.count() == 100 and got.filter("v = 'new'").count() == 10
     store.append("silver", "t", spark.createDataFrame([(500, "app")], "k int, v string"))
     assert store.read("silver", "t").count() == 101
+
+
+ROW = "k bigint, v string, ts int"
+rounds = st.lists(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 40)), st.sampled_from(["a", "b", "c"]), st.integers(0, 3)), max_size=8),
+    min_size=1,
+    max_size=3,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(base=st.lists(st.tuples(st.integers(0, 40), st.just("base"), st.just(0)), max_size=10, unique_by=lambda r: r[0]), increments=rounds)
+def test_bucketed_upsert_equals_model(spark, base, increments):
+    store = new_store(spark)
+    model = spark.createDataFrame(base, ROW)
+    store.upsert("silver", "t", model, "k", order=["ts"], bucketed=True)
+    for inc in increments:
+        u = spark.createDataFrame(inc, ROW)
+        model = spark.createDataFrame(upsert_frames(model, u, "k", order=["ts"]).collect(), ROW)
+        store.upsert("silver", "t", u, "k", order=["ts"], bucketed=True)
+        got = sorted((tuple(r) for r in store.read("silver", "t").collect()), key=repr)
+        assert got == sorted((tuple(r) for r in model.collect()), key=repr)

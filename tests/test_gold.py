@@ -92,6 +92,21 @@ def test_freezer_equals_brute_force(spark, freezers, racks, boxes, positions):
     assert table(got) == table(brute(spark, frames, FREEZER_SQL))
 
 
+def test_freezer_boundaries_89_and_69_99(spark):
+    # 89 % -> HIGH (BETWEEN 70 AND 89 includes 89); 6999 of 10000 = 69.99 % -> NORMAL
+    positions = [(i, 1, "Yes" if i < 89 else "No") for i in range(100)]
+    positions += [(1000 + i, 2, "Yes" if i < 6999 else "No") for i in range(10000)]
+    frames = {
+        "freezer": ([(1, "a", "t", "l"), (2, "b", "t", "l")], FREEZER),
+        "rack": ([(1, 1), (2, 2)], RACK),
+        "storage_box": ([(1, 1), (2, 2)], BOX),
+        "storage_position": (positions, POSITION),
+    }
+    got = {r["freezer_id"]: r for r in build(spark, "freezer_utilization_summary", frames).collect()}
+    assert (float(got[1]["utilization_percent"]), got[1]["utilization_status"]) == (89.0, "HIGH_UTILIZATION")
+    assert (float(got[2]["utilization_percent"]), got[2]["utilization_status"]) == (69.99, "NORMAL")
+
+
 def test_freezer_thresholds(spark):
     # 179/200 = 89.5 % falls in the 89..90 gap -> NORMAL; 180/200 = 90 % -> CRITICAL; 140/200 -> HIGH
     positions = []
@@ -256,7 +271,8 @@ LOCATION = "location_event_id int, sample_id int, event_type string, event_datet
 def test_sample_tracking_status_and_latest(spark):
     s = lambda i, rec, status: (i, f"BC{i}", 1, "V1", "Serum", T0, rec, status, 1)
     frames = {
-        "lims_sample": ([s(1, None, "Stored"), s(2, T0, "Stored"), s(3, T0, "Rejected"), s(4, T0, "Lost"), s(5, T0, "Stored")], TRACK_SAMPLE),
+        # not received beats Rejected; not accessioned beats Lost (branch order)
+        "lims_sample": ([s(1, None, "Rejected"), s(2, T0, "Lost"), s(3, T0, "Rejected"), s(4, T0, "Lost"), s(5, T0, "Stored")], TRACK_SAMPLE),
         "accession": (
             [
                 (10, 1, T0, "A"),

@@ -58,3 +58,17 @@ def test_swapped_header_fails_instead_of_shifting(spark):
     except Exception:  # noqa: BLE001 - the stream fails on the header check
         raised = True
     assert raised
+
+
+def test_misfit_rows_are_kept_with_raw_line(spark):
+    root = scratch_dir(spark, "stream-misfit")
+    os.makedirs(f"{root}/odd", exist_ok=True)
+    with open(f"{root}/odd/x.csv", "w") as f:
+        f.write("id,name\n1,a\nnot-int,b\n3,c,surplus\n4\n")
+    res, table = ingest(spark, root, "odd")
+    assert res.rows == 4
+    got = {r["name"]: (r["id"], r["_rescued_data"]) for r in spark.table(table).collect()}
+    assert got["a"] == (1, None)
+    assert got["b"][0] is None and "not-int" in got["b"][1]  # bad value: null + raw line
+    assert got["c"][0] == 3 and "surplus" in got["c"][1]  # surplus field: kept + raw line
+    assert got[None][0] == 4 and got[None][1] == "4"  # short row: missing field null + raw line

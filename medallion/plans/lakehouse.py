@@ -297,7 +297,7 @@ class Lakehouse:
                 out = with_silver_audit(sl, as_of).observe(obs, *metrics)
                 if not exists and load_type == "MERGE" and key:
                     # first load of an upsert table: bucketed by its key from the start
-                    self.store.replace(silver_db, name, out, bucket_by=split_keys(key), buckets=self.store.min_buckets())
+                    self.store.replace(silver_db, name, out, bucket_by=split_keys(key))
                 elif not exists or load_type == "FULL":
                     self.store.replace(silver_db, name, out)
                 else:

@@ -131,10 +131,9 @@ class TableStore:
         """
         path = self.next_path(database, table)
         if bucket_by:
-            n = buckets or self.min_buckets()
+            n = buckets or self.initial_buckets(df)
             self._write_buckets(database, table, self._with_bucket(df, bucket_by, n), list(bucket_by), n, path)
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
-            self.spark.sql(f"ALTER TABLE {self.fqn(database, table + STAGE_SUFFIX)} RENAME TO {self.fqn(database, table)}")
+            self._swap_in_stage(database, table)
             return path
         w = df.write.mode("errorifexists")
         if partition_by:
@@ -160,10 +159,27 @@ class TableStore:
             .saveAsTable(self.qualified(database, table + STAGE_SUFFIX))
         )
 
+    def _swap_in_stage(self, database: str, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
+        self.spark.sql(f"ALTER TABLE {self.fqn(database, table + STAGE_SUFFIX)} RENAME TO {self.fqn(database, table)}")
+
     # ---- bucketing -------------------------------------------------------------------
     def min_buckets(self) -> int:
+        """Upper limit of a new table's bucket count (the session's shuffle partitions)."""
         return int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
+    def initial_buckets(self, df: DataFrame) -> int:
+        """Bucket count of a new upsert table: a power of two giving about ``BUCKET_BYTES``
+        per bucket by the optimizer's size estimate of the input, at most ``min_buckets``."""
+        try:
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # noqa: BLE001 - no estimate: use the session's parallelism
+            return self.min_buckets()
+        n = 1
+        while n < self.min_buckets() and size / n > BUCKET_BYTES:
+            n *= 2
+        return min(n, self.min_buckets())
+
     def bucket_spec(self, database: str, table: str) -> tuple[int, list[str]] | None:
         """(bucket count, bucket columns) of a table, or None when not bucketed."""
         info = {
@@ -220,16 +236,18 @@ class TableStore:
         strict: bool = False,
         bucketed: bool = False,
         preserve: Sequence[str] = (),
+        buckets: int | None = None,
     ) -> None:
         """MERGE update-all / insert-all on ``keys``; creates the table when absent.
 
         ``bucketed`` keeps the table in hash buckets of ``keys`` and rewrites
-        only the buckets the updates touch.
+        only the buckets the updates touch; ``buckets`` fixes the count of a new
+        table (default: from its size).
         """
         key_list = split_keys(keys)
         if not self.exists(database, table):
             merged = upsert_frames(updates.limit(0), updates, key_list, order, strict, preserve)
-            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=self.min_buckets())
+            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=buckets)
             return
         if not bucketed:
             target = self.read(database, table)
@@ -256,12 +274,18 @@ class TableStore:
         touched = sorted(r[0] for r in upd.select(BUCKET_COLUMN).distinct().collect())
         if not touched:
             return
-        target = self.read_raw(database, table).filter(F.col(BUCKET_COLUMN).isin(touched))
+        whole = len(touched) > n // 2
+        target = self.read_raw(database, table)
+        if not whole:
+            target = target.filter(F.col(BUCKET_COLUMN).isin(touched))
         merged = upsert_frames(target, upd, keys, order, strict, preserve)
         path = self.next_path(database, table)
         # both union branches arrive bucket-partitioned (bucketed scan / the increment's
         # repartition), so each writer task writes one file per bucket: no reshuffle
         self._write_buckets(database, table, merged, keys, n, path)
+        if whole:  # most buckets change: one new version instead of many partition repoints
+            self._swap_in_stage(database, table)
+            return
         name = self.fqn(database, table)
         have = {
             int(re.search(r"=(\d+)", r[0]).group(1)) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()

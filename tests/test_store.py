@@ -31,8 +31,8 @@ def test_replace_keeps_previous_version(spark):
 def test_bucketed_upsert_shuffles_only_the_increment(spark):
     store = new_store(spark)
     base = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    store.upsert("silver", "t", base, "k", bucketed=True)
-    n = store.min_buckets()
+    n = 8
+    store.upsert("silver", "t", base, "k", bucketed=True, buckets=n)
     assert store.bucket_spec("silver", "t") == (n, ["k"])
     assert store.read("silver", "t").columns == ["k", "v"]
     upd = spark.range(900, 1100).select(F.col("id").alias("k"), F.lit(-1).cast("bigint").alias("v"))
@@ -55,9 +55,9 @@ def test_bucketed_upsert_shuffles_only_the_increment(spark):
 
 def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     store = new_store(spark)
-    n = store.min_buckets()
+    n = 8
     base = spark.range(0, 400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
-    store.upsert("silver", "t", base, "k", bucketed=True)
+    store.upsert("silver", "t", base, "k", bucketed=True, buckets=n)
     # keys of one bucket only, one of them new
     ids = [r[0] for r in spark.range(0, 800).filter(bucket_of(["id"], n) == 0).collect()]
     upd = spark.createDataFrame([(k, "new") for k in ids[:3] + [i for i in ids if i >= 400][:1]], "k bigint, v string")
@@ -76,7 +76,7 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
 
 def test_bucketed_upsert_with_narrower_key_type(spark):
     store = new_store(spark)
-    store.upsert("silver", "t", spark.range(0, 100).select(F.col("id").alias("k"), F.lit("old").alias("v")), "k", bucketed=True)
+    store.upsert("silver", "t", spark.range(0, 100).select(F.col("id").alias("k"), F.lit("old").alias("v")), "k", bucketed=True, buckets=8)
     # int keys against a bigint table: same buckets, so the rows are updated, not duplicated
     upd = spark.createDataFrame([(k, "new") for k in range(0, 100, 10)], "k int, v string")
     store.upsert("silver", "t", upd, "k", bucketed=True)
@@ -99,10 +99,16 @@ rounds = st.lists(
 def test_bucketed_upsert_equals_model(spark, base, increments):
     store = new_store(spark)
     model = spark.createDataFrame(base, ROW)
-    store.upsert("silver", "t", model, "k", order=["ts"], bucketed=True)
+    store.upsert("silver", "t", model, "k", order=["ts"], bucketed=True, buckets=8)
     for inc in increments:
         u = spark.createDataFrame(inc, ROW)
         model = spark.createDataFrame(upsert_frames(model, u, "k", order=["ts"]).collect(), ROW)
         store.upsert("silver", "t", u, "k", order=["ts"], bucketed=True)
         got = sorted((tuple(r) for r in store.read("silver", "t").collect()), key=repr)
         assert got == sorted((tuple(r) for r in model.collect()), key=repr)
+
+
+def test_new_table_bucket_count_from_size(spark):
+    store = new_store(spark)
+    store.upsert("silver", "t", spark.range(0, 100).select(F.col("id").alias("k")), "k", bucketed=True)
+    assert store.bucket_spec("silver", "t") == (1, ["k"])  # a few KB: one bucket

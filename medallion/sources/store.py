@@ -17,8 +17,10 @@ same ``n`` buckets, so every partition holds exactly one bucket. A MERGE then
 * writes the touched buckets to a new version directory and repoints just
   those partitions in the catalog.
 
-Its cost follows the touched buckets, not the table. The bucket count doubles
-when a bucket would pass ``BUCKET_BYTES``; that MERGE rewrites the whole table.
+Its cost follows the touched buckets, not the table. When more than half the
+buckets change, one whole new version is swapped in instead. A new table's bucket
+count comes from its estimated size; it doubles when a bucket would pass
+``BUCKET_BYTES`` (that MERGE rewrites the whole table).
 Repointing several partitions is not atomic; an interrupted MERGE is repaired
 by running it again (upserting the same increment twice gives the same table).
 """

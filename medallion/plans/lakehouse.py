@@ -23,6 +23,7 @@ from medallion.operators.silver import (
     incremental_slice,
     latest_file,
     mark_text,
+    null_mark_rows,
     uses_watermark,
     validate_load_type,
     with_bronze_audit,
@@ -247,6 +248,7 @@ class Lakehouse:
         snapshot: str = "all",
         preserve_insert_timestamp: bool = False,
         append_guard: bool = False,
+        report_null_marks: bool = False,
     ) -> RunRecord:
         """Bronze -> silver for one table.
 
@@ -256,7 +258,9 @@ class Lakehouse:
         row's first silver ``insert_timestamp`` when a MERGE updates it. ``append_guard``
         makes an APPEND skip rows whose primary key is already in silver, so a run
         repeated after a failed mark update adds nothing twice (costs a join with
-        the silver keys).
+        the silver keys). ``report_null_marks`` counts the bronze rows an incremental
+        load can never pick up because their mark column is null (``info``; the
+        ``IS NULL`` filter reaches the scan, so row groups without nulls are skipped).
         """
         if snapshot not in ("all", "latest_file"):
             raise ValueError(f"Unsupported snapshot: {snapshot}")
@@ -269,6 +273,8 @@ class Lakehouse:
             validate_load_type(load_type)
             bronze = self.store.read(bronze_db, name)
             incremental = uses_watermark(load_type, mark_col)
+            if incremental and report_null_marks:
+                rec.info["null_mark_rows"] = null_mark_rows(bronze, mark_col).count()
             last = self.last_mark(table_id) if incremental else None
             sl = incremental_slice(bronze, load_type, mark_col, last)
             if snapshot == "latest_file" and load_type == "FULL":

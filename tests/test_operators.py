@@ -222,6 +222,13 @@ def test_incremental_slice(spark):
             validate_load_type(bad)
 
 
+def test_null_mark_rows(spark):
+    from medallion.operators.silver import null_mark_rows
+
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, None)], "id int, ts timestamp")
+    assert [r["id"] for r in null_mark_rows(df, "ts").collect()] == [2]
+
+
 def test_audit_columns(spark):
     df = spark.createDataFrame([(1,)], "id int")
     b = with_bronze_audit(df).first()

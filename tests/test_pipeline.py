@@ -85,7 +85,8 @@ def test_bounded_merge_with_watermark(spark, lh):
     )
     # only rows after the mark reach bronze; P1 at the mark is not reloaded (strict >)
     assert lh.dispatch(5, run_id=4, readers={"subject": reader(src2)}).records == 2
-    lh.load_silver(5, run_id=4, as_of=second_at, preserve_insert_timestamp=True)
+    rec = lh.load_silver(5, run_id=4, as_of=second_at, preserve_insert_timestamp=True, report_null_marks=True)
+    assert rec.info["null_mark_rows"] == 0  # P3's null-mark row never reached bronze (the reader's filter)
     silver = {r["subject_id"]: r for r in lh.store.read("silver", "subject").collect()}
     got = {k: r["enrollment_status"] for k, r in silver.items()}
     assert got == {"P1": "Enrolled", "P2": "Withdrawn", "P4": "Enrolled"}

@@ -115,14 +115,36 @@ def table_params(params: DataFrame, table_id: int | None = None, names: Sequence
     )
 
 
-def table_params_dict(params: DataFrame, table_id: int) -> dict[str, str | None]:
-    """One table's parameters as a dict (one row, read on the driver)."""
-    rows = table_params(params, table_id).collect()
+def table_params_dict(params: DataFrame, table_id: int, names: Sequence[str] = PARAMETER_NAMES) -> dict[str, str | None]:
+    """One table's parameters as a dict: its few key-value rows are filtered on the
+    executors (no shuffle) and folded on the driver with the same rule as
+    ``table_params`` (latest ``created_at``, ties: greatest value)."""
+    if not table_id:
+        raise ValueError("table_id must be a positive id")
+    cols = ["parameter_name", "parameter_value"] + (["created_at"] if "created_at" in params.columns else [])
+    rows = params.filter(F.col("table_id") == F.lit(table_id)).select(*cols).collect()
     if not rows:
         raise ValueError(f"no parameters for table_id {table_id}")
-    d = rows[0].asDict()
-    d.pop("table_id")
-    return d
+    best: dict[str, tuple] = {}
+    for r in rows:
+        rank = (r["created_at"] if "created_at" in cols else None, r["parameter_value"])
+        current = best.get(r["parameter_name"])
+        if current is None or _later(rank, current):
+            best[r["parameter_name"]] = rank
+    return {n: (best[n][1] if n in best else None) for n in names}
+
+
+def _later(a: tuple, b: tuple) -> bool:
+    """Order of ``max_by(value, struct(created_at, value))``: nulls lowest."""
+    for x, y in zip(a, b):
+        if x == y:
+            continue
+        if x is None:
+            return False
+        if y is None:
+            return True
+        return x > y
+    return False
 
 
 def latest_schemas(schemas: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.namespace = namespace
+        self._databases: set[str] = set()
 
     # ---- names and paths -------------------------------------------------------------
     def db(self, database: str) -> str:
@@ -92,7 +93,9 @@ class TableStore:
 
     # ---- catalog ---------------------------------------------------------------------
     def ensure_database(self, database: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db(database)}`")
+        if database not in self._databases:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db(database)}`")
+            self._databases.add(database)
 
     def exists(self, database: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.qualified(database, table))

@@ -301,3 +301,15 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", partition_column="id")
     assert source_table_name("biobank", "freezer") == "biobank.freezer"
     assert source_table_name(None, "freezer") == "freezer"
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["load_type", "primary_key", "other"]), st.one_of(st.none(), st.sampled_from(["A", "B", "C"])), st.one_of(st.none(), st.integers(0, 3))), min_size=1, max_size=8))
+def test_table_params_dict_equals_pivot(spark, rows_):
+    p = spark.createDataFrame(
+        [(1, n, v, None if t is None else datetime(2024, 1, 1 + t)) for n, v, t in rows_],
+        "table_id int, parameter_name string, parameter_value string, created_at timestamp",
+    )
+    pivot = registry.table_params(p, 1).first().asDict()
+    pivot.pop("table_id")
+    assert registry.table_params_dict(p, 1) == pivot

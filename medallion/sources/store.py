@@ -40,6 +40,8 @@ STAGE_SUFFIX = "__stage"
 BUCKET_COLUMN = "_bucket"
 # Target on-disk size of one bucket of an upsert table (one scan task).
 BUCKET_BYTES = 512 * 1024 * 1024
+# Fewest buckets of a new upsert table (small tables still get some parallelism).
+MIN_BUCKETS = 8
 
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
@@ -175,15 +177,17 @@ class TableStore:
 
     def initial_buckets(self, df: DataFrame) -> int:
         """Bucket count of a new upsert table: a power of two giving about ``BUCKET_BYTES``
-        per bucket by the optimizer's size estimate of the input, at most ``min_buckets``."""
+        per bucket by the optimizer's size estimate of the input, between
+        ``MIN_BUCKETS`` (some parallelism for small tables) and ``min_buckets``."""
+        cap = self.min_buckets()
         try:
             size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         except Exception:  # noqa: BLE001 - no estimate: use the session's parallelism
-            return self.min_buckets()
-        n = 1
-        while n < self.min_buckets() and size / n > BUCKET_BYTES:
+            return cap
+        n = min(MIN_BUCKETS, cap)
+        while n < cap and size / n > BUCKET_BYTES:
             n *= 2
-        return min(n, self.min_buckets())
+        return min(n, cap)
 
     def bucket_spec(self, database: str, table: str) -> tuple[int, list[str]] | None:
         """(bucket count, bucket columns) of a table, or None when not bucketed."""

@@ -207,9 +207,10 @@ class Lakehouse:
         ``read(load_type, watermark_column, last_mark)`` returns the slice to load.
         """
         t = table or self.table_row(table_id)
-        p = self.params(table_id)
-        load_type, mark_col = p.get("load_type"), p.get("watermark_column")
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
+            # inside the audited block: a missing parameter row ends the run as FAILED
+            p = self.params(table_id)
+            load_type, mark_col = p.get("load_type"), p.get("watermark_column")
             last = self.last_mark(table_id) if uses_watermark(load_type, mark_col) else None
             src = with_bronze_audit(read(load_type, mark_col, last))
             obs = Observation(f"bronze_{table_id}_{int(time.time() * 1000)}")
@@ -265,11 +266,12 @@ class Lakehouse:
         if snapshot not in ("all", "latest_file"):
             raise ValueError(f"Unsupported snapshot: {snapshot}")
         t = self.table_row(table_id)
-        p = self.params(table_id)
         name = t["table_name"]
         bronze_db, silver_db = t["bronze_schema"] or "bronze", t["silver_schema"] or "silver"
-        load_type, key, mark_col = p.get("load_type"), p.get("primary_key"), p.get("watermark_column")
         with self.audited(run_id, table_id, "Silver") as rec:
+            # inside the audited block: a missing parameter row ends the run as FAILED
+            p = self.params(table_id)
+            load_type, key, mark_col = p.get("load_type"), p.get("primary_key"), p.get("watermark_column")
             validate_load_type(load_type)
             bronze = self.store.read(bronze_db, name)
             incremental = uses_watermark(load_type, mark_col)

@@ -143,6 +143,12 @@ def test_errors_are_recorded(spark, lh):
         lh.load_silver(9101, run_id=7)
     run = lh.meta("pipeline_runs").filter((F.col("run_id") == 7) & (F.col("table_id") == 9101)).first()
     assert run["status"] == audit.FAILED and "Unsupported load_type" in run["error_message"]
+    # a registered table without parameter rows: the run still ends FAILED, not INPROGRESS
+    lh.register(9102, "no_params", "sqlserver", {})
+    with pytest.raises(ValueError, match="no parameters"):
+        lh.load_silver(9102, run_id=7)
+    run = lh.meta("pipeline_runs").filter((F.col("run_id") == 7) & (F.col("table_id") == 9102)).first()
+    assert run["status"] == audit.FAILED
 
 
 def test_run_report(spark, lh):

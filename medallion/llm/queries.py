@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, packing, sharding
+from medallion.llm import exact_dedup, packing, quality, sharding
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_query,
     "op5_sharding": sharding.op5_query,
     "op9_best_fit_packing": packing.op9_query,
+    "op10_quality_rules": quality.op10_query,
 }
 
 SQL = {

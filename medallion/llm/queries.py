@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, packing, quality, sharding
+from medallion.llm import exact_dedup, near_dedup, packing, quality, sharding
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_query,
     "op5_sharding": sharding.op5_query,
+    "op7_minhash_near_dedup": near_dedup.op7_query,
     "op9_best_fit_packing": packing.op9_query,
     "op10_quality_rules": quality.op10_query,
 }

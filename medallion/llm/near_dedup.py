@@ -7,13 +7,15 @@ with nothing). Windows are 64-bit hashes.
 1. One pass gives each document its word-sequence digest, set size, 48 band keys over 5 minima
    each (a pair at similarity 0.75 shares no band with probability 2e-6) and a sketch of one
    bit of each of the 240 minima. Documents with one digest are a class; classes are the nodes.
-2. Stars: in each band bucket every class is paired with the smallest one. Pairs whose sketches
-   and sizes allow 0.75 (six standard deviations below) are confirmed on the full sets.
-3. Components by large-star and small-star. Buckets whose members are in one component are done:
-   further links could not change the result. In the others, members outside the bucket's most
-   frequent component are paired with the members of other components; sketch and size are
-   part of the join condition, survivors are confirmed on full sets, components run again. So no link
-   between components is lost and a large group of copies never becomes all its pairs.
+2. In each band bucket one class, another one each round, is paired with the members of
+   other components. Pairs whose sketches and sizes allow 0.75 (six standard deviations below) are
+   confirmed on the full sets, and large-star / small-star joins the components.
+3. Buckets whose members are in one component are done: further links could not change the
+   result. When the pairs between the components of the remaining buckets are no more than a few
+   per member (or a round finds next to nothing), all of them are met: members outside a bucket's
+   largest component with the members of other components, block by block, on full sets. Only
+   links leave a block. So no link between components is lost, and a
+   large group of copies never becomes all its pairs.
 
 There are no caps on buckets, partners or candidates. Rows with a null id form classes too;
 null sorts last when the smallest id is taken. Repeated rows share a class.
@@ -38,12 +40,16 @@ HASHES = BANDS * ROWS
 #: 0.75 of the sets' sizes; bits in which two sketches may differ: 240 * 0.125 plus six standard deviations.
 PERCENT = 75
 MAX_BITS = 61
+#: Members and bytes of sets up to which a bucket is checked in one block; larger buckets are met block by block.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 1 << 25
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(1, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _ODD = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
 _BAND_SEED = _RNG.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 BLOCK = 1 << 13
+#: Pairs for each member of a shared bucket up to which all pairs between components are met at once.
+EASY = 4
 _CACHE: dict[bytes, int] = {}
 
 
@@ -103,9 +109,10 @@ def sketch(best: np.ndarray) -> np.ndarray:
 
 
 def signatures(df: DataFrame, text: str, rid: str, id_col: str) -> DataFrame:
-    """rid, id, n (set size), c0, c1 (digest of the word sequence), bands, s0 to s3."""
+    """rid, id, n (set size), c0, c1 (digest of the word sequence), bands, s0 to s3 (sketch)."""
     src = df.select(col(rid).alias("rid"), col(id_col).alias("id"), text_or_empty(text).alias("t"))
     kind = dict(src.dtypes)["id"]
+    marks = [f"s{k}" for k in range(4)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -118,12 +125,12 @@ def signatures(df: DataFrame, text: str, rid: str, id_col: str) -> DataFrame:
                 bands.append(band_keys(best) if len(s) else None)
                 bits.append(sketch(best))
             two = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            four = np.array(bits, np.int64).reshape(-1, 4)
+            all_ = np.array(bits, np.int64).reshape(-1, len(marks))
             arrays = [b.column("rid"), b.column("id"), pa.array(n, pa.int64()), *[pa.array(np.ascontiguousarray(two[:, k])) for k in (0, 1)]]
-            arrays += [pa.array(bands, pa.list_(pa.int64())), *[pa.array(np.ascontiguousarray(four[:, k])) for k in range(4)]]
-            yield pa.RecordBatch.from_arrays(arrays, ["rid", "id", "n", "c0", "c1", "bands", "s0", "s1", "s2", "s3"])
+            arrays += [pa.array(bands, pa.list_(pa.int64())), *[pa.array(np.ascontiguousarray(all_[:, k])) for k in range(len(marks))]]
+            yield pa.RecordBatch.from_arrays(arrays, ["rid", "id", "n", "c0", "c1", "bands", *marks])
 
-    return src.mapInArrow(run, f"rid long, id {kind}, n long, c0 long, c1 long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
+    return src.mapInArrow(run, f"rid long, id {kind}, n long, c0 long, c1 long, bands array<long>, " + ", ".join(f"{m} long" for m in marks))
 
 
 def _may_match(a: str, b: str) -> Column:
@@ -133,17 +140,20 @@ def _may_match(a: str, b: str) -> Column:
     return (small * 100 >= large * PERCENT) & (differ <= MAX_BITS)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, text: str, rid: str) -> DataFrame:
-    """The pairs (u, v) of row numbers whose full sets have 100 * intersection >= 75 * union."""
-    needed = stage(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "needed")
-    src = docs.select(col(rid).alias("rid"), text_or_empty(text).alias("t")).join(needed, F.col("rid") == F.col("node"), "left_semi")
+def full_sets(nodes: DataFrame, docs: DataFrame, text: str, rid: str) -> DataFrame:
+    """rid, shingles: the whole set of each row whose number is in ``nodes`` (column node)."""
+    src = docs.select(col(rid).alias("rid"), text_or_empty(text).alias("t")).join(nodes, F.col("rid") == F.col("node"), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingle_set(t)[0].tobytes() for t in b.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(found, pa.binary())], ["rid", "shingles"])
 
-    known = stage(src.mapInArrow(sets, "rid long, shingles binary"), "sets")
+    return src.mapInArrow(sets, "rid long, shingles binary")
+
+
+def confirm(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (u, v) of row numbers whose full sets have 100 * intersection >= 75 * union."""
     both = (
         pairs.join(known.select(F.col("rid").alias("u"), F.col("shingles").alias("a")), "u")
         .join(known.select(F.col("rid").alias("v"), F.col("shingles").alias("b")), "v")
@@ -161,6 +171,78 @@ def confirm(pairs: DataFrame, docs: DataFrame, text: str, rid: str) -> DataFrame
     return both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
 
 
+def meet(rest: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (u, v) between the components of each bucket, on full sets.
+
+    ``rest``: key, x (class and sketch), root, top (root of the bucket's largest component), n and
+    long_ (members and windows of the bucket). Members outside the largest component are sent to
+    every block of their bucket and compared with its members; only links leave a block."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("long_") * 8 / BLOCK_BYTES))
+    rows = rest.select("key", "x", "root", "top", blocks.alias("k")).join(known, F.col("x.nid") == F.col("rid"))
+    data = ["x.nid", "x.n", "root", "top", *[f"x.s{k}" for k in range(4)], "shingles"]
+    placed = rows.select("key", F.pmod(F.xxhash64("x.nid"), F.col("k")).cast("long").alias("block"), *data, F.lit(False).alias("minor"))
+    sent = rows.filter("root <> top").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("block"), *data, F.lit(True).alias("minor"))
+
+    def check(t: pa.Table) -> pa.Table:
+        nid, n, root, top = (t.column(c).to_numpy() for c in ("nid", "n", "root", "top"))
+        bits = np.stack([t.column(f"s{k}").to_numpy() for k in range(4)], 1)
+        minor = t.column("minor").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
+        here = np.flatnonzero(~minor)
+        u, v = [], []
+        for y in np.flatnonzero(minor):
+            can = here[(root[here] != root[y]) & ((root[here] == top[here]) | (nid[here] < nid[y]))]
+            can = can[100 * np.minimum(n[can], n[y]) >= PERCENT * np.maximum(n[can], n[y])]
+            can = can[np.bitwise_count((bits[can] ^ bits[y]).view(np.uint64)).sum(1) <= MAX_BITS]
+            if not len(can):
+                continue
+            ends = np.cumsum([len(sets[i]) for i in can])
+            pool = np.concatenate([sets[i] for i in can])
+            at = np.minimum(np.searchsorted(sets[y], pool), len(sets[y]) - 1)
+            common = np.add.reduceat((sets[y][at] == pool).astype(np.int64), np.concatenate([[0], ends[:-1]]))
+            for i in can[100 * common >= PERCENT * (n[can] + n[y] - common)]:
+                u.append(min(nid[i], nid[y]))
+                v.append(max(nid[i], nid[y]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return placed.union(sent).groupBy("key", "block").applyInArrow(check, "u long, v long")
+
+
+def link_classes(members: DataFrame, docs: DataFrame, text: str, rid: str) -> DataFrame:
+    """(key, x) band buckets -> (node, root) of every class that is linked with another one."""
+    spark = members.sparkSession
+    crowded = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "crowded")
+    shared = stage(members.join(crowded, "key"), "shared")  # members of buckets that have two at least
+    known = stage(full_sets(shared.select(F.col("x.nid").alias("node")).distinct(), docs, text, rid), "sets")
+    size = shared.count()
+    roots = spark.createDataFrame([], "node long, root long")
+    idle, turn = False, 0
+    while True:
+        placed = shared.join(roots, F.col("x.nid") == F.col("node"), "left").select("key", "x", F.coalesce("root", "x.nid").alias("root"))
+        of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("x.n").alias("long_"), F.min(F.struct(F.xxhash64("x.nid", F.lit(turn)).alias("h"), F.col("x"))).alias("p"))
+        open_ = of_root.groupBy("key").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("n"), F.sum("long_").alias("long_"), F.count(F.lit(1)).alias("k"), F.min(F.struct("p", "root")).alias("pivot"))
+        open_ = stage(open_.filter("k > 1").select("key", F.col("top.root").alias("top"), F.col("pivot.p.x").alias("y"), F.col("pivot.root").alias("root2"), "n", "long_", (F.col("n") * (F.col("n") - F.col("top.m"))).alias("cost")), "open")
+        cost = open_.agg(F.sum(F.col("cost").cast("double"))).first()[0] or 0
+        if not cost:
+            return roots
+        rest = placed.join(open_, "key")
+        last = turn > 0 and (cost <= EASY * size or idle)
+        if last:
+            links = stage(meet(rest, known).distinct(), "links")
+        else:
+            met = rest.filter(F.col("root") != F.col("root2")).filter(_may_match("x", "y"))
+            met = met.select(F.least("x.nid", "y.nid").alias("u"), F.greatest("x.nid", "y.nid").alias("v")).distinct()
+            links = stage(confirm(stage(met, "pairs"), known), "links")
+        found = links.count()
+        idle = found * 1000 < size
+        if found:
+            star = roots.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+            roots = stage(components(star.union(links)), "roots")
+        if last:
+            return roots
+        turn += 1
+
+
 def near_groups(docs: DataFrame, text: str, rid: str, id_col: str) -> DataFrame:
     """rid, id, n_shingles, component_id (smallest id reachable), kept (one row of each component)."""
     rows = stage(signatures(docs, text, rid, id_col), "signatures")
@@ -170,24 +252,7 @@ def near_groups(docs: DataFrame, text: str, rid: str, id_col: str) -> DataFrame:
     nodes = rows.join(classes.select("nid"), F.col("rid") == F.col("nid")).select("bands", side.alias("x"))
     members = stage(nodes.select(F.explode("bands").alias("key"), "x"), "members")
 
-    pivots = stage(members.groupBy("key").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m"), "pivots")
-    shared = stage(members.join(pivots, "key"), "shared")  # members of buckets that have two at least
-    stars = shared.filter("x.nid <> p.nid").filter(_may_match("x", "p")).select(F.col("p.nid").alias("u"), F.col("x.nid").alias("v")).distinct()
-    links = stage(confirm(stage(stars, "stars"), docs, text, rid), "links")
-    roots = stage(components(links), "roots")
-
-    placed = shared.join(roots, F.col("x.nid") == F.col("node"), "left").select("key", "x", F.coalesce("root", "x.nid").alias("root"))
-    open_ = stage(placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "root")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", F.col("top.root").alias("top")), "open")
-    rest = stage(placed.join(open_, "key"), "rest")
-    minor = rest.filter("root <> top").select(F.col("key").alias("key2"), F.col("x").alias("y"), F.col("root").alias("root2"))
-    # two minor members are met once (by number); a minor and a major one always
-    met = rest.join(minor, (F.col("key") == F.col("key2")) & (F.col("root") != F.col("root2")) & ((F.col("root") == F.col("top")) | (F.col("x.nid") < F.col("y.nid"))) & _may_match("x", "y"))
-    more = met.select(F.least("x.nid", "y.nid").alias("u"), F.greatest("x.nid", "y.nid").alias("v")).distinct()
-    links2 = stage(confirm(stage(more, "across"), docs, text, rid), "links2")
-    if not links2.isEmpty():
-        star = roots.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = stage(components(star.union(links2)), "roots2")
-
+    roots = link_classes(members, docs, text, rid)
     named = classes.join(roots, F.col("nid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "nid"))
     named = stage(named.select("c0", "c1", "root", "first"), "named")
     least = named.groupBy("root").agg(F.min("first").alias("least"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, near_dedup, packing, quality, sharding
+from medallion.llm import exact_dedup, near_dedup, packing, pii, quality, sharding
 
 QUERIES = {
+    "op1_pii": pii.op1_query,
     "op3_exact_dedup": exact_dedup.op3_query,
     "op5_sharding": sharding.op5_query,
     "op7_minhash_near_dedup": near_dedup.op7_query,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, near_dedup, packing, pii, quality, sharding
+from medallion.llm import exact_dedup, near_dedup, packing, pieces, pii, quality, sharding, url_filters
 
 QUERIES = {
     "op1_pii": pii.op1_query,
     "op3_exact_dedup": exact_dedup.op3_query,
+    "op4_pieces": pieces.op4_query,
     "op5_sharding": sharding.op5_query,
+    "op6_url_filters": url_filters.op6_query,
     "op7_minhash_near_dedup": near_dedup.op7_query,
     "op9_best_fit_packing": packing.op9_query,
     "op10_quality_rules": quality.op10_query,
@@ -15,4 +17,5 @@ QUERIES = {
 
 SQL = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op6_url_filters": url_filters.OP6_SQL,
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, near_dedup, packing, pieces, pii, quality, sharding, url_filters
+from medallion.llm import exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, sharding, url_filters
 
 QUERIES = {
     "op1_pii": pii.op1_query,
+    "op2_lm_scoring": lm_scoring.op2_query,
     "op3_exact_dedup": exact_dedup.op3_query,
     "op4_pieces": pieces.op4_query,
     "op5_sharding": sharding.op5_query,

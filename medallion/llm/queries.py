@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, sharding, url_filters
+from medallion.llm import exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, sharding, substring_dedup, url_filters
 
 QUERIES = {
     "op1_pii": pii.op1_query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_sharding": sharding.op5_query,
     "op6_url_filters": url_filters.op6_query,
     "op7_minhash_near_dedup": near_dedup.op7_query,
+    "op8_suffix_dedup": substring_dedup.op8_query,
     "op9_best_fit_packing": packing.op9_query,
     "op10_quality_rules": quality.op10_query,
 }

@@ -1,9 +1,8 @@
 """A small causal self-attention model over token classes, trained and run in numpy.
 
-A token's probability is P(its class | the classes before it) * P(token | class). The class
-model has one attention head over windows of ``WINDOW`` inputs. Windows overlap by half: the second
-half's next tokens are scored, each token once, with the first half as context. Inputs before a
-document's start are masked.
+The model has one attention head over windows of ``WINDOW`` classes. Windows overlap by half: the
+second half's next classes are scored, each once, with the first half as context. Positions before a
+document's start (and after its end, which no scored position sees) hold a class of their own, ``none``.
 """
 
 from __future__ import annotations
@@ -11,7 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 WINDOW, HALF, WIDTH = 32, 16, 16
-_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None], 0.0, -1e9).astype(np.float32)
+_CAUSAL = (np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None]).astype(np.float32)
+LIMIT = np.float32(40)  # of exponents, so that sums stay finite without a pass for the largest
 
 
 def initial(classes: int, seed: int = 11) -> dict[str, np.ndarray]:
@@ -21,7 +21,7 @@ def initial(classes: int, seed: int = 11) -> dict[str, np.ndarray]:
         return (r.standard_normal(shape) * 0.1).astype(np.float32)
 
     return {
-        "e": draw(classes, WIDTH), "p": draw(WINDOW, WIDTH), "q": draw(WIDTH, WIDTH), "k": draw(WIDTH, WIDTH),
+        "e": draw(classes + 1, WIDTH), "p": draw(WINDOW, WIDTH), "q": draw(WIDTH, WIDTH), "k": draw(WIDTH, WIDTH),
         "v": draw(WIDTH, WIDTH), "o": draw(WIDTH, classes), "b": np.zeros(classes, np.float32),
     }
 
@@ -38,66 +38,71 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def windows(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of inputs (-1: before the start or after the end) and their scored targets (-1: none)
-    for a class sequence whose first entry is only context."""
+def windows(sequence: np.ndarray, none: int, first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of inputs and their scored targets (-1: no target) for a class sequence whose first entry
+    is only context; of all windows, every ``every``-th from ``first`` on."""
     n = len(sequence) - 1
     rows = -(-n // HALF)
-    padded = np.full((rows + 1) * HALF, -1, np.int16)
-    padded[HALF : HALF + n] = sequence[:-1]
+    padded = np.full((rows + 2) * HALF, none, np.int16)
+    padded[HALF : HALF + n + 1] = sequence
     targets = np.full(rows * HALF, -1, np.int16)
     targets[:n] = sequence[1:]
-    inputs = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::HALF]
-    return inputs, targets.reshape(rows, HALF)
+    inputs = np.lib.stride_tricks.sliding_window_view(padded[: (rows + 1) * HALF], WINDOW)[first * HALF :: HALF * every]
+    return inputs, targets.reshape(rows, HALF)[first::every]
 
 
-def _softmax(a: np.ndarray) -> np.ndarray:
-    a -= a.max(-1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
-    return a
+def number_of_windows(n: int) -> int:
+    return -(-n // HALF)
+
+
+def _exp(a: np.ndarray) -> np.ndarray:
+    np.minimum(a, LIMIT, out=a)
+    return np.exp(a, out=a)
+
+
+def _times(a: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """One matrix product for the whole batch."""
+    return (a.reshape(-1, a.shape[-1]) @ m).reshape(*a.shape[:-1], m.shape[1])
 
 
 def _attend(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-    x = w["e"][inputs] + w["p"]
+    x = np.take(w["e"], inputs, axis=0)
+    x += w["p"]
     late = x[:, HALF:]
-    q, k, v = late @ w["q"], x @ w["k"], x @ w["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += _CAUSAL
-    a += np.where(inputs < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-    p = _softmax(a)
-    return x, late, q, k, v, p, late + p @ v
+    q, k, v = _times(late, w["q"] * np.float32(WIDTH**-0.5)), _times(x, w["k"]), _times(x, w["v"])
+    p = _exp(q @ np.ascontiguousarray(k.transpose(0, 2, 1)))
+    p *= _CAUSAL
+    total = (p @ np.ones(WINDOW, np.float32))[..., None]  # a product is faster than a short sum
+    return x, late, q, k, v, p, total, late + (p @ v) / total
 
 
 def log_probs(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target class (0 where there is none)."""
-    h = _attend(w, inputs)[-1]
-    z = h @ w["o"]
+    z = _times(_attend(w, inputs)[-1], w["o"])
     z += w["b"]
-    z -= z.max(-1, keepdims=True)
+    np.minimum(z, LIMIT, out=z)
     own = np.take_along_axis(z, np.maximum(targets, 0)[..., None].astype(np.int64), 2)[..., 0]
-    np.exp(z, out=z)
-    return np.where(targets >= 0, own - np.log(z.sum(-1)), 0.0)
+    return np.where(targets >= 0, own - np.log(np.exp(z, out=z) @ np.ones(z.shape[-1], np.float32)), 0.0)
 
 
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-    x, late, q, k, v, p, h = _attend(w, inputs)
-    dz = _softmax(h @ w["o"] + w["b"])
+    x, late, q, k, v, p, total, h = _attend(w, inputs)
+    p /= total
+    dz = _exp(_times(h, w["o"]) + w["b"])
+    dz /= dz.sum(-1, keepdims=True)
     there = targets >= 0
     i, j = np.nonzero(there)
     dz[i, j, targets[i, j]] -= 1
     dz *= (there / max(1, there.sum())).astype(np.float32)[..., None]
     flat2 = lambda m: m.reshape(-1, m.shape[-1])
-    dh = dz @ w["o"].T
+    dh = _times(dz, w["o"].T)
     dp = dh @ v.transpose(0, 2, 1)
-    da = p * (dp - (dp * p).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ q, p.transpose(0, 2, 1) @ dh
-    dx = dk @ w["k"].T + dv @ w["v"].T
-    dx[:, HALF:] += dh + dq @ w["q"].T
-    dx[inputs < 0] = 0
-    de = np.zeros_like(w["e"])
-    np.add.at(de, inputs[inputs >= 0], dx[inputs >= 0])
+    da = p * (dp - (dp * p).sum(-1, keepdims=True))
+    dq, dk, dv = (da @ k) * np.float32(WIDTH**-0.5), da.transpose(0, 2, 1) @ q, p.transpose(0, 2, 1) @ dh
+    dx = _times(dk, w["k"].T) + _times(dv, w["v"].T)
+    dx[:, HALF:] += dh + _times(dq, w["q"].T)
+    at = inputs.ravel()
+    de = np.stack([np.bincount(at, d, len(w["e"])) for d in flat2(dx).T], 1).astype(np.float32)
     return {
         "e": de, "p": dx.sum(0), "q": flat2(late).T @ flat2(dq), "k": flat2(x).T @ flat2(dk), "v": flat2(x).T @ flat2(dv),
         "o": flat2(h).T @ flat2(dz), "b": flat2(dz).sum(0),

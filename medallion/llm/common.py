@@ -51,7 +51,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage: a lost executor costs a re-read of files, not a re-run."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,11 +7,13 @@ count as empty texts.
    ids, in chunks of ``CHUNK_BYTES`` of text. A chunk has its own word list, so words travel once per
    chunk instead of once per document, and nothing the size of the vocabulary is broadcast: the chunk's
    counts come back to the chunk's documents (cogroup, bounded by the chunk).
-2. Token counts and the counts of the tokens before them over all training documents (tables bounded
-   by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means.
+2. Token counts and the counts of what stands before them over all training documents (tables bounded
+   by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means; and
+   P(token | its class, the class before it), smoothed by P(token | its class).
 3. The attention model over classes is trained in rounds: each task runs Adam over every
    ``TRAIN_EVERY``-th window of its training documents, Spark averages the weights (weighted by windows).
-4. Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
+4. A token's probability is P(its class | the classes before it) by the attention model, times the table's.
+   Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,32 +32,50 @@ from pyspark.sql import functions as F
 from medallion.llm import attention, tokens
 from medallion.llm.common import col, keyed, read_table, stage, text_or_empty
 
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 24
 ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
 CLASSES = ALONE + CLUSTERS
-ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 16, 256, 0.01
-SCORE_BATCH = 2048
+ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 32, 32, 0.02
+SCORE_BATCH = 32
+ROWS = 256  # documents taken from an Arrow batch at once
 
 
 def held_out(doc_id: object) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
 
 
+class Numbers(dict):
+    """Word -> number in the order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            yield b.slice(i, ROWS)
+
+
 def split_texts(df: DataFrame, text: str, id_col: str, rid: str) -> DataFrame:
     """Document rows (chunk, rid, id, held_out, word numbers, token ids) and one word row per chunk (words, training counts)."""
     src = df.select(col(rid).alias("rid"), col(id_col).alias("id"), text_or_empty(text).alias("t"))
     kind = dict(src.dtypes)["id"]
-    names = ["chunk", "rid", "id", "held_out", "words", "ids", "vocabulary", "counts"]
+    names = ["chunk", "rid", "id", "held_out", "words", "ids", "vocabulary", "counts", "token_counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 24
+        squeeze = zstandard.ZstdCompressor(level=1)
+        chunk = TaskContext.get().partitionId() << 16
         rows: list[tuple] = []
-        number: dict[bytes, int] = {}
+        number = Numbers()
         train: list[np.ndarray] = []
+        recent: list[np.ndarray] = []
         size, id_type = 0, None
 
         def close() -> Iterator[pa.RecordBatch]:
             counts = np.bincount(np.concatenate(train), minlength=len(number)) if train else np.zeros(len(number), np.int64)
+            used = np.bincount(np.concatenate(recent), minlength=tokens.VOCABULARY) if recent else np.zeros(tokens.VOCABULARY, np.int64)
             n = len(rows)
             c = list(zip(*rows, strict=True))
             none = [None] * n
@@ -62,39 +83,42 @@ def split_texts(df: DataFrame, text: str, id_col: str, rid: str) -> DataFrame:
                 pa.array([chunk] * (n + 1), pa.int64()), pa.array([*c[0], None], pa.int64()), pa.array([*c[1], None], id_type), pa.array([*c[2], None], pa.bool_()),
                 pa.array([*c[3], None], pa.binary()), pa.array([*c[4], None], pa.binary()),
                 pa.array([*none, [w.decode() for w in number]], pa.list_(pa.string())), pa.array([*none, counts], pa.list_(pa.int64())),
+                pa.array([*none, used], pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-        for b in batches:
+        for b in _slices(batches):
             id_type = b.column("id").type
             for rid_, id_, t in zip(b.column("rid").to_pylist(), b.column("id").to_pylist(), b.column("t").to_pylist(), strict=True):
                 raw = t.encode()
                 w = raw.lower().split()
-                numbers = np.array([number.setdefault(x, len(number)) for x in w], np.int32)
+                numbers = np.fromiter(map(number.__getitem__, w), np.int32, len(w))
                 out = held_out(id_)
+                ids = np.append(tokens.encode(t), np.uint32(tokens.END_ID)).astype("<u2")
                 if not out:
                     train.append(numbers)
-                ids = np.append(tokens.encode(t), np.uint32(tokens.END_ID)).astype("<u2")
-                rows.append((rid_, id_, out, numbers.astype("<i4").tobytes(), ids.tobytes()))
+                    recent.append(ids)
+                rows.append((rid_, id_, out, squeeze.compress(numbers.astype("<i4").tobytes()), ids.tobytes()))
                 size += len(raw) + 64
                 if size >= CHUNK_BYTES:
                     yield from close()
                     chunk += 1
-                    rows, number, train, size = [], {}, [], 0
+                    rows, number, train, recent, size = [], Numbers(), [], [], 0
         if rows:
             yield from close()
 
-    return src.mapInArrow(run, f"chunk long, rid long, id {kind}, held_out boolean, words binary, ids binary, vocabulary array<string>, counts array<long>")
+    return src.mapInArrow(run, f"chunk long, rid long, id {kind}, held_out boolean, words binary, ids binary, vocabulary array<string>, counts array<long>, token_counts array<long>")
 
 
 def base_scores(split: DataFrame) -> DataFrame:
     """rid, id, held_out, n_tokens, n_known, train_tokens, base_score of the word unigram model."""
     docs = split.filter("rid IS NOT NULL")
     words = split.filter("vocabulary IS NOT NULL").select("chunk", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("at", "x"))
-    words = words.select("chunk", "at", F.col("x.vocabulary").alias("word"), F.col("x.counts").alias("n"))
+    place = F.shiftleft(F.col("chunk"), 24).bitwiseOR(F.col("at").cast("long"))  # a chunk has under 2**24 words
+    words = words.select(place.alias("place"), F.col("x.vocabulary").alias("word"), F.col("x.counts").cast("int").alias("n"))
     same = Window.partitionBy("word")
-    known = words.withColumn("c", F.sum("n").over(same)).withColumn("first", F.row_number().over(same.orderBy("chunk")) == 1)
-    known = stage(known.select("chunk", "at", "n", "c", "first"), "word-counts")
+    known = words.withColumn("c", F.sum("n").over(same)).withColumn("first", F.row_number().over(same.orderBy("place")) == 1)
+    known = stage(known.select("place", "n", "c", "first"), "word-counts")
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0)).alias("v")).first()
     ends = docs.filter("NOT held_out").count()
     n_all, v_all = int(total["n"]) + ends, int(total["v"]) + (ends > 0)
@@ -104,9 +128,9 @@ def base_scores(split: DataFrame) -> DataFrame:
         c = np.zeros(right.num_rows, np.int64)
         c[right.column("at").to_numpy()] = right.column("c").to_numpy()
         logs, seen = np.log10(c + 1.0), c > 0
-        rows = []
+        rows, expand = [], zstandard.ZstdDecompressor()
         for w in left.column("words"):
-            ids = np.frombuffer(w.as_buffer(), "<i4")
+            ids = np.frombuffer(expand.decompress(w.as_buffer()), "<i4")
             n = len(ids) + 1
             base = float(logs[ids].sum()) + math.log10(ends + 1.0) - n * math.log10(n_all + v_all + 1.0)
             rows.append((n, int(seen[ids].sum()) + (ends > 0), base))
@@ -117,13 +141,17 @@ def base_scores(split: DataFrame) -> DataFrame:
         )
 
     left = docs.select("chunk", "rid", "id", "held_out", "words").groupBy("chunk")
-    right = known.select("chunk", "at", "c").groupBy("chunk")
+    at = F.col("place").bitwiseAND(F.lit((1 << 24) - 1)).cast("int")
+    right = known.select(F.shiftright("place", 24).alias("chunk"), at.alias("at"), "c").groupBy("chunk")
     return left.cogroup(right).applyInArrow(score, f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double")
 
 
+_END = np.array([tokens.END_ID], np.int32)
+
+
 def _sequences(b: pa.RecordBatch) -> Iterator[np.ndarray]:
     for x in b.column("ids"):
-        yield np.frombuffer(x.as_buffer(), "<u2").astype(np.int64)
+        yield np.frombuffer(x.as_buffer(), "<u2").astype(np.int32)
 
 
 def _table(df: DataFrame, size: int, number) -> np.ndarray:
@@ -131,10 +159,17 @@ def _table(df: DataFrame, size: int, number) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
+        held: list[np.ndarray] = []
+        have = 0
         for b in batches:
             for s in _sequences(b):
-                at, n = np.unique(number(s, np.concatenate([[tokens.END_ID], s[:-1]])), return_counts=True)
-                total[at] += n
+                held.append(number(s, np.concatenate([_END, s[:-1]])))
+                have += len(s)
+                if have > size:
+                    total += np.bincount(np.concatenate(held), minlength=size)
+                    held, have = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["at", "n"])
 
@@ -173,10 +208,11 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
         have = seen = used = 0
         for b in batches:
             for s in _sequences(b):
-                x, y = attention.windows(class_of[np.concatenate([[tokens.END_ID], s])])
-                pick = slice((turn * 5 - seen) % TRAIN_EVERY, None, TRAIN_EVERY)
-                seen += len(x)
-                held.append((x[pick], y[pick]))
+                first = (turn * 11 - seen) % TRAIN_EVERY
+                seen += (n := attention.number_of_windows(len(s)))
+                if first >= n:
+                    continue
+                held.append(attention.windows(class_of[np.concatenate([_END, s])], CLASSES, first, TRAIN_EVERY))
                 have += len(held[-1][0])
                 if have >= BATCH:
                     opt.step(attention.gradients(opt.w, np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])))
@@ -198,14 +234,24 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
 
 
 def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each token, log10 P(token | class), weights of the class model."""
+    """Class of each token, log10 P(token | its class, class before), weights of the class model."""
     train = split.filter("rid IS NOT NULL AND NOT held_out").select("ids")
-    counts = _table(train, tokens.VOCABULARY, lambda s, before: s)
+    used = split.filter("token_counts IS NOT NULL").select(F.posexplode("token_counts").alias("at", "n")).filter("n > 0")
+    used = used.groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # at most the tokenizer's vocabulary
+    counts = np.zeros(tokens.VOCABULARY, np.int64)
+    counts[used["at"].to_numpy(np.int64)] = used["n"].to_numpy(np.int64)
     context = np.full(tokens.VOCABULARY, CONTEXTS - 1)
     context[np.argsort(-counts, kind="stable")[: CONTEXTS - 1]] = np.arange(CONTEXTS - 1)
+    context = context.astype(np.int32)
     before = _table(train, tokens.VOCABULARY * CONTEXTS, lambda s, before: s * CONTEXTS + context[before]).reshape(-1, CONTEXTS)
-    class_of = classes_of(counts, before)
-    inside = np.log10(counts + 0.5) - np.log10(np.bincount(class_of, counts + 0.5, CLASSES))[class_of]
+    class_of = classes_of(counts, before).astype(np.int32)
+    own = (counts + 0.5) / np.bincount(class_of, counts + 0.5, CLASSES)[class_of]
+    after = _table(train, CLASSES * tokens.VOCABULARY, lambda s, before: class_of[before] * tokens.VOCABULARY + s).reshape(CLASSES, -1)
+    inside = np.empty(after.shape, np.float32)
+    for a in range(CLASSES):
+        seen = np.bincount(class_of, after[a], CLASSES)
+        kinds = np.maximum(np.bincount(class_of, after[a] > 0, CLASSES), 1.0)
+        inside[a] = np.log10((after[a] + kinds[class_of] * own) / (seen + kinds)[class_of])
     weights = attention.flat(attention.initial(CLASSES)).astype(np.float64)
     for turn in range(ROUNDS):
         weights = train_round(train, class_of, weights, turn)
@@ -217,19 +263,24 @@ def model_scores(split: DataFrame) -> DataFrame:
     class_of, inside, weights = fit(split)
     like = attention.initial(CLASSES)
 
+    shared = split.sparkSession.sparkContext.broadcast((class_of, inside))  # CLASSES by the tokenizer's vocabulary: 13 MB
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = attention.shaped(weights, like)
-        for b in batches:
-            seqs = list(_sequences(b))
-            score = np.array([inside[s].sum() for s in seqs])
-            parts = [attention.windows(class_of[np.concatenate([[tokens.END_ID], s])]) for s in seqs]
-            if parts:
-                x, y = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-                owner = np.repeat(np.arange(len(seqs)), [len(p[0]) for p in parts])
-                for i in range(0, len(x), SCORE_BATCH):
-                    got = attention.log_probs(w, x[i : i + SCORE_BATCH], y[i : i + SCORE_BATCH]).sum(1, dtype=np.float64) / math.log(10)
-                    score += np.bincount(owner[i : i + SCORE_BATCH], got, len(seqs))
-            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(score, pa.float64())], ["rid", "score"])
+        classes, table = shared.value
+        for b in _slices(batches):
+            score, parts = [], []
+            for s in _sequences(b):
+                c = classes[np.concatenate([_END, s])]
+                score.append(table[c[:-1], s].sum(dtype=np.float64))
+                parts.append(attention.windows(c, CLASSES))
+            total = np.array(score, np.float64)
+            owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+            x, y = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            for i in range(0, len(x), SCORE_BATCH):
+                got = attention.log_probs(w, x[i : i + SCORE_BATCH], y[i : i + SCORE_BATCH]).sum(1, dtype=np.float64) / math.log(10)
+                total += np.bincount(owner[i : i + SCORE_BATCH], got, len(parts))
+            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(total, pa.float64())], ["rid", "score"])
 
     return split.filter("rid IS NOT NULL").select("rid", "ids").mapInArrow(run, "rid long, score double")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-WINDOW, HALF, WIDTH = 32, 16, 16
+WINDOW, HALF, WIDTH = 32, 16, 8
 _CAUSAL = (np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None]).astype(np.float32)
 LIMIT = np.float32(40)  # of exponents, so that sums stay finite without a pass for the largest
 
@@ -38,21 +38,16 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def windows(sequence: np.ndarray, none: int, first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of inputs and their scored targets (-1: no target) for a class sequence whose first entry
-    is only context; of all windows, every ``every``-th from ``first`` on."""
+def windows(sequence: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of inputs and their scored targets (-1: no target) for a class sequence whose first entry is only context."""
     n = len(sequence) - 1
     rows = -(-n // HALF)
     padded = np.full((rows + 2) * HALF, none, np.int16)
     padded[HALF : HALF + n + 1] = sequence
     targets = np.full(rows * HALF, -1, np.int16)
     targets[:n] = sequence[1:]
-    inputs = np.lib.stride_tricks.sliding_window_view(padded[: (rows + 1) * HALF], WINDOW)[first * HALF :: HALF * every]
-    return inputs, targets.reshape(rows, HALF)[first::every]
-
-
-def number_of_windows(n: int) -> int:
-    return -(-n // HALF)
+    inputs = np.lib.stride_tricks.sliding_window_view(padded[: (rows + 1) * HALF], WINDOW)[::HALF]
+    return inputs, targets.reshape(rows, HALF)
 
 
 def _exp(a: np.ndarray) -> np.ndarray:
@@ -76,13 +71,31 @@ def _attend(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, .
     return x, late, q, k, v, p, total, late + (p @ v) / total
 
 
-def log_probs(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural log probability of each target class (0 where there is none)."""
-    z = _times(_attend(w, inputs)[-1], w["o"])
-    z += w["b"]
+def tables(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Key, value, query and input of every class and of every place: a window's are sums of two."""
+    q = w["q"] * np.float32(WIDTH**-0.5)
+    out = {"ke": w["e"] @ w["k"], "ve": w["e"] @ w["v"], "qe": w["e"] @ q, "xe": w["e"], "kp": w["p"] @ w["k"], "vp": w["p"] @ w["v"]}
+    return out | {"qp": w["p"][HALF:] @ q, "xp": w["p"][HALF:], "o": w["o"], "b": w["b"]}
+
+
+def log_probs(t: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Natural log probability of each target class (0 where there is none); ``t``: see ``tables``."""
+    late = inputs[:, HALF:]
+    k, v, q, h = (np.take(t[n + "e"], at, axis=0) for n, at in (("k", inputs), ("v", inputs), ("q", late), ("x", late)))
+    k += t["kp"]
+    v += t["vp"]
+    q += t["qp"]
+    h += t["xp"]
+    p = _exp(q @ np.ascontiguousarray(k.transpose(0, 2, 1)))
+    p *= _CAUSAL
+    mixed = p @ v
+    mixed /= (p @ np.ones(WINDOW, p.dtype))[..., None]
+    h += mixed
+    z = _times(h, t["o"])
+    z += t["b"]
     np.minimum(z, LIMIT, out=z)
     own = np.take_along_axis(z, np.maximum(targets, 0)[..., None].astype(np.int64), 2)[..., 0]
-    return np.where(targets >= 0, own - np.log(np.exp(z, out=z) @ np.ones(z.shape[-1], np.float32)), 0.0)
+    return np.where(targets >= 0, own - np.log(np.exp(z, out=z) @ np.ones(z.shape[-1], z.dtype)), 0.0)
 
 
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
@@ -110,15 +123,16 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
 
 
 class Adam:
-    def __init__(self, w: dict[str, np.ndarray], rate: float):
-        self.w, self.rate, self.n = w, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in w.items()}
-        self.s = {k: np.zeros_like(v) for k, v in w.items()}
+    """Adam over all weights as one vector."""
+
+    def __init__(self, values: np.ndarray, like: dict[str, np.ndarray], rate: float):
+        self.values, self.like, self.rate, self.n = values.astype(np.float32), like, rate, 0
+        self.m, self.s = np.zeros_like(self.values), np.zeros_like(self.values)
 
-    def step(self, g: dict[str, np.ndarray]) -> None:
+    def step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        d = flat(gradients(shaped(self.values, self.like), inputs, targets))
         self.n += 1
-        for k, d in g.items():
-            self.m[k] = 0.9 * self.m[k] + 0.1 * d
-            self.s[k] = 0.99 * self.s[k] + 0.01 * d * d
-            move = self.m[k] / (1 - 0.9**self.n) / (np.sqrt(self.s[k] / (1 - 0.99**self.n)) + 1e-8)
-            self.w[k] = (self.w[k] - self.rate * move).astype(np.float32)
+        self.m += np.float32(0.1) * (d - self.m)
+        self.s += np.float32(0.01) * (d * d - self.s)
+        scale = self.rate / (1 - 0.9**self.n) * np.sqrt(1 - 0.99**self.n)
+        self.values -= np.float32(scale) * self.m / (np.sqrt(self.s) + np.float32(1e-8))

@@ -11,7 +11,7 @@ count as empty texts.
    by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means; and
    P(token | its class, the class before it), smoothed by P(token | its class).
 3. The attention model over classes is trained in rounds: each task runs Adam over every
-   ``TRAIN_EVERY``-th window of its training documents, Spark averages the weights (weighted by windows).
+   ``TRAIN_EVERY``-th of its training documents, others each round, Spark averages the weights (weighted by windows).
 4. A token's probability is P(its class | the classes before it) by the attention model, times the table's.
    Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
 """
@@ -33,9 +33,9 @@ from medallion.llm import attention, tokens
 from medallion.llm.common import col, keyed, read_table, stage, text_or_empty
 
 CHUNK_BYTES = 1 << 24
-ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
+ALONE, CLUSTERS, CONTEXTS = 24, 32, 32
 CLASSES = ALONE + CLUSTERS
-ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 32, 32, 0.02
+ROUNDS, TRAIN_EVERY, BATCH, RATE = 2, 24, 32, 0.02
 SCORE_BATCH = 32
 ROWS = 256  # documents taken from an Arrow batch at once
 
@@ -203,26 +203,30 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
     like = attention.initial(CLASSES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opt = attention.Adam(attention.shaped(weights, like), RATE / (turn + 1))
+        opt = attention.Adam(weights, like, RATE / (turn + 1))
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        have = seen = used = 0
+        have = used = nth = 0
+
+        def learn() -> int:
+            mixed = np.random.default_rng(used).permutation(have)
+            x, y = np.concatenate([p[0] for p in held])[mixed], np.concatenate([p[1] for p in held])[mixed]
+            for i in range(0, len(x), BATCH):
+                opt.step(x[i : i + BATCH], y[i : i + BATCH])
+            return len(x)
+
         for b in batches:
-            for s in _sequences(b):
-                first = (turn * 11 - seen) % TRAIN_EVERY
-                seen += (n := attention.number_of_windows(len(s)))
-                if first >= n:
-                    continue
-                held.append(attention.windows(class_of[np.concatenate([_END, s])], CLASSES, first, TRAIN_EVERY))
+            for i in range((turn * 11 - nth) % TRAIN_EVERY, b.num_rows, TRAIN_EVERY):
+                s = next(_sequences(b.slice(i, 1)))
+                held.append(attention.windows(class_of[np.concatenate([_END, s])], CLASSES))
                 have += len(held[-1][0])
-                if have >= BATCH:
-                    opt.step(attention.gradients(opt.w, np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])))
-                    used += have
+                if have >= 64 * BATCH:  # many documents at a time, mixed
+                    used += learn()
                     held, have = [], 0
+            nth += b.num_rows
         if have:
-            opt.step(attention.gradients(opt.w, np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])))
-            used += have
+            used += learn()
         if used:
-            values = attention.flat(opt.w).astype(np.float64)
+            values = opt.values.astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values * used), pa.array([used] * len(values), pa.int64())], ["at", "w", "n"])
 
     rows = df.mapInArrow(run, "at int, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
@@ -266,13 +270,14 @@ def model_scores(split: DataFrame) -> DataFrame:
     shared = split.sparkSession.sparkContext.broadcast((class_of, inside))  # CLASSES by the tokenizer's vocabulary: 13 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = attention.shaped(weights, like)
+        w = attention.tables(attention.shaped(weights, like))
         classes, table = shared.value
+        table = table.ravel()
         for b in _slices(batches):
             score, parts = [], []
             for s in _sequences(b):
                 c = classes[np.concatenate([_END, s])]
-                score.append(table[c[:-1], s].sum(dtype=np.float64))
+                score.append(np.take(table, c[:-1] * tokens.VOCABULARY + s).sum(dtype=np.float64))
                 parts.append(attention.windows(c, CLASSES))
             total = np.array(score, np.float64)
             owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])

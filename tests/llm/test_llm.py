@@ -135,7 +135,7 @@ def test_attention_gradients():
     w = {k: v.astype(np.float64) for k, v in attention.initial(5).items()}
     x, y = attention.windows(np.array([4, 1, 2, 3, 0, 1, 2] * 5), 5)
     g = attention.gradients(w, x, y)
-    loss = lambda: -attention.log_probs(w, x, y).sum() / (y >= 0).sum()
+    loss = lambda: -attention.log_probs(attention.tables(w), x, y).sum() / (y >= 0).sum()
     for name in ("e", "k", "q", "v", "o", "b", "p"):
         at = tuple(0 for _ in w[name].shape)
         before = w[name][at]
@@ -145,7 +145,7 @@ def test_attention_gradients():
         down = loss()
         w[name][at] = before
         assert g[name][at] == pytest.approx((up - down) / 2e-3, abs=1e-4)
-    assert np.allclose(np.exp(attention.log_probs(w, np.repeat(x[:1], 5, 0), np.repeat(np.arange(5)[:, None], 16, 1))).sum(0), 1, atol=1e-5)
+    assert np.allclose(np.exp(attention.log_probs(attention.tables(w), np.repeat(x[:1], 5, 0), np.repeat(np.arange(5)[:, None], 16, 1))).sum(0), 1, atol=1e-5)
 
 
 def test_exact(spark, table):

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOAD_TYPES = ("FULL", "APPEND", "MERGE")
 INCREMENTAL = ("APPEND", "MERGE")
@@ -36,17 +37,15 @@ def incremental_slice(df: DataFrame, load_type: str | None, watermark_column: st
     return df
 
 
-def latest_file(bronze: DataFrame, file_column: str = "source_file_name", time_column: str = "insert_timestamp") -> DataFrame:
-    """Rows of the last landed file only (latest ingest time, ties by file name).
+def latest_file(bronze: DataFrame, time_column: str = "insert_timestamp") -> DataFrame:
+    """Rows of the last delivery only: all files (or the bounded read) of the latest ingest time.
 
     For file tables re-delivered as full snapshots, where FULL over all of bronze
-    would stack every delivery. The newest file is found with a global aggregate
+    would stack every delivery. The time is found with a global aggregate
     (exactly one row, so broadcasting it is bounded) and selected by an equi-join.
     """
-    best = bronze.agg(F.max(F.struct(F.col(time_column), F.col(file_column))).alias("_best")).select(
-        F.col(f"_best.{file_column}").alias("_latest_file")
-    )
-    return bronze.join(F.broadcast(best), F.col(file_column) == F.col("_latest_file"), "inner").drop("_latest_file")
+    best = bronze.agg(F.max(time_column).alias("_latest_delivery"))
+    return bronze.join(F.broadcast(best), F.col(time_column) == F.col("_latest_delivery"), "inner").drop("_latest_delivery")
 
 
 def null_mark_rows(df: DataFrame, watermark_column: str) -> DataFrame:
@@ -72,11 +71,14 @@ def with_bronze_audit(df: DataFrame, file_path: Column | None = None, as_of: dat
     return df.withColumns({"insert_timestamp": stamp(as_of), "source_file_name": src})
 
 
-def mark_text(value) -> str | None:
-    """Stored form of a new mark (text, like the registry column)."""
-    if value is None:
-        return None
-    return str(value)
+def max_mark(df: DataFrame, column: str) -> Column:
+    """Aggregate for the new mark as text, made in the engine (the driver's time zone plays no part).
+
+    A zoned timestamp is written with its offset, so it reads back the same in any session zone."""
+    top = F.max(column)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+    return top.cast("string")
 
 
 def next_marks(slices: DataFrame, key: str, watermark_column: str) -> DataFrame:

@@ -28,7 +28,7 @@ def split_keys(keys: str | Sequence[str]) -> list[str]:
     else:
         out = [k.strip() for k in keys]
     if not out:
-        raise ValueError("Primary key required for MERGE.")
+        raise ValueError("a MERGE load needs its key columns")
     return out
 
 
@@ -49,8 +49,8 @@ def dedup_updates(updates: DataFrame, keys: Sequence[str], order: Sequence[str]
         if dup:
             raise DuplicateKeyError(f"several source rows for key {dup[0].asDict()}")
         return updates
-    if not order:
-        return updates
+    if not order:  # no mark: still one row per key, the largest in its other columns
+        order = [c for c in with_key.columns if c not in keys] or keys
     best = latest_per_key(with_key, keys, list(order), with_key.columns)
     return best.select(*updates.columns).unionByName(without_key)
 
@@ -84,6 +84,9 @@ def upsert_frames(
     missing = [k for k in keys if k not in target.columns or k not in updates.columns]
     if missing:
         raise ValueError(f"merge key columns missing: {missing}")
+    unknown = [c for c in updates.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"columns not in the target: {unknown}")
     upd = dedup_updates(updates, keys, order, strict)
     if preserve:
         upd = keep_target_values(target, upd, keys, list(preserve))

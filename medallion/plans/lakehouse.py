@@ -22,14 +22,14 @@ from medallion.operators import audit, registry
 from medallion.operators.silver import (
     incremental_slice,
     latest_file,
-    mark_text,
+    max_mark,
     null_mark_rows,
     uses_watermark,
     validate_load_type,
     with_bronze_audit,
     with_silver_audit,
 )
-from medallion.operators.upsert import split_keys
+from medallion.operators.upsert import dedup_updates, split_keys
 from medallion.plans.gold import MARTS
 from medallion.sources.jdbc import jdbc_reader, source_table_name
 from medallion.sources.store import TableStore
@@ -40,7 +40,7 @@ METADATA_TABLES = ("tables", "table_parameters", "table_watermarks", "schemas",
 
 
 def now() -> datetime:
-    return datetime.now().replace(microsecond=(datetime.now().microsecond // 1000) * 1000)
+    return datetime.now()
 
 
 def concurrently(tasks: list[Callable[[], object]]) -> None:
@@ -155,7 +155,10 @@ class Lakehouse:
     # One row per call: begin / end are one-stage rewrites of the small runs table
     # (audit.begin_one / end_one); audit.apply_begin / apply_end are the bulk forms.
     def run_begin(self, run_id: int, table_id: int, layer: str, start: datetime) -> None:
-        runs = audit.begin_one(self.meta("pipeline_runs"), run_id, table_id, layer, start)
+        runs = self.meta("pipeline_runs")
+        if not runs.filter((F.col("run_id") == run_id) & (F.col("table_id") == table_id)).isEmpty():
+            return  # the layer that began the run keeps its start
+        runs = audit.begin_one(runs, run_id, table_id, layer, start)
         self.store.replace(METADATA, "pipeline_runs", runs)
 
     def run_end(self, run_id: int, table_id: int, status: str, records: int | None, error: str | None) -> None:
@@ -171,16 +174,16 @@ class Lakehouse:
         try:
             yield rec
         except Exception as e:  # noqa: BLE001 - recorded and re-raised
-            self.run_end(run_id, table_id, audit.FAILED, rec.records, str(e)[:4000])
+            self.run_end(run_id, table_id, audit.FAILED, rec.records or 0, str(e))
             raise
         if end_on_success:
             self.run_end(run_id, table_id, audit.SUCCESS, rec.records, None)
 
     # ---- source -> bronze -------------------------------------------------------------------
     def ingest_files(self, table_id: int, run_id: int, source_path: str | None = None, table: dict | None = None) -> RunRecord:
-        t = table or self.table_row(table_id)
-        name = t["table_name"]
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
+            t = table or self.table_row(table_id)
+            name = t["table_name"]
             schema = registry.schema_from_json(registry.latest_schema(self.meta("schemas"), name))
             bronze_db = t["bronze_schema"] or "bronze"
             self.store.ensure_database(bronze_db)
@@ -206,8 +209,8 @@ class Lakehouse:
 
         ``read(load_type, watermark_column, last_mark)`` returns the slice to load.
         """
-        t = table or self.table_row(table_id)
         with self.audited(run_id, table_id, "Bronze", end_on_success=False) as rec:
+            t = table or self.table_row(table_id)
             # inside the audited block: a missing parameter row ends the run as FAILED
             p = self.params(table_id)
             load_type, mark_col = p.get("load_type"), p.get("watermark_column")
@@ -220,17 +223,20 @@ class Lakehouse:
 
     def dispatch(self, table_id: int, run_id: int, readers: Mapping[str, Callable] | None = None) -> RunRecord:
         """source_system 'blob' -> file stream; 'sqlserver' -> bounded reader; other -> ValueError."""
-        t = self.table_row(table_id)
-        system = (t["source_system"] or "").lower()
-        if system == "blob":
-            return self.ingest_files(table_id, run_id, table=t)
-        if system == "sqlserver":
-            if readers and t["table_name"] in readers:
-                return self.ingest_frame(table_id, run_id, readers[t["table_name"]], table=t)
-            if self.jdbc.get("url"):
-                return self.ingest_frame(table_id, run_id, self.jdbc_reader(t), table=t)
-            raise ValueError(f"no reader configured for table_id {table_id}")
-        raise ValueError(f"Unsupported source_system: {system}")
+        try:
+            t = self.table_row(table_id)
+            system = (t["source_system"] or "").lower()
+            if system not in ("blob", "sqlserver"):
+                raise ValueError(f"Unsupported source_system: {system}")
+            reader = None
+            if system == "sqlserver":
+                reader = (readers or {}).get(t["table_name"]) or (self.jdbc_reader(t) if self.jdbc.get("url") else None)
+                if reader is None:
+                    raise ValueError(f"no reader configured for table_id {table_id}")
+        except Exception as e:
+            with self.audited(run_id, table_id, "Bronze"):  # the run ends as FAILED with this error
+                raise e
+        return self.ingest_frame(table_id, run_id, reader, table=t) if reader else self.ingest_files(table_id, run_id, table=t)
 
     def jdbc_reader(self, t: Mapping) -> Callable[[str | None, str | None, str | None], DataFrame]:
         """Reader over ``source_schema.source_table`` of the registry row (the mark filter is
@@ -265,10 +271,10 @@ class Lakehouse:
         """
         if snapshot not in ("all", "latest_file"):
             raise ValueError(f"Unsupported snapshot: {snapshot}")
-        t = self.table_row(table_id)
-        name = t["table_name"]
-        bronze_db, silver_db = t["bronze_schema"] or "bronze", t["silver_schema"] or "silver"
         with self.audited(run_id, table_id, "Silver") as rec:
+            t = self.table_row(table_id)
+            name = t["table_name"]
+            bronze_db, silver_db = t["bronze_schema"] or "bronze", t["silver_schema"] or "silver"
             # inside the audited block: a missing parameter row ends the run as FAILED
             p = self.params(table_id)
             load_type, key, mark_col = p.get("load_type"), p.get("primary_key"), p.get("watermark_column")
@@ -281,14 +287,15 @@ class Lakehouse:
             sl = incremental_slice(bronze, load_type, mark_col, last)
             if snapshot == "latest_file" and load_type == "FULL":
                 sl = latest_file(sl)
-            sl = sl.drop("insert_timestamp", "source_file_name")
+            sl = sl.drop("insert_timestamp")
             exists = self.store.exists(silver_db, name)
             if load_type == "MERGE" and exists:
                 keys = split_keys(key or "")
                 # The slice is used twice by the upsert (keys + rows) and once for the
                 # mark: materialise it once (reliable checkpoint) so all three agree.
                 sl = with_silver_audit(sl, as_of).checkpoint(eager=True)
-                stats = sl.agg(F.count(F.lit(1)).alias("n"), *( [F.max(mark_col).alias("mx")] if incremental else [])).first()
+                stats = sl.agg(F.count(F.lit(1)).alias("n"), *( [max_mark(sl, mark_col).alias("mx")] if incremental else [])).first()
+                rec.records = int(stats["n"])
                 self.store.upsert(
                     silver_db,
                     name,
@@ -301,10 +308,12 @@ class Lakehouse:
                 )
             else:
                 obs = Observation(f"silver_{table_id}_{int(time.time() * 1000)}")
-                metrics = [F.count(F.lit(1)).alias("n")] + ([F.max(mark_col).alias("mx")] if incremental else [])
+                metrics = [F.count(F.lit(1)).alias("n")] + ([max_mark(sl, mark_col).alias("mx")] if incremental else [])
                 out = with_silver_audit(sl, as_of).observe(obs, *metrics)
                 if not exists and load_type == "MERGE" and key:
                     # first load of an upsert table: bucketed by its key from the start
+                    # and one row per key, as later upserts keep it
+                    out = dedup_updates(out, split_keys(key), [mark_col] if mark_col else None, strict)
                     self.store.replace(silver_db, name, out, bucket_by=split_keys(key))
                 elif not exists or load_type == "FULL":
                     self.store.replace(silver_db, name, out)
@@ -319,7 +328,7 @@ class Lakehouse:
             if incremental:
                 mx = stats["mx"]
                 if mx is not None:
-                    self.advance_mark(table_id, run_id, mark_text(mx))
+                    self.advance_mark(table_id, run_id, mx)
         return rec
 
     def advance_mark(self, table_id: int, run_id: int, value: str) -> None:

@@ -44,6 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="medallion-ckpt-")
     spark.conf.set(CHECKPOINT_KEY, path)
     spark.sparkContext.setCheckpointDir(path)

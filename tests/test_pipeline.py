@@ -59,7 +59,7 @@ def test_file_ingest_exactly_new_files(spark, lh):
 def test_silver_full_then_gold(spark, lh):
     lh.load_silver(1, run_id=3, as_of=datetime(2030, 1, 1))
     silver = lh.store.read("silver", "study_master")
-    assert silver.count() == 3 and "update_timestamp" in silver.columns and "source_file_name" not in silver.columns
+    assert silver.count() == 3 and "update_timestamp" in silver.columns and "source_file_name" in silver.columns
     lh.load_silver(1, run_id=4)  # FULL replaces, never adds
     assert lh.store.read("silver", "study_master").count() == 3
     # re-delivered snapshots: take only the last landed file
@@ -78,7 +78,7 @@ def test_bounded_merge_with_watermark(spark, lh):
     assert lh.dispatch(5, run_id=3, readers={"subject": reader(src)}).records == 2  # null mark never loaded
     first_at, second_at = datetime(2030, 1, 1), datetime(2030, 1, 2)
     lh.load_silver(5, run_id=3, as_of=first_at)
-    assert lh.last_mark(5) == "2024-01-01 00:00:00"
+    assert lh.last_mark(5) == "2024-01-01 00:00:00.000000Z"
     src2 = spark.createDataFrame(
         [("P1", "S1", "Completed", date(2024, 1, 5), t1), ("P2", "S1", "Withdrawn", date(2024, 1, 6), t2), ("P4", "S2", "Enrolled", date(2024, 2, 2), t2)],
         SUBJECT,
@@ -94,7 +94,7 @@ def test_bounded_merge_with_watermark(spark, lh):
     assert (silver["P2"]["insert_timestamp"], silver["P2"]["update_timestamp"]) == (first_at, second_at)
     assert silver["P4"]["insert_timestamp"] == second_at
     assert lh.store.bucket_spec("silver", "subject")[1] == ["subject_id"]
-    assert lh.last_mark(5) == "2024-02-01 00:00:00"
+    assert lh.last_mark(5) == "2024-02-01 00:00:00.000000Z"
     counts = lh.build_gold(["study_enrollment_summary"], as_of=datetime(2030, 1, 1))
     assert counts == {"study_enrollment_summary": 3}
     gold = {r["study_id"]: r for r in lh.store.read("gold", "study_enrollment_summary").collect()}
@@ -160,3 +160,48 @@ def test_run_report(spark, lh):
     assert lh.status(7)["overall_status"] == "FAILED"
     # bronze-only runs stay INPROGRESS until silver ends them (site_master in run 3)
     assert lh.status(3)["failed_tables"] >= 1
+
+
+def test_failed_runs_are_recorded(spark, lh):
+    lh._put("tables", lh.meta("tables").filter("table_id = 1").withColumn("table_id", F.lit(990)).withColumn("source_system", F.lit("tape")), table_id=990)
+    for table_id in (990, 991):  # an unsupported source, an unknown table
+        with pytest.raises(ValueError):
+            lh.dispatch(table_id, run_id=90)
+    runs = {r["table_id"]: r for r in lh.meta("pipeline_runs").filter("run_id = 90").collect()}
+    assert {r["status"] for r in runs.values()} == {"FAILED"} and len(runs) == 2
+    assert "tape" in runs[990]["error_message"] and all(r["number_of_records"] == 0 for r in runs.values())
+
+
+
+def test_error_text_is_whole_and_start_is_kept(spark, lh):
+    with pytest.raises(RuntimeError), lh.audited(91, 1, "Bronze"):
+        raise RuntimeError("x" * 9000)
+    row = lh.meta("pipeline_runs").filter("run_id = 91").first()
+    assert len(row["error_message"]) == 9000
+    with lh.audited(91, 1, "Silver"):
+        pass
+    again = lh.meta("pipeline_runs").filter("run_id = 91").first()
+    assert (again["start_time"], again["status"]) == (row["start_time"], "SUCCESS")
+
+
+def test_upsert_without_order_keeps_one_row_per_key_and_rejects_new_columns(spark):
+    from medallion.operators.upsert import upsert_frames
+
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    updates = spark.createDataFrame([(1, "b"), (1, "c"), (2, "d"), (2, "d")], "k int, v string")
+    assert sorted(map(tuple, upsert_frames(target, updates, ["k"]).collect())) == [(1, "c"), (2, "d")]
+    with pytest.raises(ValueError):
+        upsert_frames(target, updates.withColumn("w", F.lit(1)), ["k"])
+
+
+def test_mark_reads_back_in_another_zone(spark):
+    from medallion.operators.silver import incremental_slice, max_mark
+
+    df = spark.sql("SELECT timestamp'2024-01-01 11:00:00' + make_dt_interval(0, k) AS at FROM (SELECT explode(sequence(0, 2)) AS k)")
+    mark = df.filter("hour(at) = 11").agg(max_mark(df, "at")).first()[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert incremental_slice(df, "APPEND", "at", mark).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -60,14 +60,9 @@ def build(silver: Mapping[str, DataFrame], as_of: datetime | Column | None = Non
         delivery.filter(F.col("shipment_id").isNotNull()).select("shipment_id", "actual_delivery_datetime").distinct()
     )
     headers = header.select(*HEADER_COLS)
-    # header LEFT JOIN deliveries, written as inner join + anti join: AQE can split a
-    # skewed key on either side of an inner join, but not on the right of a left join
-    # (one shipment with a huge delivery history would otherwise sit in one task).
-    delivered = headers.join(deliveries, "shipment_id", "inner")
-    undelivered = headers.join(deliveries.select("shipment_id"), "shipment_id", "left_anti").withColumn(
-        "actual_delivery_datetime", F.lit(None).cast(deliveries.schema["actual_delivery_datetime"].dataType)
-    )
-    groups = delivered.unionByName(undelivered).distinct()
+    # deliveries are distinct per shipment and time, so one left join is enough; the
+    # skew-join rule splits a shipment with very many header rows
+    groups = headers.join(deliveries, "shipment_id", "left").distinct()
     items = (
         item.filter(F.col("shipment_id").isNotNull())
         .groupBy("shipment_id")

@@ -83,9 +83,18 @@ class Lakehouse:
         self.jdbc = dict(jdbc or {})
 
     # ---- metadata ------------------------------------------------------------------------
-    def setup(self, reset: bool = False, seed: bool = True) -> None:
+    def setup(self, reset: bool = False, seed: bool = True, layers: bool = False) -> None:
         """Layers + metadata tables, seeded from ``medallion.seed`` (51 / 110 / 28 rows)
-        unless ``seed=False`` (empty registry, tables added with ``register``)."""
+        unless ``seed=False`` (empty registry, tables added with ``register``). ``reset``
+        writes the metadata tables anew; with ``layers`` it first drops bronze, silver and
+        gold with their files, and the streams' checkpoints, so every file counts as new."""
+        if layers and not reset:
+            raise ValueError("layers=True drops data: it needs reset=True")
+        if layers:
+            for db in ("bronze", "silver", "gold"):
+                self.store.drop_database(db)
+            fs, p = self.store._fs(f"{self.root}/_checkpoints")
+            fs.delete(p, True)
         for db in ("bronze", "silver", "gold", METADATA):
             self.store.ensure_database(db)
         frames = registry.seed_frames(self.spark, self.landing_root)

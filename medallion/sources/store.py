@@ -315,6 +315,13 @@ class TableStore:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table + STAGE_SUFFIX)}")
         self.spark.catalog.refreshTable(self.qualified(database, table))
 
+    def drop_database(self, database: str) -> None:
+        """Drop a layer: its catalog entries and its files under the store's root."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.db(database)}` CASCADE")
+        self._databases.discard(database)
+        fs, p = self._fs(f"{self.root}/{database}")
+        fs.delete(p, True)
+
     def drop(self, database: str, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
 

@@ -205,3 +205,19 @@ def test_mark_reads_back_in_another_zone(spark):
         assert incremental_slice(df, "APPEND", "at", mark).count() == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_layer_reset_starts_over(spark):
+    lh = Lakehouse(spark, scratch_dir(spark, "reset"), namespace="resetlayers")
+    lh.setup()
+    with pytest.raises(ValueError):
+        lh.setup(layers=True)
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    for db in ("bronze", "silver", "gold"):
+        lh.store.replace(db, "t", rows)
+    lh.store.append("bronze", "t", rows)
+    lh.setup(reset=True, layers=True)
+    assert not any(lh.store.exists(db, "t") for db in ("bronze", "silver", "gold"))
+    assert lh.meta("tables").count() == 51
+    lh.store.append("bronze", "t", rows)
+    assert lh.store.read("bronze", "t").count() == 1

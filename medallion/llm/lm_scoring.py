@@ -33,9 +33,9 @@ from medallion.llm import attention, tokens
 from medallion.llm.common import col, keyed, read_table, stage, text_or_empty
 
 CHUNK_BYTES = 1 << 24
-ALONE, CLUSTERS, CONTEXTS = 24, 32, 32
+ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
 CLASSES = ALONE + CLUSTERS
-ROUNDS, TRAIN_EVERY, BATCH, RATE = 2, 24, 32, 0.02
+ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 16, 32, 0.02
 SCORE_BATCH = 32
 ROWS = 256  # documents taken from an Arrow batch at once
 

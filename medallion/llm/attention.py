@@ -38,16 +38,21 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def windows(sequence: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of inputs and their scored targets (-1: no target) for a class sequence whose first entry is only context."""
-    n = len(sequence) - 1
-    rows = -(-n // HALF)
-    padded = np.full((rows + 2) * HALF, none, np.int16)
-    padded[HALF : HALF + n + 1] = sequence
-    targets = np.full(rows * HALF, -1, np.int16)
-    targets[:n] = sequence[1:]
-    inputs = np.lib.stride_tricks.sliding_window_view(padded[: (rows + 1) * HALF], WINDOW)[::HALF]
-    return inputs, targets.reshape(rows, HALF)
+def windows(classes: np.ndarray, lengths: np.ndarray, start: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of inputs, their scored targets (-1: no target) and their document's place, for documents in a row.
+
+    ``start`` is the class that stands before a document's first; every length is at least 1."""
+    rows = -(-lengths // HALF)
+    at = np.cumsum((rows + 2) * HALF) - (rows + 2) * HALF  # a document's place among all padded ones
+    size = int((rows + 2).sum()) * HALF
+    inputs, targets = np.full(size, none, np.int16), np.full(size + 1, -1, np.int16)
+    place = np.arange(len(classes)) + np.repeat(at + HALF + 1 - (np.cumsum(lengths) - lengths), lengths)
+    inputs[at + HALF] = start
+    inputs[place] = targets[place] = classes
+    owner = np.repeat(np.arange(len(rows)), rows)
+    n = np.arange(len(owner)) + 2 * owner  # windows begin at every half; the last two of a document run over its end
+    view = np.lib.stride_tricks.sliding_window_view
+    return view(inputs, WINDOW)[::HALF][n], view(targets[HALF + 1 :], HALF)[::HALF][n], owner
 
 
 def _exp(a: np.ndarray) -> np.ndarray:
@@ -72,10 +77,13 @@ def _attend(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, .
 
 
 def tables(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Key, value, query and input of every class and of every place: a window's are sums of two."""
-    q = w["q"] * np.float32(WIDTH**-0.5)
-    out = {"ke": w["e"] @ w["k"], "ve": w["e"] @ w["v"], "qe": w["e"] @ q, "xe": w["e"], "kp": w["p"] @ w["k"], "vp": w["p"] @ w["v"]}
-    return out | {"qp": w["p"][HALF:] @ q, "xp": w["p"][HALF:], "o": w["o"], "b": w["b"]}
+    """Key, value, query and input of every class and of every place: a window's are sums of two.
+
+    Values have one more column of ones: it sums the attention, and meets the bias as one more row of ``o``."""
+    q, column = w["q"] * np.float32(WIDTH**-0.5), lambda m, last: np.pad(m, ((0, 0), (0, 1)), constant_values=last)
+    out = {"ke": w["e"] @ w["k"], "ve": column(w["e"] @ w["v"], 1), "qe": w["e"] @ q, "xe": column(w["e"], 0)}
+    out |= {"kp": w["p"] @ w["k"], "vp": column(w["p"] @ w["v"], 0), "qp": w["p"][HALF:] @ q, "xp": column(w["p"][HALF:], 0)}
+    return out | {"o": np.vstack([w["o"], w["b"]])}
 
 
 def log_probs(t: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -89,13 +97,14 @@ def log_probs(t: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     p = _exp(q @ np.ascontiguousarray(k.transpose(0, 2, 1)))
     p *= _CAUSAL
     mixed = p @ v
-    mixed /= (p @ np.ones(WINDOW, p.dtype))[..., None]
+    mixed /= mixed[..., -1:]
     h += mixed
-    z = _times(h, t["o"])
-    z += t["b"]
+    z = h.reshape(-1, h.shape[-1]) @ t["o"]
     np.minimum(z, LIMIT, out=z)
-    own = np.take_along_axis(z, np.maximum(targets, 0)[..., None].astype(np.int64), 2)[..., 0]
-    return np.where(targets >= 0, own - np.log(np.exp(z, out=z) @ np.ones(z.shape[-1], z.dtype)), 0.0)
+    goal, classes = targets.ravel(), z.shape[1]
+    own = np.take(z, np.maximum(goal, 0) + np.arange(0, z.size, classes))
+    total = np.exp(z, out=z) @ np.ones(classes, z.dtype)
+    return np.where(goal >= 0, own - np.log(total), 0.0).reshape(targets.shape)
 
 
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:

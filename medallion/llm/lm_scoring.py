@@ -10,8 +10,8 @@ count as empty texts.
 2. Token counts and the counts of what stands before them over all training documents (tables bounded
    by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means; and
    P(token | its class, the class before it), smoothed by P(token | its class).
-3. The attention model over classes is trained in rounds: each task runs Adam over every
-   ``TRAIN_EVERY``-th of its training documents, others each round, Spark averages the weights (weighted by windows).
+3. The attention model over classes is trained in rounds: each task runs Adam over those one in
+   ``TRAIN_EVERY`` of its training documents that the row number's hash names, others each round; Spark averages the weights (weighted by windows).
 4. A token's probability is P(its class | the classes before it) by the attention model, times the table's.
    Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
 """
@@ -117,8 +117,8 @@ def base_scores(split: DataFrame) -> DataFrame:
     place = F.shiftleft(F.col("chunk"), 24).bitwiseOR(F.col("at").cast("long"))  # a chunk has under 2**24 words
     words = words.select(place.alias("place"), F.col("x.vocabulary").alias("word"), F.col("x.counts").cast("int").alias("n"))
     same = Window.partitionBy("word")
-    known = words.withColumn("c", F.sum("n").over(same)).withColumn("first", F.row_number().over(same.orderBy("place")) == 1)
-    known = stage(known.select("place", "n", "c", "first"), "word-counts")
+    known = words.select("place", "n", F.sum("n").over(same).alias("c"), (F.col("place") == F.min("place").over(same)).alias("first"))
+    known = stage(known, "word-counts")
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0)).alias("v")).first()
     ends = docs.filter("NOT held_out").count()
     n_all, v_all = int(total["n"]) + ends, int(total["v"]) + (ends > 0)
@@ -146,12 +146,16 @@ def base_scores(split: DataFrame) -> DataFrame:
     return left.cogroup(right).applyInArrow(score, f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double")
 
 
-_END = np.array([tokens.END_ID], np.int32)
-
-
-def _sequences(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for x in b.column("ids"):
-        yield np.frombuffer(x.as_buffer(), "<u2").astype(np.int32)
+def _ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids of a batch's documents in a row, the ids before them, and each document's first place and length."""
+    c = b.column("ids")
+    at = np.frombuffer(c.buffers()[1], "<i8" if pa.types.is_large_binary(c.type) else "<i4")[c.offset : c.offset + len(c) + 1] // 2
+    ids = np.frombuffer(c.buffers()[2], "<u2")[at[0] : at[-1]].astype(np.int32)
+    first = at[:-1] - at[0]
+    before = np.empty_like(ids)
+    before[1:] = ids[:-1]
+    before[first] = tokens.END_ID
+    return ids, before, first, np.diff(at)
 
 
 def _table(df: DataFrame, size: int, number) -> np.ndarray:
@@ -161,13 +165,13 @@ def _table(df: DataFrame, size: int, number) -> np.ndarray:
         total = np.zeros(size, np.int64)
         held: list[np.ndarray] = []
         have = 0
-        for b in batches:
-            for s in _sequences(b):
-                held.append(number(s, np.concatenate([_END, s[:-1]])))
-                have += len(s)
-                if have > size:
-                    total += np.bincount(np.concatenate(held), minlength=size)
-                    held, have = [], 0
+        for b in _slices(batches):
+            ids, before, *_ = _ids(b)
+            held.append(number(ids, before))
+            have += len(ids)
+            if have > size:
+                total += np.bincount(np.concatenate(held), minlength=size)
+                held, have = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=size)
         at = np.flatnonzero(total)
@@ -204,8 +208,8 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opt = attention.Adam(weights, like, RATE / (turn + 1))
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        have = used = nth = 0
+        held: list[tuple[np.ndarray, ...]] = []
+        have = used = 0
 
         def learn() -> int:
             mixed = np.random.default_rng(used).permutation(have)
@@ -214,22 +218,21 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
                 opt.step(x[i : i + BATCH], y[i : i + BATCH])
             return len(x)
 
-        for b in batches:
-            for i in range((turn * 11 - nth) % TRAIN_EVERY, b.num_rows, TRAIN_EVERY):
-                s = next(_sequences(b.slice(i, 1)))
-                held.append(attention.windows(class_of[np.concatenate([_END, s])], CLASSES))
-                have += len(held[-1][0])
-                if have >= 64 * BATCH:  # many documents at a time, mixed
-                    used += learn()
-                    held, have = [], 0
-            nth += b.num_rows
+        for b in _slices(batches):
+            ids, _, _, lengths = _ids(b)
+            held.append(attention.windows(class_of[ids], lengths, class_of[tokens.END_ID], CLASSES))
+            have += len(held[-1][0])
+            if have >= 64 * BATCH:  # many documents at a time, mixed
+                used += learn()
+                held, have = [], 0
         if have:
             used += learn()
         if used:
             values = opt.values.astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values * used), pa.array([used] * len(values), pa.int64())], ["at", "w", "n"])
 
-    rows = df.mapInArrow(run, "at int, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
+    mine = F.pmod(F.xxhash64("rid"), F.lit(TRAIN_EVERY)) == turn * 11 % TRAIN_EVERY
+    rows = df.filter(mine).select("ids").mapInArrow(run, "at int, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
     if rows.empty:
         return weights
     out = np.zeros(len(weights))
@@ -239,7 +242,7 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
 
 def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of each token, log10 P(token | its class, class before), weights of the class model."""
-    train = split.filter("rid IS NOT NULL AND NOT held_out").select("ids")
+    train = split.filter("rid IS NOT NULL AND NOT held_out").select("rid", "ids")
     used = split.filter("token_counts IS NOT NULL").select(F.posexplode("token_counts").alias("at", "n")).filter("n > 0")
     used = used.groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # at most the tokenizer's vocabulary
     counts = np.zeros(tokens.VOCABULARY, np.int64)
@@ -247,10 +250,10 @@ def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     context = np.full(tokens.VOCABULARY, CONTEXTS - 1)
     context[np.argsort(-counts, kind="stable")[: CONTEXTS - 1]] = np.arange(CONTEXTS - 1)
     context = context.astype(np.int32)
-    before = _table(train, tokens.VOCABULARY * CONTEXTS, lambda s, before: s * CONTEXTS + context[before]).reshape(-1, CONTEXTS)
+    before = _table(train.select("ids"), tokens.VOCABULARY * CONTEXTS, lambda s, before: s * CONTEXTS + context[before]).reshape(-1, CONTEXTS)
     class_of = classes_of(counts, before).astype(np.int32)
     own = (counts + 0.5) / np.bincount(class_of, counts + 0.5, CLASSES)[class_of]
-    after = _table(train, CLASSES * tokens.VOCABULARY, lambda s, before: class_of[before] * tokens.VOCABULARY + s).reshape(CLASSES, -1)
+    after = _table(train.select("ids"), CLASSES * tokens.VOCABULARY, lambda s, before: class_of[before] * tokens.VOCABULARY + s).reshape(CLASSES, -1)
     inside = np.empty(after.shape, np.float32)
     for a in range(CLASSES):
         seen = np.bincount(class_of, after[a], CLASSES)
@@ -274,17 +277,12 @@ def model_scores(split: DataFrame) -> DataFrame:
         classes, table = shared.value
         table = table.ravel()
         for b in _slices(batches):
-            score, parts = [], []
-            for s in _sequences(b):
-                c = classes[np.concatenate([_END, s])]
-                score.append(np.take(table, c[:-1] * tokens.VOCABULARY + s).sum(dtype=np.float64))
-                parts.append(attention.windows(c, CLASSES))
-            total = np.array(score, np.float64)
-            owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-            x, y = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            ids, before, first, lengths = _ids(b)
+            total = np.add.reduceat(np.take(table, classes[before] * tokens.VOCABULARY + ids), first, dtype=np.float64)
+            x, y, owner = attention.windows(classes[ids], lengths, classes[tokens.END_ID], CLASSES)
             for i in range(0, len(x), SCORE_BATCH):
                 got = attention.log_probs(w, x[i : i + SCORE_BATCH], y[i : i + SCORE_BATCH]).sum(1, dtype=np.float64) / math.log(10)
-                total += np.bincount(owner[i : i + SCORE_BATCH], got, len(parts))
+                total += np.bincount(owner[i : i + SCORE_BATCH], got, len(lengths))
             yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(total, pa.float64())], ["rid", "score"])
 
     return split.filter("rid IS NOT NULL").select("rid", "ids").mapInArrow(run, "rid long, score double")

@@ -106,6 +106,22 @@ def test_pii_terms_and_sanitise(spark, tmp_path):
         assert out[k].split()[:20] == dict(rows)[k].split()[:20]
 
 
+def test_windows_score_every_class_once():
+    from medallion.llm import attention
+
+    r = np.random.default_rng(3)
+    lengths = np.array([1, 15, 16, 17, 32, 33, 100, 1])
+    classes = r.integers(0, 5, lengths.sum())
+    x, y, owner = attention.windows(classes, lengths, 4, 5)
+    at = 0
+    for i, n in enumerate(lengths):
+        own = classes[at : at + n]
+        at += n
+        assert y[owner == i].ravel()[:n].tolist() == own.tolist() and (y[owner == i].ravel()[n:] == -1).all()
+        padded = [5] * 16 + [4, *own] + [5] * 32
+        assert [w.tolist() for w in x[owner == i]] == [padded[j : j + 32] for j in range(0, n, 16)]
+
+
 def test_lm(spark, table):
     rows = lm_scoring.op2_query(spark, table).collect()
     words = [(i, text_of(t).encode().lower().split()) for i, t, *_ in ROWS]
@@ -133,7 +149,7 @@ def test_attention_gradients():
     from medallion.llm import attention
 
     w = {k: v.astype(np.float64) for k, v in attention.initial(5).items()}
-    x, y = attention.windows(np.array([4, 1, 2, 3, 0, 1, 2] * 5), 5)
+    x, y, _ = attention.windows(np.array(([4, 1, 2, 3, 0, 1, 2] * 5)[1:]), np.array([34]), 4, 5)
     g = attention.gradients(w, x, y)
     loss = lambda: -attention.log_probs(attention.tables(w), x, y).sum() / (y >= 0).sum()
     for name in ("e", "k", "q", "v", "o", "b", "p"):

@@ -110,24 +110,32 @@ def log_probs(t: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     x, late, q, k, v, p, total, h = _attend(w, inputs)
     p /= total
-    dz = _exp(_times(h, w["o"]) + w["b"])
-    dz /= dz.sum(-1, keepdims=True)
-    there = targets >= 0
-    i, j = np.nonzero(there)
-    dz[i, j, targets[i, j]] -= 1
-    dz *= (there / max(1, there.sum())).astype(np.float32)[..., None]
     flat2 = lambda m: m.reshape(-1, m.shape[-1])
-    dh = _times(dz, w["o"].T)
-    dp = dh @ v.transpose(0, 2, 1)
-    da = p * (dp - (dp * p).sum(-1, keepdims=True))
-    dq, dk, dv = (da @ k) * np.float32(WIDTH**-0.5), da.transpose(0, 2, 1) @ q, p.transpose(0, 2, 1) @ dh
-    dx = _times(dk, w["k"].T) + _times(dv, w["v"].T)
-    dx[:, HALF:] += dh + _times(dq, w["q"].T)
-    at = inputs.ravel()
-    de = np.stack([np.bincount(at, d, len(w["e"])) for d in flat2(dx).T], 1).astype(np.float32)
+    turned = lambda m: np.ascontiguousarray(m.transpose(0, 2, 1))
+    h = flat2(h)
+    dz = h @ w["o"]
+    dz += w["b"]
+    dz = _exp(dz)
+    goal = targets.ravel()
+    there = np.flatnonzero(goal >= 0)
+    share = np.float32(1 / max(1, len(there)))
+    scale = np.where(goal >= 0, share, np.float32(0)) / (dz @ np.ones(dz.shape[1], dz.dtype))
+    dz *= scale[:, None]
+    dz[there, goal[there]] -= share
+    dh = (dz @ w["o"].T).reshape(late.shape)
+    da = dh @ turned(v)
+    da -= (da * p).sum(-1, keepdims=True)
+    da *= p
+    dq, dk, dv = (da @ k) * np.float32(WIDTH**-0.5), turned(da) @ q, turned(p) @ dh
+    dx = _times(dk, w["k"].T)
+    dx += _times(dv, w["v"].T)
+    dx[:, HALF:] += dh
+    dx[:, HALF:] += _times(dq, w["q"].T)
+    place = inputs.reshape(-1, 1) * np.int64(WIDTH) + np.arange(WIDTH)
+    de = np.bincount(place.ravel(), dx.ravel(), w["e"].size).reshape(w["e"].shape).astype(np.float32)
     return {
         "e": de, "p": dx.sum(0), "q": flat2(late).T @ flat2(dq), "k": flat2(x).T @ flat2(dk), "v": flat2(x).T @ flat2(dv),
-        "o": flat2(h).T @ flat2(dz), "b": flat2(dz).sum(0),
+        "o": h.T @ dz, "b": dz.sum(0),
     }
 
 

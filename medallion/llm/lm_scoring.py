@@ -36,7 +36,7 @@ CHUNK_BYTES = 1 << 24
 ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
 CLASSES = ALONE + CLUSTERS
 ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 16, 32, 0.02
-SCORE_BATCH = 32
+SCORE_BATCH = 48
 ROWS = 256  # documents taken from an Arrow batch at once
 
 

@@ -56,6 +56,29 @@ def apply_end(runs: DataFrame, ends: DataFrame) -> DataFrame:
     return upsert_frames(runs, updated, RUN_KEYS)
 
 
+def fold_events(events: DataFrame) -> DataFrame:
+    """Run rows of ``events`` (run_id, table_id, layer, time, status, number_of_records, error_message).
+
+    Every event begins its row, so the newest one gives the start; the newest SUCCESS or FAILED event ends it
+    (ties: the greater status, count, error). The rows are those of ``apply_begin`` and ``apply_end`` on an empty
+    table, from one scan and one shuffle with a partial step before it. Null ids form a row of their own.
+    """
+    ended = F.col("status").isin(SUCCESS, FAILED)
+    end = F.struct(F.col("time").alias("end_time"), "status", F.col("number_of_records").cast("bigint").alias("number_of_records"), "error_message")
+    rows = events.groupBy(F.col("run_id").cast("bigint"), F.col("table_id").cast("int")).agg(
+        F.max(F.struct("time", "layer")).alias("begin"), F.max(F.when(ended, end)).alias("end")
+    )
+    return rows.select(
+        *RUN_KEYS,
+        "begin.layer",
+        F.col("begin.time").alias("start_time"),
+        "end.end_time",
+        F.coalesce("end.status", F.lit(INPROGRESS)).alias("status"),
+        "end.number_of_records",
+        "end.error_message",
+    )
+
+
 def _is_run(run_id: int, table_id: int) -> Column:
     """Row predicate for one (run_id, table_id); null ids never match."""
     return F.coalesce((F.col("run_id") == F.lit(run_id)) & (F.col("table_id") == F.lit(table_id)), F.lit(False))

@@ -3,9 +3,9 @@
 The reference keeps ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY t DESC) = 1``.
 A window needs every row of a key in one task, sorted; a key holding a third of
 the data then becomes one huge task. ``max(struct(order..., payload...))`` gives
-the same row (``DESC NULLS LAST`` order, then payload as the last tie-break) as a
-hash aggregate with a map-side partial step, so a hot key is reduced on every
-mapper before the shuffle.
+the same row (``DESC NULLS LAST`` order, then payload as the last tie-break) as an
+aggregate with a map-side partial step (a sort aggregate, as structs can't be hash-aggregated in
+place), so a hot key is reduced on every mapper before the shuffle.
 """
 
 from __future__ import annotations

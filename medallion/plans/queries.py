@@ -316,20 +316,12 @@ def silver_merge_composite(spark: SparkSession, d: str) -> DataFrame:
 RUNS_SCHEMA = "run_id bigint, table_id int, layer string, start_time timestamp_ntz, end_time timestamp_ntz, status string, number_of_records bigint, error_message string"
 
 
-def _runs_plan(spark: SparkSession, d: str, runs: DataFrame | None = None) -> DataFrame:
+def _runs_plan(spark: SparkSession, d: str) -> DataFrame:
     """Every event begins its (run, table) row; SUCCESS / FAILED events end it."""
-    ev = run_events(spark, d)
-    base = runs if runs is not None else spark.createDataFrame([], RUNS_SCHEMA)
-    begins = ev.select("run_id", "table_id", F.lit("Silver").alias("layer"), F.col("ts").alias("start_time"))
-    ends = ev.filter(F.col("status").isin(audit.SUCCESS, audit.FAILED)).select(
-        "run_id",
-        "table_id",
-        F.col("ts").alias("end_time"),
-        "status",
-        F.col("event_id").alias("number_of_records"),
-        F.when(F.col("status") == audit.FAILED, F.col("props")).alias("error_message"),
-    )
-    return audit.apply_end(audit.apply_begin(base, begins), ends)
+    error = F.when(F.col("status") == audit.FAILED, F.col("props")).alias("error_message")
+    counted = F.col("event_id").alias("number_of_records")
+    layer = F.lit("Silver").alias("layer")
+    return audit.fold_events(run_events(spark, d).select("run_id", "table_id", layer, F.col("ts").alias("time"), "status", counted, error))
 
 
 def audit_lifecycle(spark: SparkSession, d: str) -> DataFrame:

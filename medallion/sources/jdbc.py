@@ -49,9 +49,14 @@ def jdbc_read(
     load_type: str | None = None,
     watermark_column: str | None = None,
     last_mark: str | None = None,
+    one_task: bool = False,
     **partitioning,
 ) -> DataFrame:
-    """``SELECT * FROM table`` (FULL) or ``... WHERE mark > last`` (APPEND/MERGE with a mark)."""
+    """``SELECT * FROM table`` (FULL) or ``... WHERE mark > last`` (APPEND/MERGE with a mark).
+
+    Without a ``partition_column`` one task reads the whole table; ``one_task=True`` says that this is meant."""
+    if not one_task and not partitioning.get("partition_column"):
+        raise ValueError(f"{table}: give partition_column with its bounds, or one_task=True to read it in a single task")
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, properties, **partitioning)).load()
     return incremental_slice(df, load_type, watermark_column, last_mark)
 
@@ -71,10 +76,3 @@ def jdbc_reader(
 
 def source_table_name(source_schema: str | None, source_table: str) -> str:
     return f"{source_schema}.{source_table}" if source_schema else source_table
-
-
-def pushed_filters(df: DataFrame) -> str:
-    """The physical plan text (to check that the mark predicate reached the source)."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-

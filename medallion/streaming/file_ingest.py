@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.silver import with_bronze_audit
 from medallion.sources.csv import RESCUE_COLUMN, csv_stream
 
+PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 @dataclass
 class IngestResult:
@@ -38,11 +41,26 @@ def ingest_files(
     """New CSV files under ``source_path`` -> append to ``table`` (external Parquet at ``table_path``).
 
     Returns the rows read by this call (from the query progress, not a recount of
-    the whole table).
+    the whole table). The query keeps the progress of all its micro-batches, however many files there are.
     """
     src = csv_stream(spark, source_path, schema, rescue_column, max_files_per_trigger)
     out = with_bronze_audit(src, file_path=F.col("_metadata.file_path"))
-    query = (
+    kept = spark.conf.get(PROGRESS_KEPT)
+    spark.conf.set(PROGRESS_KEPT, str(2**31 - 1))
+    try:
+        query = _start(out, table, table_path, checkpoint_path)
+        query.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS_KEPT, kept)
+    progress = [p for p in query.recentProgress if p]
+    rows = sum(int(p.get("numInputRows", 0) or 0) for p in progress)
+    batches = sum(1 for p in progress if int(p.get("numInputRows", 0) or 0) > 0)
+    spark.catalog.refreshTable(table)
+    return IngestResult(table=table, batches=batches, rows=rows)
+
+
+def _start(out: DataFrame, table: str, table_path: str, checkpoint_path: str) -> StreamingQuery:
+    return (
         out.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
         .option("path", table_path)
@@ -50,9 +68,3 @@ def ingest_files(
         .trigger(availableNow=True)
         .toTable(table)
     )
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress if p]
-    rows = sum(int(p.get("numInputRows", 0) or 0) for p in progress)
-    batches = sum(1 for p in progress if int(p.get("numInputRows", 0) or 0) > 0)
-    spark.catalog.refreshTable(table)
-    return IngestResult(table=table, batches=batches, rows=rows)

@@ -290,6 +290,27 @@ def test_single_row_begin_end_match_bulk(spark):
     assert rows(audit.end_one(runs, 9, 9, t1, "SUCCESS", 1, None)) == rows(runs)  # no row: nothing changes
 
 
+def test_jdbc_read_in_one_task_has_to_be_asked_for(spark):
+    from medallion.sources.jdbc import jdbc_read
+
+    with pytest.raises(ValueError, match="one_task"):
+        jdbc_read(spark, "jdbc:x", "lims.result")
+
+
+def test_fold_events_equals_begin_and_end_upserts(spark):
+    from medallion.operators import audit
+
+    t = lambda h: datetime(2024, 1, 1, h)
+    events = [(1, 1, t(1), "SUCCESS", 5, None), (1, 1, t(3), "RUNNING", 6, None), (1, 2, t(1), "RUNNING", 7, None)]
+    events += [(2, 1, t(2), "SUCCESS", 8, None), (2, 1, t(2), "FAILED", 9, "x"), (2, 1, t(4), "FAILED", 3, "y")]
+    ev = spark.createDataFrame(events, "run_id long, table_id int, time timestamp, status string, number_of_records long, error_message string")
+    ev = ev.withColumn("layer", F.lit("Silver"))
+    schema = "run_id long, table_id int, layer string, start_time timestamp, end_time timestamp, status string, number_of_records long, error_message string"
+    begun = audit.apply_begin(spark.createDataFrame([], schema), ev.withColumnRenamed("time", "start_time"))
+    want = audit.apply_end(begun, ev.withColumnRenamed("time", "end_time").filter("status IN ('SUCCESS', 'FAILED')"))
+    assert sorted(map(repr, audit.fold_events(ev).collect())) == sorted(map(repr, want.collect()))
+
+
 def test_jdbc_options():
     from medallion.sources.jdbc import jdbc_options, source_table_name
 

@@ -27,6 +27,20 @@ def ingest(spark, root, name, max_files=None):
     return res, table
 
 
+def test_count_covers_batches_whose_progress_the_session_would_forget(spark):
+    root = scratch_dir(spark, "stream-progress")
+    land(f"{root}/many", [DATA[i : i + 4] for i in range(0, len(DATA), 4)])
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        res, _ = ingest(spark, root, "many", max_files=1)
+        assert spark.conf.get(name) == "2"
+    finally:
+        spark.conf.set(name, before)
+    assert (res.rows, res.batches) == (len(DATA), 10)
+
+
 def bronze_rows(spark, table):
     return sorted(tuple(r) for r in spark.table(table).select("id", "name", "_rescued_data").collect())
 

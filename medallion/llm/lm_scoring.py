@@ -10,8 +10,9 @@ count as empty texts.
 2. Token counts and the counts of what stands before them over all training documents (tables bounded
    by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means; and
    P(token | its class, the class before it), smoothed by P(token | its class).
-3. The attention model over classes is trained in rounds: each task runs Adam over those one in
-   ``TRAIN_EVERY`` of its training documents that the row number's hash names, others each round; Spark averages the weights (weighted by windows).
+3. The attention model over classes is trained in rounds: each task runs Adam over the share of its training
+   documents that the row number's hash gives the round; Spark averages the weights (weighted by windows). The
+   rounds' shares are disjoint and together hold every training document.
 4. A token's probability is P(its class | the classes before it) by the attention model, times the table's.
    Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
 """
@@ -35,7 +36,7 @@ from medallion.llm.common import col, keyed, read_table, stage, text_or_empty
 CHUNK_BYTES = 1 << 24
 ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
 CLASSES = ALONE + CLUSTERS
-ROUNDS, TRAIN_EVERY, BATCH, RATE = 3, 16, 32, 0.02
+ROUNDS, BATCH, RATE = 3, 32, 0.02
 SCORE_BATCH = 48
 ROWS = 256  # documents taken from an Arrow batch at once
 
@@ -231,9 +232,9 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
             values = opt.values.astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values * used), pa.array([used] * len(values), pa.int64())], ["at", "w", "n"])
 
-    mine = F.pmod(F.xxhash64("rid"), F.lit(TRAIN_EVERY)) == turn * 11 % TRAIN_EVERY
+    mine = F.pmod(F.xxhash64("rid"), F.lit(ROUNDS)) == turn  # a document is in one round, no document in none
     rows = df.filter(mine).select("ids").mapInArrow(run, "at int, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
-    if rows.empty:
+    if rows.empty:  # no training document has this round
         return weights
     out = np.zeros(len(weights))
     out[rows["at"].to_numpy()] = rows["w"].to_numpy()

@@ -145,6 +145,18 @@ def test_lm_learns(spark):
     assert sum(r.score for r in rows) > sum(unigram[np.append(tokens.encode(text_of(docs[r.doc_id])), tokens.END_ID).astype(np.int64)].sum() for r in rows)
 
 
+def test_lm_trains_on_every_document(spark):
+    from medallion.llm import attention
+
+    start = attention.flat(attention.initial(lm_scoring.CLASSES)).astype(np.float64)
+    class_of = (np.arange(tokens.VOCABULARY) % lm_scoring.CLASSES).astype(np.int32)
+    ids = bytearray(np.arange(40, dtype="<u2").tobytes())
+    for rid in range(6):
+        alone = spark.createDataFrame([(rid, ids)], "rid long, ids binary")
+        moved = [not np.allclose(lm_scoring.train_round(alone, class_of, start, turn), start) for turn in range(lm_scoring.ROUNDS)]
+        assert sum(moved) == 1
+
+
 def test_attention_gradients():
     from medallion.llm import attention
 

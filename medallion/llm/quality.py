@@ -6,12 +6,13 @@ word pair falls into one of 65,536 hash buckets; the raw multinomial counts all
 target multinomial the trusted ones (labelled good and not toxic). A document's score is the
 mean over its n-grams of log p_target - log p_raw, each n-gram counted without one occurrence
 of its own document's (so a rare but clean word does not look bad because only this document has it,
-and trusted documents get no advantage). Documents scoring at least ``THRESHOLD`` nats stay.
+and trusted documents get no advantage). Documents stay that score no less than the lowest trusted one
+which passes the base rules; trusted ones over ``FENCE`` interquartile ranges below the lower quartile (mislabelled) don't set it.
 
 The trusted documents are a bounded sample: the ``TRUSTED`` labelled ids with the smallest hash.
 That bound and the number of buckets make both broadcast sides small whatever the data's size.
 Counts of the raw corpus cover every document. Null and empty texts have no words and fail the
-base rules; with no labels the target is flat. Rows are judged one by one, repeated rows too.
+base rules; with no trusted document left the base rules alone decide. Rows are judged one by one, repeated rows too.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from medallion.llm.common import BLANK_CLASS, BLANKS, col, keyed, read_table, st
 
 BUCKETS = 1 << 16
 TRUSTED = 20_000
-THRESHOLD = -0.25
+FENCE = 6
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -94,7 +95,7 @@ def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
 
 
 def scores(df: DataFrame, text: str, id_col: str, rid: str, trusted: DataFrame) -> DataFrame:
-    """rid, llr: mean log-likelihood ratio of each document that has a word."""
+    """rid, llr, mine: mean log-likelihood ratio of each document that has a word; whether it is trusted."""
     known = F.broadcast(trusted.withColumn("mine", F.lit(True)))  # at most TRUSTED rows
     marked = df.select(col(rid).alias("rid"), col(id_col).alias("id"), text_or_empty(text).alias("t")).join(known, "id", "left")
     marked = marked.withColumn("mine", F.coalesce("mine", F.lit(False)))
@@ -108,15 +109,27 @@ def scores(df: DataFrame, text: str, id_col: str, rid: str, trusted: DataFrame)
         "bucket", (base + F.log(F.col("target") + 1)).alias("out_"), (base + F.log(F.greatest("target", F.lit(1)))).alias("in_")
     )
     grams = ngrams(marked, "t", F.col("rid"), F.col("mine")).join(F.broadcast(weights), "bucket")  # at most BUCKETS rows
-    return grams.groupBy("rid").agg(F.avg(F.when(F.col("mine"), F.col("in_")).otherwise(F.col("out_"))).alias("llr"))
+    llr = F.avg(F.when(F.col("mine"), F.col("in_")).otherwise(F.col("out_")))
+    return grams.groupBy("rid").agg(llr.alias("llr"), F.max("mine").alias("mine"))
+
+
+def threshold(llr: DataFrame) -> float | None:
+    """The lowest of the scores (``llr``) that are not far below the others; none of no scores."""
+    quarters = llr.agg(F.percentile("llr", F.array(F.lit(0.25), F.lit(0.75))).alias("q")).first()["q"]  # at most TRUSTED documents
+    if quarters is None:
+        return None
+    low, high = quarters
+    return llr.filter(F.col("llr") >= low - FENCE * (high - low)).agg(F.min("llr")).first()[0]
 
 
 def judge(df: DataFrame, labels: DataFrame, text: str, id_col: str, rid: str) -> DataFrame:
     """rid, the base columns, llr and ``kept``."""
     found = scores(df, text, id_col, rid, trusted_ids(labels)).withColumnRenamed("rid", "srid")
     rows = base_rules(df, text, rid)
-    rows = rows.join(found, rows["rid"] == found["srid"], "left").drop("srid")
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.coalesce("llr", F.lit(0.0)) >= THRESHOLD))
+    rows = stage(rows.join(found, rows["rid"] == found["srid"], "left").drop("srid"), "judged")
+    least = threshold(rows.filter("mine AND NOT base_failed"))
+    good = F.lit(True) if least is None else F.coalesce(F.col("llr") >= least, F.lit(False))
+    return rows.drop("mine").withColumn("kept", ~F.col("base_failed") & good)
 
 
 def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

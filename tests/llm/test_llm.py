@@ -395,6 +395,21 @@ def test_quality_score(spark):
     assert sum(not k for k, q in judged if q == 0) >= 0.8 * sum(q == 0 for _, q in judged)
 
 
+def test_quality_drops_nearly_all_bad_documents(spark):
+    got = {r.doc_id: r for r in quality.op10_query(spark, "/root/testdata/sf0.1").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
+    judged = [(got[r.doc_id].kept, r.quality) for r in labels if not got[r.doc_id].base_failed]
+    assert sum(k for k, q in judged if q == 1) >= 0.99 * sum(q == 1 for _, q in judged)
+    assert sum(not k for k, q in judged if q == 0) >= 0.99 * sum(q == 0 for _, q in judged)
+
+
+def test_quality_threshold_follows_the_trusted_scores(spark):
+    scores = lambda *x: spark.createDataFrame([(float(v),) for v in x], "llr double")
+    assert quality.threshold(scores()) is None
+    assert quality.threshold(scores(*range(10, 20))) == 10
+    assert quality.threshold(scores(-1000, *range(10, 20))) == 10
+
+
 def test_urls(spark, table):
     rows = {r.page_id: r for r in url_filters.op6_query(spark, table).collect()}
     assert len(rows) == 68 and all(rows[k].kept and rows[k].n_active == 0 for k in (2, 3, 4, None))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medallion.llm import exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, sharding, substring_dedup, url_filters
+from medallion.llm import conversation_repair, exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, sharding, substring_dedup, url_filters
 
 QUERIES = {
     "op1_pii": pii.op1_query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_dedup": substring_dedup.op8_query,
     "op9_best_fit_packing": packing.op9_query,
     "op10_quality_rules": quality.op10_query,
+    "op11_conversation_repair": conversation_repair.op11_query,
 }
 
 SQL = {

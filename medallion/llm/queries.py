@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medallion.llm import conversation_repair, exact_dedup, lm_scoring, near_dedup, packing, periodic_runs, pieces, pii, quality, sharding, substring_dedup, url_filters
+from medallion.llm import conversation_repair, exact_dedup, lm_scoring, near_dedup, packing, periodic_runs, pieces, pii, quality, quality_classifier, sharding, substring_dedup, url_filters
 
 QUERIES = {
     "op1_pii": pii.op1_query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_query,
     "op10_quality_rules": quality.op10_query,
     "op11_conversation_repair": conversation_repair.op11_query,
+    "op12_quality_classifier": quality_classifier.op12_query,
     "op13_periodic_runs": periodic_runs.op13_query,
 }
 

@@ -1,14 +1,15 @@
 """Run-audit operators over ``pipeline_runs`` (run_id, table_id, layer, start_time,
 end_time, status, number_of_records, error_message).
 
-Begin and end are upserts keyed by (run_id, table_id) — written in bulk form so
-one plan applies any number of run events.
+The pipeline appends events and reads the rows folded from them (``run_rows``). ``apply_begin`` and ``apply_end``
+are the same as upserts of a run table, in bulk form.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.operators.latest import latest_per_key
 from medallion.operators.upsert import upsert_frames
@@ -16,6 +17,22 @@ from medallion.operators.upsert import upsert_frames
 RUN_KEYS = ["run_id", "table_id"]
 RUN_COLUMNS = ["run_id", "table_id", "layer", "start_time", "end_time", "status", "number_of_records", "error_message"]
 INPROGRESS, SUCCESS, FAILED = "INPROGRESS", "SUCCESS", "FAILED"
+BEGIN, JOIN, END = "begin", "join", "end"
+
+#: Events of runs. ``seq`` orders events of one time.
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.LongType()),
+        T.StructField("table_id", T.IntegerType()),
+        T.StructField("layer", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("time", T.TimestampType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("number_of_records", T.LongType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
 
 
 def apply_begin(runs: DataFrame, begins: DataFrame) -> DataFrame:
@@ -79,28 +96,34 @@ def fold_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _is_run(run_id: int, table_id: int) -> Column:
-    """Row predicate for one (run_id, table_id); null ids never match."""
-    return F.coalesce((F.col("run_id") == F.lit(run_id)) & (F.col("table_id") == F.lit(table_id)), F.lit(False))
+def begin_kind(layer: str) -> str:
+    """A bronze step starts its run row anew; a silver step only adds a row that isn't there."""
+    return JOIN if layer.lower() == "silver" else BEGIN
 
 
-def begin_one(runs: DataFrame, run_id: int, table_id: int, layer: str, start) -> DataFrame:
-    """One run row set to INPROGRESS (inserted or replaced): a filter and a union, no shuffle."""
-    row = runs.sparkSession.createDataFrame(
-        [(run_id, table_id, layer, start, None, INPROGRESS, None, None)], runs.select(*RUN_COLUMNS).schema
+def run_rows(log: DataFrame) -> DataFrame:
+    """Run rows of an append-only ``log`` (LOG_SCHEMA), one per (run_id, table_id).
+
+    The latest BEGIN opens the row; without one the earliest JOIN does. The latest END since then closes it, so a run
+    that was begun again after an end is INPROGRESS, with end, count and error empty, while it runs. An END without
+    an opening changes nothing. Events are ordered by (time, seq); one shuffle with a partial step before it.
+    """
+    at = F.struct("time", "seq")
+    opened = F.struct(at.alias("at"), F.col("layer").alias("layer"))
+    ended = F.struct(at.alias("at"), "status", "number_of_records", "error_message")
+    rows = log.groupBy(*RUN_KEYS).agg(
+        F.coalesce(F.max(F.when(F.col("kind") == BEGIN, opened)), F.min(F.when(F.col("kind") == JOIN, opened))).alias("o"),
+        F.max(F.when(F.col("kind") == END, ended)).alias("e"),
     )
-    return runs.filter(~_is_run(run_id, table_id)).unionByName(row)
-
-
-def end_one(runs: DataFrame, run_id: int, table_id: int, end, status: str, records: int | None, error: str | None) -> DataFrame:
-    """UPDATE of one existing run row (end, status, count, error): a projection, no shuffle."""
-    hit = _is_run(run_id, table_id)
-    new = {"end_time": end, "status": status, "number_of_records": records, "error_message": error}
-    return runs.select(
-        *[
-            F.when(hit, F.lit(new[c]).cast(runs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
-            for c in runs.columns
-        ]
+    rows = rows.filter(F.col("o").isNotNull()).withColumn("e", F.when(F.col("e.at") >= F.col("o.at"), F.col("e")))
+    return rows.select(
+        *RUN_KEYS,
+        F.col("o.layer").alias("layer"),
+        F.col("o.at.time").alias("start_time"),
+        F.col("e.at.time").alias("end_time"),
+        F.coalesce("e.status", F.lit(INPROGRESS)).alias("status"),
+        F.col("e.number_of_records").alias("number_of_records"),
+        F.col("e.error_message").alias("error_message"),
     )
 
 

@@ -69,6 +69,32 @@ RUNS_SCHEMA = T.StructType(
     ]
 )
 
+_CREATED = T.StructField("created_at", T.TimestampType())
+#: One row per advance of a mark; the latest one (by ``seq``) of a table is its mark.
+MARK_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("table_id", T.IntegerType()),
+        T.StructField("last_watermark_value", T.StringType()),
+        T.StructField("last_updated_at", T.TimestampType()),
+        T.StructField("last_run_id", T.LongType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+#: Schema and partition columns of the stored registry tables.
+STORED = {
+    "tables": (T.StructType([*TABLES_SCHEMA.fields, _CREATED]), ("table_id",)),
+    "table_parameters": (T.StructType([*PARAMS_SCHEMA.fields, _CREATED]), ("table_id",)),
+    "schemas": (T.StructType([*SCHEMAS_SCHEMA.fields, _CREATED]), ("table_name", "schema_version")),
+    "table_watermarks": (MARK_LOG_SCHEMA, ("table_id",)),
+}
+
+
+def marks_of(log: DataFrame) -> DataFrame:
+    """The mark of every table in a mark log: its latest row."""
+    columns = [f.name for f in MARK_LOG_SCHEMA.fields if f.name not in ("table_id", "seq")]
+    latest = log.groupBy("table_id").agg(F.max(F.struct("seq", *columns)).alias("m"))
+    return latest.select("table_id", *[F.col(f"m.{c}").alias(c) for c in columns])
+
 
 def seed_frames(spark: SparkSession, landing_root: str = "landing") -> dict[str, DataFrame]:
     """Seed rows as DataFrames with ``created_at`` / ``last_updated_at`` = now."""

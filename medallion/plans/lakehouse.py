@@ -31,12 +31,13 @@ from medallion.operators.silver import (
 )
 from medallion.operators.upsert import dedup_updates, split_keys
 from medallion.plans.gold import MARTS
+from medallion.sources.folder import PartitionedFolder
 from medallion.sources.jdbc import jdbc_reader, source_table_name
-from medallion.sources.store import TableStore
+from medallion.sources.store import BUCKETS, TableStore
 from medallion.streaming.file_ingest import ingest_files
 
 METADATA = "metadata"
-METADATA_TABLES = ("tables", "table_parameters", "table_watermarks", "schemas", "pipeline_runs")
+RUN_LOG = "run_log"
 
 
 def now() -> datetime:
@@ -62,6 +63,14 @@ class RunRecord:
 
     records: int | None = None
     info: dict = field(default_factory=dict)
+    slice: DataFrame | None = None
+
+    def known(self) -> int:
+        """Rows of the step; when its write failed before they were counted, those of the slice it was given."""
+        if self.records is None and self.slice is not None:
+            with contextlib.suppress(Exception):  # a slice that can't be read has no count
+                self.records = self.slice.count()
+        return self.records or 0
 
 
 class Lakehouse:
@@ -81,6 +90,8 @@ class Lakehouse:
         self.root = root.rstrip("/")
         self.landing_root = (landing_root or f"{self.root}/landing").rstrip("/")
         self.jdbc = dict(jdbc or {})
+        kinds = {**registry.STORED, RUN_LOG: (audit.LOG_SCHEMA, ("table_id",))}
+        self.folders = {n: PartitionedFolder(spark, self.store.table_dir(METADATA, n), schema, keys) for n, (schema, keys) in kinds.items()}
 
     # ---- metadata ------------------------------------------------------------------------
     def setup(self, reset: bool = False, seed: bool = True, layers: bool = False) -> None:
@@ -95,19 +106,26 @@ class Lakehouse:
                 self.store.drop_database(db)
             fs, p = self.store._fs(f"{self.root}/_checkpoints")
             fs.delete(p, True)
-        for db in ("bronze", "silver", "gold", METADATA):
+        for db in ("bronze", "silver", "gold"):
             self.store.ensure_database(db)
         frames = registry.seed_frames(self.spark, self.landing_root)
-        concurrently(
-            [
-                (lambda n=name: self.store.replace(METADATA, n, frames[n] if seed else frames[n].limit(0)))
-                for name in METADATA_TABLES
-                if reset or not self.store.exists(METADATA, name)
-            ]
-        )
+        frames["table_watermarks"] = frames["table_watermarks"].withColumn("seq", F.lit(0))
+
+        def fill(name: str) -> None:
+            folder = self.folders[name]
+            if reset or not folder.exists():
+                folder.clear()
+                if seed and name != RUN_LOG:
+                    folder.put(frames[name])
+
+        concurrently([lambda n=name: fill(n) for name in self.folders])
 
     def meta(self, name: str) -> DataFrame:
-        return self.store.read(METADATA, name)
+        """A metadata table. Runs and marks are folded from their events."""
+        if name == "pipeline_runs":
+            return audit.run_rows(self.folders[RUN_LOG].read())
+        rows = self.folders[name].read()
+        return registry.marks_of(rows) if name == "table_watermarks" else rows
 
     def register(
         self,
@@ -120,8 +138,8 @@ class Lakehouse:
         schema_json: str | None = None,
         initial_mark: str | None = "1900-01-01 00:00:00",
     ) -> None:
-        """Add or replace one table's registry, parameter, watermark and schema rows
-        (four independent small-table rewrites, submitted as concurrent jobs)."""
+        """Add or replace one table's registry, parameter, watermark and schema rows: only the table's own
+        partitions are written (independent jobs, submitted together)."""
         ts = now()
         row = self.spark.createDataFrame(
             [(table_id, table_name, source_system, None, table_name, source_path, "silver", "bronze", "silver", "gold", True, load_order)],
@@ -135,44 +153,43 @@ class Lakehouse:
             lambda: self._put("table_parameters", prm, table_id=table_id),
         ]
         if params.get("load_type") in ("APPEND", "MERGE") and initial_mark is not None:
-            mark = self.spark.createDataFrame(
-                [(table_id, initial_mark, ts, None)],
-                "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
-            )
-            writes.append(lambda: self._put("table_watermarks", mark, table_id=table_id))
+            writes.append(lambda: self.advance_mark(table_id, None, initial_mark))
         if schema_json is not None:
             sch = self.spark.createDataFrame([(table_name, 1, schema_json, True)], registry.SCHEMAS_SCHEMA).withColumn(
                 "created_at", F.lit(ts)
             )
-            writes.append(lambda: self._put("schemas", sch, table_name=table_name, schema_version=1))
+            writes.append(lambda: self.folders["schemas"].put(sch))
         concurrently(writes)
 
     def table_row(self, table_id: int) -> dict:
-        rows = self.meta("tables").filter(F.col("table_id") == table_id).collect()
+        rows = self.folders["tables"].read(table_id).collect()
         if not rows:
             raise ValueError(f"table_id {table_id} not registered")
         return rows[0].asDict()
 
     def params(self, table_id: int) -> dict:
-        return registry.table_params_dict(self.meta("table_parameters"), table_id)
+        return registry.table_params_dict(self.folders["table_parameters"].read(table_id), table_id, (*registry.PARAMETER_NAMES, "buckets"))
 
     def last_mark(self, table_id: int) -> str | None:
-        rows = self.meta("table_watermarks").filter(F.col("table_id") == table_id).select("last_watermark_value").limit(1).collect()
+        rows = registry.marks_of(self.folders["table_watermarks"].read(table_id)).select("last_watermark_value").collect()
         return rows[0][0] if rows else None
 
     # ---- audit -----------------------------------------------------------------------------
-    # One row per call: begin / end are one-stage rewrites of the small runs table
-    # (audit.begin_one / end_one); audit.apply_begin / apply_end are the bulk forms.
+    # Events are appended, so a call costs the same after any number of runs and tables can be
+    # loaded at the same time; ``meta("pipeline_runs")`` folds them into rows.
     def run_begin(self, run_id: int, table_id: int, layer: str, start: datetime) -> None:
-        runs = self.meta("pipeline_runs")
-        if not runs.filter((F.col("run_id") == run_id) & (F.col("table_id") == table_id)).isEmpty():
-            return  # the layer that began the run keeps its start
-        runs = audit.begin_one(runs, run_id, table_id, layer, start)
-        self.store.replace(METADATA, "pipeline_runs", runs)
+        self._log(run_id, table_id, layer, audit.begin_kind(layer), start)
 
     def run_end(self, run_id: int, table_id: int, status: str, records: int | None, error: str | None) -> None:
-        runs = audit.end_one(self.meta("pipeline_runs"), run_id, table_id, now(), status, records, error)
-        self.store.replace(METADATA, "pipeline_runs", runs)
+        self._log(run_id, table_id, None, audit.END, now(), status, records, error)
+
+    def _log(self, run_id, table_id, layer, kind, at, status=None, records=None, error=None) -> None:
+        event = (run_id, table_id, layer, kind, at, time.time_ns(), status, records, error)
+        self.folders[RUN_LOG].append(self.spark.createDataFrame([event], audit.LOG_SCHEMA), table_id)
+
+    def log_runs(self, events: DataFrame) -> None:
+        """Append any number of run events (``audit.LOG_SCHEMA``) in one job."""
+        self.folders[RUN_LOG].append_all(events)
 
     @contextlib.contextmanager
     def audited(self, run_id: int, table_id: int, layer: str, end_on_success: bool = True) -> Iterator[RunRecord]:
@@ -183,7 +200,7 @@ class Lakehouse:
         try:
             yield rec
         except Exception as e:  # noqa: BLE001 - recorded and re-raised
-            self.run_end(run_id, table_id, audit.FAILED, rec.records or 0, str(e))
+            self.run_end(run_id, table_id, audit.FAILED, rec.known(), str(e))
             raise
         if end_on_success:
             self.run_end(run_id, table_id, audit.SUCCESS, rec.records, None)
@@ -296,7 +313,8 @@ class Lakehouse:
             sl = incremental_slice(bronze, load_type, mark_col, last)
             if snapshot == "latest_file" and load_type == "FULL":
                 sl = latest_file(sl)
-            sl = sl.drop("insert_timestamp")
+            rec.slice = sl = sl.drop("insert_timestamp")
+            buckets = int(p.get("buckets") or BUCKETS)
             exists = self.store.exists(silver_db, name)
             if load_type == "MERGE" and exists:
                 keys = split_keys(key or "")
@@ -314,6 +332,7 @@ class Lakehouse:
                     strict=strict,
                     bucketed=True,
                     preserve=["insert_timestamp"] if preserve_insert_timestamp else (),
+                    buckets=buckets,
                 )
             else:
                 obs = Observation(f"silver_{table_id}_{int(time.time() * 1000)}")
@@ -323,7 +342,7 @@ class Lakehouse:
                     # first load of an upsert table: bucketed by its key from the start
                     # and one row per key, as later upserts keep it
                     out = dedup_updates(out, split_keys(key), [mark_col] if mark_col else None, strict)
-                    self.store.replace(silver_db, name, out, bucket_by=split_keys(key))
+                    self.store.replace(silver_db, name, out, bucket_by=split_keys(key), buckets=buckets)
                 elif not exists or load_type == "FULL":
                     self.store.replace(silver_db, name, out)
                 else:
@@ -340,22 +359,16 @@ class Lakehouse:
                     self.advance_mark(table_id, run_id, mx)
         return rec
 
-    def advance_mark(self, table_id: int, run_id: int, value: str) -> None:
-        row = self.spark.createDataFrame(
-            [(table_id, value, now(), run_id)],
-            "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint",
-        )
-        self._put("table_watermarks", row, table_id=table_id)
-
-    def _put(self, name: str, rows: DataFrame, **key) -> None:
-        """Replace the rows of a metadata table whose ``key`` columns equal the given
-        values by ``rows`` (filter + union: one stage, the table is small)."""
-        cur = self.meta(name)
-        hit = F.lit(True)
-        for c, v in key.items():
-            hit = hit & (F.col(c) == F.lit(v))
-        keep = cur.filter(~F.coalesce(hit, F.lit(False)))
-        self.store.replace(METADATA, name, keep.unionByName(rows.select(*cur.columns)))
+    def advance_mark(self, table_id: int, run_id: int | None, value: str) -> None:
+        row = (table_id, value, now(), run_id, time.time_ns())
+        self.folders["table_watermarks"].append(self.spark.createDataFrame([row], registry.MARK_LOG_SCHEMA), table_id)
+
+    def _put(self, name: str, rows: DataFrame, table_id: object) -> None:
+        """Replace one table's rows of a registry table."""
+        if rows.isEmpty():
+            self.folders[name].remove(table_id)
+        else:
+            self.folders[name].put(rows)
 
     # ---- gold -------------------------------------------------------------------------------
     def silver_tables(self, names) -> dict[str, DataFrame]:
@@ -370,8 +383,9 @@ class Lakehouse:
                  "lims_sample_location", "shipment_header", "shipment_item", "delivery_header",
                  "freezer", "rack", "storage_box", "storage_position"]
             )
-            self.store.replace("gold", name, MARTS[name].build(src, as_of))
-            counts[name] = self.store.read("gold", name).count()
+            obs = Observation(f"gold_{name}_{time.time_ns()}")  # counted by the write itself
+            self.store.replace("gold", name, MARTS[name].build(src, as_of).observe(obs, F.count(F.lit(1)).alias("n")))
+            counts[name] = int(obs.get["n"])
         return counts
 
     # ---- report -----------------------------------------------------------------------------

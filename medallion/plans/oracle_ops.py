@@ -123,7 +123,28 @@ upd AS (SELECT * REPLACE (l_quantity + 1.0 AS l_quantity) FROM lineitem WHERE l_
 SELECT * FROM base b
 WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE {' AND '.join(f'u.{k} = b.{k}' for k in LINE_KEY)})
 UNION ALL SELECT * FROM upd""",
-    "audit_lifecycle": RUN_ROWS,
+    "audit_lifecycle": """
+WITH ev AS (
+  SELECT user_id AS run_id, CAST(event_id % 51 + 1 AS INTEGER) AS table_id, event_id, ts, props,
+         event_type NOT IN ('signup', 'view') AS done, event_type = 'error' AS failed
+  FROM events),
+opened AS (
+  SELECT run_id, table_id, max({'t': ts, 'e': event_id}) FILTER (WHERE NOT done) AS begun, min({'t': ts, 'e': event_id}) FILTER (WHERE done) AS joined
+  FROM ev GROUP BY run_id, table_id),
+closed AS (
+  SELECT ev.run_id, ev.table_id, arg_max(ev, {'t': ts, 'e': event_id}) AS last
+  FROM ev JOIN opened o ON ev.run_id = o.run_id AND ev.table_id = o.table_id
+  WHERE done AND (begun IS NULL OR {'t': ts, 'e': event_id} >= begun) GROUP BY ev.run_id, ev.table_id)
+SELECT o.run_id, o.table_id, CASE WHEN begun IS NULL THEN 'Silver' ELSE 'Bronze' END AS layer,
+       COALESCE(begun, joined).t AS start_time, last.ts AS end_time,
+       CASE WHEN last IS NULL THEN 'INPROGRESS' WHEN last.failed THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       last.event_id AS number_of_records, CASE WHEN last.failed THEN last.props END AS error_message
+FROM opened o LEFT JOIN closed c ON o.run_id = c.run_id AND o.table_id = c.table_id""",
+    "silver_merge_no_mark": """
+SELECT l_orderkey, b.n AS l_linenumber, b.p AS l_partkey, b.s AS l_suppkey, b.q AS l_quantity
+FROM (SELECT l_orderkey, max({'n': l_linenumber, 'p': l_partkey, 's': l_suppkey, 'q': l_quantity}) AS b FROM lineitem GROUP BY l_orderkey)""",
+    "silver_zoned_mark": "SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS ordered_at FROM orders",
+    "silver_file_lineage": "SELECT 'customer' AS landing_folder, count(*) AS customers, CAST(0 AS BIGINT) AS unstamped FROM customer",
     "run_history": RUN_ROWS,
     "run_summary": f"""
 WITH {RUNS}

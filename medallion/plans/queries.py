@@ -297,6 +297,46 @@ def silver_merge(spark: SparkSession, d: str) -> DataFrame:
     return _orders_silver(spark, d, "silver-merge", params, [early, changed])
 
 
+def silver_merge_no_mark(spark: SparkSession, d: str) -> DataFrame:
+    """MERGE without a mark column, twice over one bronze table: every order line is a source row for its order,
+    and one row per order stays (the greatest in its other columns)."""
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lh = _lakehouse(spark, "silver-no-mark")
+    lh.register(9005, "order_line", "sqlserver", {"load_type": "MERGE", "primary_key": "l_orderkey"})
+    lh.dispatch(9005, run_id=1, readers={"order_line": lambda lt, mc, last: lines})
+    lh.load_silver(9005, run_id=1)
+    lh.load_silver(9005, run_id=2)
+    return _without_audit(lh.store.read("silver", "order_line"))
+
+
+def silver_zoned_mark(spark: SparkSession, d: str) -> DataFrame:
+    """APPEND on a zoned mark with the session in another time zone for the second run: no row is lost or repeated."""
+    instant = F.timestamp_seconds(F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', o_orderdate)"))  # the same in any zone
+    dated = load(spark, d, "orders")
+    orders, early = (x.select("o_orderkey", instant.alias("ordered_at")) for x in (dated, dated.filter(F.col("o_orderdate") < _ts(SPLIT_DATE))))
+    lh = _lakehouse(spark, "silver-zoned")
+    lh.register(9006, "orders", "sqlserver", {"load_type": "APPEND", "primary_key": "o_orderkey", "watermark_column": "ordered_at"})
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for run_id, (source, tz) in enumerate(((early, zone), (orders, "Asia/Tokyo")), start=1):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            lh.dispatch(9006, run_id=run_id, readers={"orders": (lambda src: lambda lt, mc, last: incremental_slice(src, lt, mc, last))(source)})
+            lh.load_silver(9006, run_id=run_id)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return lh.store.read("silver", "orders").select("o_orderkey", F.unix_seconds("ordered_at").alias("ordered_at"))
+
+
+def silver_file_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """CSV files -> bronze -> silver: rows by the landing folder that ``source_file_name`` names, in silver."""
+    lh, _ = _ingest_customer(spark, d, corrupt=False)
+    lh.load_silver(9001, run_id=3)
+    folder = F.regexp_extract("source_file_name", "/landing/([^/]+)/[^/]+[.]csv$", 1)
+    return lh.store.read("silver", "customer").groupBy(folder.alias("landing_folder")).agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(F.col("insert_timestamp").isNull() | F.col("update_timestamp").isNull()).alias("unstamped")
+    )
+
+
 LINE_KEY = "l_orderkey,l_linenumber,l_partkey,l_suppkey"
 
 
@@ -313,9 +353,6 @@ def silver_merge_composite(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- run audit --------------------------------------------------------------------------------------
 
-RUNS_SCHEMA = "run_id bigint, table_id int, layer string, start_time timestamp_ntz, end_time timestamp_ntz, status string, number_of_records bigint, error_message string"
-
-
 def _runs_plan(spark: SparkSession, d: str) -> DataFrame:
     """Every event begins its (run, table) row; SUCCESS / FAILED events end it."""
     error = F.when(F.col("status") == audit.FAILED, F.col("props")).alias("error_message")
@@ -325,22 +362,23 @@ def _runs_plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_lifecycle(spark: SparkSession, d: str) -> DataFrame:
-    """Begin and end applied to a stored ``pipeline_runs`` table (two rewrites)."""
-    store = TableStore(spark, scratch_dir(spark, "audit"), namespace=_namespace())
-    store.replace("metadata", "pipeline_runs", spark.createDataFrame([], RUNS_SCHEMA))
-    ev = run_events(spark, d)
-    begins = ev.select("run_id", "table_id", F.lit("Silver").alias("layer"), F.col("ts").alias("start_time"))
-    store.replace("metadata", "pipeline_runs", audit.apply_begin(store.read("metadata", "pipeline_runs"), begins))
-    ends = ev.filter(F.col("status").isin(audit.SUCCESS, audit.FAILED)).select(
-        "run_id",
-        "table_id",
-        F.col("ts").alias("end_time"),
-        "status",
-        F.col("event_id").alias("number_of_records"),
-        F.when(F.col("status") == audit.FAILED, F.col("props")).alias("error_message"),
+    """Events as the pipeline logs them, folded from its stored log: a running (or unknown) status is a bronze step
+    that begins the row anew, SUCCESS or FAILED a silver step that joins the row and ends it."""
+    lh = _lakehouse(spark, "audit")
+    ended = F.col("status").isin(audit.SUCCESS, audit.FAILED)
+    ev = run_events(spark, d).withColumn("done", F.coalesce(ended, F.lit(False)))
+    at = [F.col("ts").alias("time"), F.col("event_id").alias("seq")]
+    nothing = [F.lit(None).cast("string").alias("status"), F.lit(None).cast("bigint").alias("number_of_records"), F.lit(None).cast("string").alias("error_message")]
+    layer = F.when(F.col("done"), "Silver").otherwise("Bronze").alias("layer")
+    kind = F.when(F.col("done"), audit.begin_kind("Silver")).otherwise(audit.begin_kind("Bronze")).alias("kind")
+    begins = ev.select("run_id", "table_id", layer, kind, *at, *nothing)
+    error = F.when(F.col("status") == audit.FAILED, F.col("props")).alias("error_message")
+    ends = ev.filter("done").select(
+        "run_id", "table_id", F.lit(None).cast("string").alias("layer"), F.lit(audit.END).alias("kind"), *at, "status", F.col("event_id").alias("number_of_records"), error
     )
-    store.replace("metadata", "pipeline_runs", audit.apply_end(store.read("metadata", "pipeline_runs"), ends))
-    return store.read("metadata", "pipeline_runs")
+    lh.log_runs(begins.unionByName(ends))
+    rows = lh.meta("pipeline_runs")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
 
 
 def run_history(spark: SparkSession, d: str) -> DataFrame:
@@ -377,6 +415,9 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "silver_append": silver_append,
     "silver_merge": silver_merge,
     "silver_merge_composite": silver_merge_composite,
+    "silver_merge_no_mark": silver_merge_no_mark,
+    "silver_zoned_mark": silver_zoned_mark,
+    "silver_file_lineage": silver_file_lineage,
     "audit_lifecycle": audit_lifecycle,
     "run_history": run_history,
     "run_summary": run_summary,

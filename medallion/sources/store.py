@@ -1,54 +1,51 @@
 """Parquet tables with versioned directories, registered in the Spark catalog.
 
-Row-level change on plain Parquet is a rewrite: every replace/upsert writes a
-new directory ``<root>/<database>/<table>/v=<n>`` and repoints the catalog
-table, so a table can be rebuilt from a plan that reads it (Spark refuses to
-overwrite a table it is reading). A failed write leaves an unreferenced
-directory and the table unchanged. One writer per table; readers are not
-isolated from the repoint.
-
-Upsert tables are kept in ``n`` hash buckets of their key: partitioned by
-``_bucket = pmod(hash(key), n)`` and bucketed (``bucketBy``) by the key into the
-same ``n`` buckets, so every partition holds exactly one bucket. A MERGE then
-
-* reads only the partitions whose bucket the increment touches (partition
-  pruning), bucket by bucket, without shuffling the target;
-* hash-partitions only the increment into the same buckets;
-* writes the touched buckets to a new version directory and repoints just
-  those partitions in the catalog.
-
-Its cost follows the touched buckets, not the table. When more than half the
-buckets change, one whole new version is swapped in instead. A new table's bucket
-count comes from its estimated size; it doubles when a bucket would pass
-``BUCKET_BYTES`` (that MERGE rewrites the whole table).
-Repointing several partitions is not atomic; an interrupted MERGE is repaired
-by running it again (upserting the same increment twice gives the same table).
+* ``replace`` writes a new directory ``<root>/<database>/<table>/v=<n>`` and points the catalog entry at it, so a
+  table can be rebuilt from a plan that reads it. With an unchanged schema that is one catalog call. A changed
+  schema needs DROP and CREATE; if CREATE fails the old entry is put back, and an entry that is gone (the driver
+  died in between) is registered again over the newest complete version (``_SUCCESS``) at the next access.
+* ``upsert`` keeps a table in ``n`` hash buckets of its key, as partitions of the column ``_bucket_<n>_<key digest>``,
+  and replaces the touched ones with Spark's dynamic partition overwrite. ``n`` is fixed when the table is made
+  (``BUCKETS``, or ``buckets``; a bucket of about 1 GB is a good size, so a table of 100 TB asks for 65,536). The
+  merged buckets are first written to the folder ``_merge``; a complete one that is left over is applied at
+  the next access, so a driver lost at any point leaves the table as before or as after. Other buckets are
+  neither read nor written.
+
+One writer per table; readers are not isolated from a change of the table they read.
 """
 
 from __future__ import annotations
 
-import re
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.operators.upsert import split_keys, upsert_frames
 
 VERSION_PREFIX = "v="
-STAGE_SUFFIX = "__stage"
-BUCKET_COLUMN = "_bucket"
-# Target on-disk size of one bucket of an upsert table (one scan task).
-BUCKET_BYTES = 512 * 1024 * 1024
-# Fewest buckets of a new upsert table (small tables still get some parallelism).
-MIN_BUCKETS = 8
+BUCKET_PREFIX = "_bucket_"
+#: Buckets of an upsert table unless the caller names another count.
+BUCKETS = 64
+MERGE_FOLDER = "_merge"
 
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
-    """Spark's bucket id (Murmur3 hash, the function ``bucketBy`` uses) of the key."""
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(n))
 
 
+def bucket_column(keys: Sequence[str], n: int) -> str:
+    """Partition column of a table in ``n`` buckets of ``keys``. The name says both, so a table read back from its
+    files alone is never taken for one with other buckets."""
+    return f"{BUCKET_PREFIX}{n}_{zlib.crc32(','.join(keys).encode()):08x}"
+
+
+def without_buckets(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(BUCKET_PREFIX)])
+
+
 class TableStore:
     """``namespace`` prefixes every database name (``<namespace>_bronze`` ...), so
     several pipelines can share one catalog."""
@@ -78,6 +75,14 @@ class TableStore:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         return jpath.getFileSystem(conf), jpath
 
+    def _has(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return bool(fs.exists(p))
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
     def versions(self, database: str, table: str) -> list[int]:
         fs, p = self._fs(self.table_dir(database, table))
         if not fs.exists(p):
@@ -89,9 +94,12 @@ class TableStore:
                 out.append(int(name[len(VERSION_PREFIX):]))
         return sorted(out)
 
+    def version_path(self, database: str, table: str, version: int) -> str:
+        return f"{self.table_dir(database, table)}/{VERSION_PREFIX}{version:06d}"
+
     def next_path(self, database: str, table: str) -> str:
         vs = self.versions(database, table)
-        return f"{self.table_dir(database, table)}/{VERSION_PREFIX}{(vs[-1] + 1 if vs else 1):06d}"
+        return self.version_path(database, table, vs[-1] + 1 if vs else 1)
 
     # ---- catalog ---------------------------------------------------------------------
     def ensure_database(self, database: str) -> None:
@@ -100,135 +108,114 @@ class TableStore:
             self._databases.add(database)
 
     def exists(self, database: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.qualified(database, table))
+        """Whether the table exists; a lost entry and an unfinished upsert are repaired first."""
+        found = self.spark.catalog.tableExists(self.qualified(database, table)) or self.recover(database, table)
+        if found:
+            self._apply_merge(database, table)
+        return found
+
+    def recover(self, database: str, table: str) -> bool:
+        """Register the newest complete version of a table without a catalog entry."""
+        for v in reversed(self.versions(database, table)):
+            path = self.version_path(database, table, v)
+            if self._has(f"{path}/_SUCCESS"):
+                fs, p = self._fs(path)
+                if [st.getPath().getName() for st in fs.listStatus(p)] == ["_SUCCESS"]:
+                    return False  # buckets without a row: there is nothing to register
+                self._register(database, table, path)
+                return True
+        return False
+
+    def location(self, database: str, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fqn(database, table)}").filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"]
 
     def read_raw(self, database: str, table: str) -> DataFrame:
-        """The table with its storage columns (``_bucket``)."""
+        """The table with its storage column."""
         return self.spark.table(self.fqn(database, table))
 
     def read(self, database: str, table: str) -> DataFrame:
-        df = self.read_raw(database, table)
-        return df.drop(BUCKET_COLUMN) if BUCKET_COLUMN in df.columns else df
+        self.exists(database, table)
+        return without_buckets(self.read_raw(database, table))
+
+    def _create(self, database: str, table: str, path: str, schema: T.StructType | None) -> None:
+        """The one place that makes a catalog entry. Without a schema it and the partitions come from the files."""
+        if schema is None:
+            self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        buckets = [f"PARTITIONED BY (`{f.name}`)" for f in schema.fields if f.name.startswith(BUCKET_PREFIX)]
+        self.spark.sql(f"CREATE TABLE {self.fqn(database, table)} ({columns}) USING parquet {''.join(buckets)} LOCATION '{path}'")
 
-    def _point(self, database: str, table: str, path: str, schema=None, partition_by: Sequence[str] = ()) -> None:
-        """(Re)register the table over ``path``; with the written schema given, no footer
-        scan is needed to infer it (partitioned tables still discover their partitions)."""
+    def _register(self, database: str, table: str, path: str, schema: T.StructType | None = None) -> None:
         self.ensure_database(database)
+        self._create(database, table, path, schema)
+        if any(c.startswith(BUCKET_PREFIX) for c in self.read_raw(database, table).columns):
+            self.spark.catalog.recoverPartitions(self.qualified(database, table))
+
+    def _point(self, database: str, table: str, path: str, schema: T.StructType, partitioned: bool) -> None:
+        """Make the existing entry's files those under ``path``."""
         name = self.fqn(database, table)
-        if schema is not None and not partition_by and self.exists(database, table):
-            have = self.read_raw(database, table)
-            if have.schema.simpleString() == schema.simpleString():
-                # one catalog call: a failure leaves the previous version in place
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-                self.spark.catalog.refreshTable(name)
-                return
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if schema is not None and not partition_by:
-            self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet", schema=schema)
-        else:
-            self.spark.catalog.createTable(self.qualified(database, table), path=path, source="parquet")
+        have = self.read_raw(database, table).schema
+        if not partitioned and have.simpleString() == schema.simpleString():
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")  # a failure leaves the previous version in place
+            self.spark.catalog.refreshTable(name)
+            return
+        old = self.location(database, table)
+        self.spark.sql(f"DROP TABLE {name}")
+        try:
+            self._register(database, table, path, schema)
+        except Exception:
+            self._delete(path)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self._register(database, table, old, have)
+            raise
 
     # ---- writes ----------------------------------------------------------------------
-    def replace(
-        self,
-        database: str,
-        table: str,
-        df: DataFrame,
-        partition_by: Sequence[str] = (),
-        bucket_by: Sequence[str] = (),
-        buckets: int | None = None,
-    ) -> str:
-        """Write ``df`` as a new version and make it the table (schema replaced too).
-
-        With ``bucket_by`` the table is laid out in hash buckets of that key (see
-        the module notes); ``df`` is hash-partitioned into them first.
-        """
+    def replace(self, database: str, table: str, df: DataFrame, bucket_by: Sequence[str] = (), buckets: int = BUCKETS) -> str:
+        """Write ``df`` as a new version and make it the table (schema replaced too); with ``bucket_by`` in
+        buckets of that key. A new table without buckets is registered first, so its rows are never there twice
+        if the load is repeated after a failure."""
+        exists = self.exists(database, table)
+        self._delete(f"{self.table_dir(database, table)}/{MERGE_FOLDER}")
         path = self.next_path(database, table)
         if bucket_by:
-            n = buckets or self.initial_buckets(df)
-            self._write_buckets(database, table, self._with_bucket(df, bucket_by, n), list(bucket_by), n, path)
-            self._swap_in_stage(database, table)
-            return path
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._point(database, table, path, df.schema, partition_by)
+            column = bucket_column(bucket_by, buckets)
+            rows = without_buckets(df).withColumn(column, bucket_of(bucket_by, buckets)).hint("rebalance", column)
+            rows.write.partitionBy(column).parquet(path)
+            if exists:
+                self._point(database, table, path, rows.schema, True)
+            else:
+                self._register(database, table, path, rows.schema)
+        elif exists:
+            df.write.parquet(path)
+            self._point(database, table, path, df.schema, False)
+        else:
+            self._register(database, table, path, df.schema)
+            try:
+                df.write.mode("append").parquet(path)
+            except Exception:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
+                raise
+            self.spark.catalog.refreshTable(self.qualified(database, table))
         return path
 
-    def _with_bucket(self, df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-        base = df.drop(BUCKET_COLUMN) if BUCKET_COLUMN in df.columns else df
-        return base.withColumn(BUCKET_COLUMN, bucket_of(keys, n)).repartition(n, *keys)
+    def buckets(self, database: str, table: str) -> tuple[str, int] | None:
+        """(storage column, bucket count) of an upsert table."""
+        for c in self.read_raw(database, table).columns:
+            if c.startswith(BUCKET_PREFIX):
+                return c, int(c[len(BUCKET_PREFIX):].split("_")[0])
+        return None
 
-    def _write_buckets(self, database: str, table: str, df: DataFrame, keys: list[str], n: int, path: str) -> None:
-        """Write a bucketed, ``_bucket``-partitioned version at ``path`` as the staging table."""
-        self.ensure_database(database)
-        stage = self.fqn(database, table + STAGE_SUFFIX)
-        self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
-        (
-            df.write.mode("errorifexists")
-            .partitionBy(BUCKET_COLUMN)
-            .bucketBy(n, *keys)
-            .option("path", path)
-            .saveAsTable(self.qualified(database, table + STAGE_SUFFIX))
-        )
-
-    def _swap_in_stage(self, database: str, table: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
-        self.spark.sql(f"ALTER TABLE {self.fqn(database, table + STAGE_SUFFIX)} RENAME TO {self.fqn(database, table)}")
-
-    # ---- bucketing -------------------------------------------------------------------
-    def min_buckets(self) -> int:
-        """Upper limit of a new table's bucket count (the session's shuffle partitions)."""
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-    def initial_buckets(self, df: DataFrame) -> int:
-        """Bucket count of a new upsert table: a power of two giving about ``BUCKET_BYTES``
-        per bucket by the optimizer's size estimate of the input, between
-        ``MIN_BUCKETS`` (some parallelism for small tables) and ``min_buckets``."""
-        cap = self.min_buckets()
-        try:
-            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # noqa: BLE001 - no estimate: use the session's parallelism
-            return cap
-        n = min(MIN_BUCKETS, cap)
-        while n < cap and size / n > BUCKET_BYTES:
-            n *= 2
-        return min(n, cap)
-
-    def bucket_spec(self, database: str, table: str) -> tuple[int, list[str]] | None:
-        """(bucket count, bucket columns) of a table, or None when not bucketed."""
-        info = {
-            r["col_name"]: r["data_type"]
-            for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fqn(database, table)}").collect()
-        }
-        if "Num Buckets" not in info:
-            return None
-        cols = [c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
-        return int(info["Num Buckets"]), cols
-
-    def _dirs(self, database: str, table: str) -> set[str]:
-        """Directories holding the table's current files (partition locations)."""
-        return {f.rsplit("/", 1)[0] for f in self.read_raw(database, table).inputFiles()}
-
-    def size_bytes(self, database: str, table: str) -> int:
-        total = 0
-        for d in self._dirs(database, table):
-            fs, p = self._fs(d)
-            total += int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-        return total
-
-    def bucket_count(self, database: str, table: str) -> int:
-        """Current count, doubled while a bucket would exceed ``BUCKET_BYTES``."""
-        spec = self.bucket_spec(database, table)
-        n = spec[0] if spec else self.min_buckets()
-        size = self.size_bytes(database, table)
-        while size / n > BUCKET_BYTES:
-            n *= 2
-        return n
-
-    def append(self, database: str, table: str, df: DataFrame) -> None:
-        """Add rows to the current version (creates the table when absent). Columns bind by name."""
+    def _typed_keys(self, database: str, table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Key columns cast to the table's types: the bucket hash depends on the type
+        (an int and a bigint key of equal value hash differently)."""
+        schema = self.read_raw(database, table).schema
+        return df.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
+
+    def append(self, database: str, table: str, df: DataFrame, keys: Sequence[str] = ()) -> None:
+        """Add rows to the current version (creates the table when absent). Columns bind by name. A table in
+        buckets needs the ``keys`` it was made with."""
         if not self.exists(database, table):
             self.replace(database, table, df)
             return
@@ -236,9 +223,11 @@ class TableStore:
         extra = set(df.columns) - set(cols)
         if extra:
             raise ValueError(f"columns not in {database}.{table}: {sorted(extra)}")
-        spec = self.bucket_spec(database, table) if BUCKET_COLUMN in cols else None
-        if spec:
-            df = self._with_bucket(self._typed_keys(database, table, df, spec[1]), spec[1], spec[0])
+        if spec := self.buckets(database, table):
+            column, n = spec
+            if bucket_column(keys, n) != column:
+                raise ValueError(f"{database}.{table} is in buckets of another key than {list(keys)}")
+            df = self._typed_keys(database, table, df, keys).withColumn(column, bucket_of(keys, n))
         df.select(*cols).write.insertInto(self.qualified(database, table))
         self.spark.catalog.refreshTable(self.qualified(database, table))
 
@@ -252,90 +241,64 @@ class TableStore:
         strict: bool = False,
         bucketed: bool = False,
         preserve: Sequence[str] = (),
-        buckets: int | None = None,
+        buckets: int = BUCKETS,
     ) -> None:
         """MERGE update-all / insert-all on ``keys``; creates the table when absent.
 
-        ``bucketed`` keeps the table in hash buckets of ``keys`` and rewrites
-        only the buckets the updates touch; ``buckets`` fixes the count of a new
-        table (default: from its size).
+        ``bucketed`` keeps the table in hash buckets of ``keys`` (``buckets`` of them if it is made by this
+        call) and rewrites only the buckets the updates touch.
         """
         key_list = split_keys(keys)
+        by = {"bucket_by": key_list, "buckets": buckets} if bucketed else {}
         if not self.exists(database, table):
             merged = upsert_frames(updates.limit(0), updates, key_list, order, strict, preserve)
-            self.replace(database, table, merged, bucket_by=key_list if bucketed else (), buckets=buckets)
-            return
-        if not bucketed:
-            target = self.read(database, table)
-            self.replace(database, table, upsert_frames(target, updates, key_list, order, strict, preserve))
+            self.replace(database, table, merged, **by)
             return
-        spec = self.bucket_spec(database, table)
-        n = self.bucket_count(database, table)
-        layout_ok = spec == (n, key_list) and BUCKET_COLUMN in self.read_raw(database, table).columns
-        if not layout_ok:  # first bucketed MERGE, other key, or grown table: whole rewrite
-            merged = upsert_frames(self.read(database, table), updates, key_list, order, strict, preserve)
-            self.replace(database, table, merged, bucket_by=key_list, buckets=n)
+        spec = self.buckets(database, table)
+        if not bucketed or spec is None or spec[0] != bucket_column(key_list, spec[1]):
+            # no buckets, or buckets of another key: the whole table
+            self.replace(database, table, upsert_frames(self.read(database, table), updates, key_list, order, strict, preserve), **by)
             return
-        self._upsert_buckets(database, table, updates, key_list, n, order, strict, preserve)
-
-    def _typed_keys(self, database: str, table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Key columns cast to the table's types: the bucket hash depends on the type
-        (an int and a bigint key of equal value hash differently)."""
-        schema = self.read_raw(database, table).schema
-        return df.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
-
-    def _upsert_buckets(self, database, table, updates, keys, n, order, strict, preserve) -> None:
-        upd = self._with_bucket(self._typed_keys(database, table, updates, keys), keys, n)
-        # bucket ids the increment touches: at most n small ints
-        touched = sorted(r[0] for r in upd.select(BUCKET_COLUMN).distinct().collect())
+        column, n = spec
+        upd = self._typed_keys(database, table, updates, key_list).withColumn(column, bucket_of(key_list, n))
+        touched = sorted(r[0] for r in upd.select(column).distinct().collect())  # at most n small ints
         if not touched:
             return
-        whole = len(touched) > n // 2
-        target = self.read_raw(database, table)
-        if not whole:
-            target = target.filter(F.col(BUCKET_COLUMN).isin(touched))
-        merged = upsert_frames(target, upd, keys, order, strict, preserve)
-        path = self.next_path(database, table)
-        # both union branches arrive bucket-partitioned (bucketed scan / the increment's
-        # repartition), so each writer task writes one file per bucket: no reshuffle
-        self._write_buckets(database, table, merged, keys, n, path)
-        if whole:  # most buckets change: one new version instead of many partition repoints
-            self._swap_in_stage(database, table)
+        target = self.read_raw(database, table).filter(F.col(column).isin(touched))
+        merged = upsert_frames(target, upd, key_list, order, strict, preserve).hint("rebalance", column)
+        folder = f"{self.table_dir(database, table)}/{MERGE_FOLDER}"
+        merged.write.mode("overwrite").partitionBy(column).parquet(folder)
+        self._apply_merge(database, table)
+
+    def _apply_merge(self, database: str, table: str) -> None:
+        """Replace the buckets that a complete ``_merge`` folder holds. May be repeated."""
+        folder = f"{self.table_dir(database, table)}/{MERGE_FOLDER}"
+        if not self._has(f"{folder}/_SUCCESS"):
             return
-        name = self.fqn(database, table)
-        have = {
-            int(re.search(r"=(\d+)", r[0]).group(1)) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()
-        }
-        for b in touched:
-            loc = f"{path}/{BUCKET_COLUMN}={b}"
-            if b in have:
-                self.spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET_COLUMN}={b}) SET LOCATION '{loc}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({BUCKET_COLUMN}={b}) LOCATION '{loc}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table + STAGE_SUFFIX)}")
-        self.spark.catalog.refreshTable(self.qualified(database, table))
-
+        rows = self.spark.read.schema(self.read_raw(database, table).schema).parquet(folder)
+        column, _ = self.buckets(database, table)
+        write = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+        write.parquet(self.location(database, table))
+        self.spark.catalog.recoverPartitions(self.qualified(database, table))  # buckets that had no rows before
+        self._delete(folder)
+
+    # ---- removal ---------------------------------------------------------------------
     def drop_database(self, database: str) -> None:
         """Drop a layer: its catalog entries and its files under the store's root."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.db(database)}` CASCADE")
         self._databases.discard(database)
-        fs, p = self._fs(f"{self.root}/{database}")
-        fs.delete(p, True)
+        self._delete(f"{self.root}/{database}")
 
     def drop(self, database: str, table: str) -> None:
+        """Drop a table with its files (an entry alone would come back)."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.fqn(database, table)}")
+        self._delete(self.table_dir(database, table))
 
     def vacuum(self, database: str, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` version directories, never one that still
-        holds current files of the table; returns deleted versions."""
+        """Delete all but the newest ``keep`` versions, never the current one; returns the deleted ones."""
+        current = self.location(database, table)
         vs = self.versions(database, table)
-        live = set()
-        for d in self._dirs(database, table):
-            m = re.search(rf"/{re.escape(VERSION_PREFIX)}(\d+)", d)
-            if m:
-                live.add(int(m.group(1)))
-        gone = [v for v in (vs[:-keep] if keep > 0 else vs) if v not in live]
+        gone = [v for v in (vs[:-keep] if keep > 0 else vs) if not current.endswith(f"{VERSION_PREFIX}{v:06d}")]
         for v in gone:
-            fs, p = self._fs(f"{self.table_dir(database, table)}/{VERSION_PREFIX}{v:06d}")
-            fs.delete(p, True)
+            self._delete(self.version_path(database, table, v))
         return gone

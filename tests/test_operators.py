@@ -275,19 +275,23 @@ def test_run_begin_end_status(spark):
     assert (r["status"], r["end_time"], r["number_of_records"], r["layer"]) == ("INPROGRESS", None, None, "Silver")
 
 
-def test_single_row_begin_end_match_bulk(spark):
-    t0, t1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
-    runs = spark.createDataFrame([(1, 5, "Bronze", t0, t1, "SUCCESS", 3, None), (None, 6, "x", t0, None, None, None, None)], RUNS)
-    one = audit.begin_one(runs, 1, 5, "Silver", t1)
-    bulk = audit.apply_begin(runs, spark.createDataFrame([(1, 5, "Silver", t1)], "run_id bigint, table_id int, layer string, start_time timestamp"))
-    assert rows(one) == rows(bulk)
-    one = audit.end_one(one, 1, 5, t1, "FAILED", None, "boom")
-    ends = spark.createDataFrame(
-        [(1, 5, t1, "FAILED", None, "boom")],
-        "run_id bigint, table_id int, end_time timestamp, status string, number_of_records bigint, error_message string",
-    )
-    assert rows(one) == rows(audit.apply_end(bulk, ends))
-    assert rows(audit.end_one(runs, 9, 9, t1, "SUCCESS", 1, None)) == rows(runs)  # no row: nothing changes
+def test_run_rows_of_a_log(spark):
+    t = [datetime(2024, 1, 1, 0, k) for k in range(9)]
+    log = [
+        (1, 5, "Bronze", "begin", t[0], 1, None, None, None), (1, 5, None, "end", t[1], 2, "FAILED", 3, "boom"), (1, 5, "Silver", "join", t[2], 3, None, None, None),
+        (1, 6, "Bronze", "begin", t[0], 1, None, None, None), (1, 6, None, "end", t[1], 2, "SUCCESS", 3, None), (1, 6, "Bronze", "begin", t[2], 3, None, None, None),
+        (2, 5, "Silver", "join", t[3], 4, None, None, None), (2, 5, "Silver", "join", t[4], 5, None, None, None), (2, 5, None, "end", t[4], 6, "SUCCESS", 8, None),
+        (3, 5, None, "end", t[5], 7, "SUCCESS", 1, None), (None, 7, "Bronze", "begin", t[6], 8, None, None, None),
+        (4, 5, "Bronze", "begin", t[7], 9, None, None, None), (4, 5, None, "end", t[7], 10, "FAILED", 0, "x"), (4, 5, None, "end", t[8], 11, "SUCCESS", 5, None),
+    ]
+    got = {(r["run_id"], r["table_id"]): tuple(r)[2:] for r in audit.run_rows(spark.createDataFrame(log, audit.LOG_SCHEMA)).collect()}
+    assert got == {
+        (1, 5): ("Bronze", t[0], t[1], "FAILED", 3, "boom"),  # a silver step joins the row and leaves it
+        (1, 6): ("Bronze", t[2], None, "INPROGRESS", None, None),  # begun again: end, count and error are cleared
+        (2, 5): ("Silver", t[3], t[4], "SUCCESS", 8, None),
+        (None, 7): ("Bronze", t[6], None, "INPROGRESS", None, None),  # run 3 ended without a beginning: no row
+        (4, 5): ("Bronze", t[7], t[8], "SUCCESS", 5, None),
+    }
 
 
 def test_jdbc_read_in_one_task_has_to_be_asked_for(spark):

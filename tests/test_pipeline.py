@@ -13,6 +13,7 @@ from medallion.operators import audit
 from medallion.operators.silver import incremental_slice
 from medallion.plans.lakehouse import Lakehouse
 from medallion.session import scratch_dir
+from medallion.sources.store import BUCKETS, bucket_column
 
 STUDY_HEADER = "study_id,study_name,phase,therapeutic_area,start_date,end_date,status,region,protocol_version"
 SUBJECT = "subject_id string, study_id string, enrollment_status string, enrollment_date date, updated_at timestamp"
@@ -93,7 +94,7 @@ def test_bounded_merge_with_watermark(spark, lh):
     # updated row keeps its first insert time; a new row gets the load time
     assert (silver["P2"]["insert_timestamp"], silver["P2"]["update_timestamp"]) == (first_at, second_at)
     assert silver["P4"]["insert_timestamp"] == second_at
-    assert lh.store.bucket_spec("silver", "subject")[1] == ["subject_id"]
+    assert lh.store.buckets("silver", "subject") == (bucket_column(["subject_id"], BUCKETS), BUCKETS)
     assert lh.last_mark(5) == "2024-02-01 00:00:00.000000Z"
     counts = lh.build_gold(["study_enrollment_summary"], as_of=datetime(2030, 1, 1))
     assert counts == {"study_enrollment_summary": 3}
@@ -221,3 +222,117 @@ def test_layer_reset_starts_over(spark):
     assert lh.meta("tables").count() == 51
     lh.store.append("bronze", "t", rows)
     assert lh.store.read("bronze", "t").count() == 1
+
+
+def house(spark, name):
+    lh = Lakehouse(spark, scratch_dir(spark, name), namespace="h" + os.urandom(5).hex())
+    lh.setup(seed=False)
+    return lh
+
+
+def run_row(lh, run_id, table_id):
+    row = lh.meta("pipeline_runs").filter((F.col("run_id") == run_id) & (F.col("table_id") == table_id)).first()
+    return row and row.asDict()
+
+
+def test_retried_run_starts_over_in_bronze_only(spark):
+    lh = house(spark, "retry")
+    with pytest.raises(RuntimeError), lh.audited(1, 5, "Bronze"):
+        raise RuntimeError("first")
+    failed = run_row(lh, 1, 5)
+    assert failed["status"] == "FAILED" and failed["error_message"] == "first"
+    with lh.audited(1, 5, "Silver", end_on_success=False):
+        assert run_row(lh, 1, 5) == failed  # a silver step leaves an existing row alone
+    with lh.audited(1, 5, "Bronze") as rec:
+        running = run_row(lh, 1, 5)
+        assert (running["status"], running["end_time"], running["number_of_records"], running["error_message"]) == ("INPROGRESS", None, None, None)
+        rec.records = 4
+    assert (run_row(lh, 1, 5)["status"], run_row(lh, 1, 5)["number_of_records"]) == ("SUCCESS", 4)
+
+
+@pytest.mark.parametrize("load_type", ["FULL", "APPEND"])
+def test_failed_write_reports_the_slice(spark, monkeypatch, load_type):
+    lh = house(spark, "failed-write")
+    rows = spark.createDataFrame([(k, datetime(2024, 1, 1 + k)) for k in range(7)], "k int, at timestamp")
+    lh.register(70, "t", "sqlserver", {"load_type": load_type, "primary_key": "k", "watermark_column": "at" if load_type == "APPEND" else None})
+    lh.dispatch(70, 1, readers={"t": reader(rows)})
+    lh.load_silver(70, 1)
+    lh.advance_mark(70, 1, "2024-01-03 12:00:00")
+
+    def broken(*args, **kwargs):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(lh.store, "replace", broken)
+    monkeypatch.setattr(lh.store, "append", broken)
+    with pytest.raises(OSError):
+        lh.load_silver(70, 2)
+    assert (run_row(lh, 2, 70)["status"], run_row(lh, 2, 70)["number_of_records"]) == ("FAILED", 7 if load_type == "FULL" else 4)
+
+
+def test_tables_load_at_the_same_time(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    lh = house(spark, "concurrent")
+    source = {k: spark.createDataFrame([(i, k) for i in range(20 + k)], "id int, v int") for k in (81, 82, 83)}
+
+    def load(k):
+        lh.register(k, f"t{k}", "sqlserver", {"load_type": "MERGE", "primary_key": "id", "watermark_column": "v"}, initial_mark="0")
+        lh.dispatch(k, 1, readers={f"t{k}": reader(source[k])})
+        lh.load_silver(k, 1)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(load, source))
+    runs = {r["table_id"]: (r["status"], r["number_of_records"]) for r in lh.meta("pipeline_runs").collect()}
+    assert runs == {k: ("SUCCESS", 20 + k) for k in source}
+    assert {k: lh.last_mark(k) for k in source} == {k: str(k) for k in source}
+    assert lh.meta("tables").count() == 3
+
+
+def files_under(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet")}
+
+
+def test_metadata_write_touches_one_partition(spark):
+    lh = house(spark, "partitions")
+    for k in (11, 12):
+        lh.register(k, f"t{k}", "sqlserver", {"load_type": "APPEND", "primary_key": "id", "watermark_column": "v"}, schema_json="[]")
+    root = lh.store.table_dir("metadata", "")
+    before = files_under(root)
+    lh.register(12, "t12", "blob", {"load_type": "FULL"}, schema_json="[]")
+    lh.run_begin(1, 12, "Bronze", datetime(2024, 1, 1))
+    changed = before ^ files_under(root)
+    assert changed and all("/table_id=12/" in f or "/table_name=t12/" in f for f in changed)
+    assert {r["table_id"]: r["source_system"] for r in lh.meta("tables").collect()} == {11: "sqlserver", 12: "blob"}
+    assert lh.params(12)["load_type"] == "FULL" and lh.params(12).get("primary_key") is None
+    assert len(files_under(lh.folders["run_log"].path)) == 1
+    for k in range(3):
+        lh.run_end(1, 12, "SUCCESS", k, None)
+    assert len(files_under(lh.folders["run_log"].path)) == 4  # one small file an event, however long the history
+
+
+def test_silver_survives_a_failed_catalog_call(spark, monkeypatch):
+    """A FULL load with a new schema whose CREATE fails: the rows of the last good load stay, the next load succeeds."""
+    lh = house(spark, "swap")
+    source = {"rows": spark.createDataFrame([(k, "a") for k in range(60)], "k int, v string")}
+    lh.register(60, "t", "sqlserver", {"load_type": "FULL", "primary_key": "k"})
+    lh.dispatch(60, 1, readers={"t": lambda *a: source["rows"]})
+    lh.load_silver(60, 1)
+    lh.store.replace("bronze", "t", lh.store.read("bronze", "t").withColumn("extra", F.lit(1)))
+    real, calls = lh.store._create, []
+
+    def failing(database, table, *rest):
+        calls.append(table)
+        if len(calls) <= how_often:
+            raise RuntimeError("catalog is away")
+        return real(database, table, *rest)
+
+    for how_often in (1, 2):  # only the swap fails; putting the old entry back fails too
+        calls.clear()
+        monkeypatch.setattr(lh.store, "_create", failing)
+        with pytest.raises(RuntimeError, match="catalog is away"):
+            lh.load_silver(60, 1 + how_often)
+        monkeypatch.setattr(lh.store, "_create", real)
+        assert lh.store.read("silver", "t").count() == 60 and run_row(lh, 1 + how_often, 60)["status"] == "FAILED"
+    lh.load_silver(60, 9)
+    silver = lh.store.read("silver", "t")
+    assert silver.count() == 60 and "extra" in silver.columns

@@ -2,8 +2,8 @@
 
 ``target`` rows whose key appears in ``updates`` are replaced by the update row,
 other update rows are inserted. Null keys never match (as ``t.k = s.k``), so
-null-key rows on both sides are carried through untouched and kept out of the
-join (a hot null key would otherwise land in one shuffle partition).
+null-key rows of both sides stay: those of the updates are kept out of the join, those of the target pass
+the anti-join (one scan of the target; adaptive execution splits a partition that many of them share).
 """
 
 from __future__ import annotations
@@ -90,7 +90,5 @@ def upsert_frames(
     upd = dedup_updates(updates, keys, order, strict)
     if preserve:
         upd = keep_target_values(target, upd, keys, list(preserve))
-    present = keys_present(keys)
-    kept = target.filter(present).join(upd.filter(present).select(*keys), keys, "left_anti")
-    untouched = target.filter(~present)
-    return kept.unionByName(untouched).unionByName(upd.select(*target.columns))
+    kept = target.join(upd.filter(keys_present(keys)).select(*keys), keys, "left_anti").select(*target.columns)
+    return kept.unionByName(upd.select(*target.columns))

@@ -212,6 +212,8 @@ class Lakehouse:
             name = t["table_name"]
             schema = registry.schema_from_json(registry.latest_schema(self.meta("schemas"), name))
             bronze_db = t["bronze_schema"] or "bronze"
+            rescue = self.folders["table_parameters"].read(table_id).filter("parameter_name = 'rescue'").select("parameter_value").collect()
+            by_field = [r[0] for r in rescue] == ["fields"]
             self.store.ensure_database(bronze_db)
             res = ingest_files(
                 self.spark,
@@ -220,6 +222,7 @@ class Lakehouse:
                 self.store.qualified(bronze_db, name),
                 f"{self.store.table_dir(bronze_db, name)}/stream",
                 f"{self.root}/_checkpoints/{name}",
+                by_field=by_field,
             )
             rec.records = res.rows
         return rec

@@ -90,7 +90,7 @@ timed AS (
     date_sub('hour', shipment_datetime, actual_delivery_datetime) AS delivery_duration_hours
   FROM shipment_header LEFT JOIN delivery_header USING (shipment_id))
 SELECT timed.*, COALESCE(items, 0) AS total_items,
-  COALESCE(IF(delivery_duration_hours > 48, 'SLA_BREACHED', IF(delivery_duration_hours IS NULL, NULL, 'WITHIN_SLA')), 'IN_TRANSIT') AS sla_status,
+  CASE WHEN delivery_duration_hours IS NULL THEN 'IN_TRANSIT' WHEN delivery_duration_hours <= 48 THEN 'WITHIN_SLA' ELSE 'SLA_BREACHED' END AS sla_status,
   IF(delivery_duration_hours <= 48, IF(delivery_duration_hours <= 24, 'FAST_DELIVERY', 'NORMAL_DELIVERY'), 'DELAYED_DELIVERY')
     AS shipment_performance_category
 FROM timed LEFT JOIN contents USING (shipment_id)

@@ -140,6 +140,10 @@ SELECT o.run_id, o.table_id, CASE WHEN begun IS NULL THEN 'Silver' ELSE 'Bronze'
        CASE WHEN last IS NULL THEN 'INPROGRESS' WHEN last.failed THEN 'FAILED' ELSE 'SUCCESS' END AS status,
        last.event_id AS number_of_records, CASE WHEN last.failed THEN last.props END AS error_message
 FROM opened o LEFT JOIN closed c ON o.run_id = c.run_id AND o.table_id = c.table_id""",
+    "bronze_rescued_fields": """
+SELECT c_custkey, c_name, CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_nationkey AS INTEGER) END AS c_nationkey, c_mktsegment,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN '{"c_nationkey":"N' || c_nationkey || '"}' END AS rescued
+FROM customer""",
     "silver_merge_no_mark": """
 SELECT l_orderkey, b.n AS l_linenumber, b.p AS l_partkey, b.s AS l_suppkey, b.q AS l_quantity
 FROM (SELECT l_orderkey, max({'n': l_linenumber, 'p': l_partkey, 's': l_suppkey, 'q': l_quantity}) AS b FROM lineitem GROUP BY l_orderkey)""",

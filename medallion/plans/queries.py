@@ -156,11 +156,11 @@ def _customer_landing(spark: SparkSession, d: str, lh: Lakehouse, corrupt: bool)
     return path
 
 
-def _ingest_customer(spark: SparkSession, d: str, corrupt: bool) -> tuple[Lakehouse, DataFrame]:
+def _ingest_customer(spark: SparkSession, d: str, corrupt: bool, **params: str) -> tuple[Lakehouse, DataFrame]:
     lh = _lakehouse(spark, "bronze-stream")
     path = _customer_landing(spark, d, lh, corrupt)
     schema = json.dumps([{"name": n, "type": t} for n, t in CUSTOMER_SCHEMA])
-    lh.register(9001, "customer", "blob", {"load_type": "FULL", "primary_key": "c_custkey"}, source_path=path, schema_json=schema)
+    lh.register(9001, "customer", "blob", {"load_type": "FULL", "primary_key": "c_custkey", **params}, source_path=path, schema_json=schema)
     first = lh.dispatch(9001, run_id=1)
     again = lh.dispatch(9001, run_id=2)
     if again.records != 0:
@@ -190,6 +190,12 @@ def bronze_rescued_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def bronze_rescued_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with a misfit field keep their other fields; the rescue column holds just that field."""
+    _, bronze = _ingest_customer(spark, d, corrupt=True, rescue="fields")
+    return bronze.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_nationkey", "c_mktsegment", F.col(RESCUE_COLUMN).alias("rescued"))
+
+
 def _supplier_csv(spark: SparkSession, d: str, header: bool) -> DataFrame:
     path = scratch_dir(spark, "csv-batch") + "/supplier"
     load(spark, d, "supplier").write.option("header", header).csv(path)
@@ -404,6 +410,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "metadata_counts": metadata_counts,
     "bronze_file_stream": bronze_file_stream,
     "bronze_rescued_rows": bronze_rescued_rows,
+    "bronze_rescued_fields": bronze_rescued_fields,
     "csv_batch_header": csv_batch_header,
     "csv_batch_no_header": csv_batch_no_header,
     "bronze_bounded_full": bronze_bounded_full,

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUE_COLUMN = "_rescued_data"
+#: Key under which a row with too few or too many fields keeps its whole line.
+LINE_KEY = "_line"
 
 
 def csv_batch(spark: SparkSession, path: str, header: bool = True, schema: T.StructType | None = None) -> DataFrame:
@@ -42,3 +47,19 @@ def csv_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.schema(schema).load(path)
+
+
+def rescue_misfits(texts: DataFrame, schema: T.StructType, rescue_column: str = RESCUE_COLUMN, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns -> ``schema``'s types; ``rescue_column`` holds the fields that do not fit, as JSON by field name.
+
+    ``texts`` has every field as text and the whole line of odd rows in ``rescue_column`` (null for others). A field
+    that can't be cast becomes null and keeps its text in the JSON; the row's other fields keep their values.
+    Rows without a misfit have a null there. ``keep`` names further columns to pass on."""
+    misfits = [
+        F.struct(F.lit(f.name).alias("key"), F.when(F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), F.col(f"`{f.name}`")).alias("value"))
+        for f in schema.fields
+        if f.dataType != T.StringType()
+    ]
+    found = F.filter(F.array(*misfits, F.struct(F.lit(LINE_KEY).alias("key"), F.col(rescue_column).alias("value"))), lambda x: x["value"].isNotNull())
+    rescued = F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found)))
+    return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields], rescued.alias(rescue_column), *keep)

@@ -5,19 +5,25 @@ expressions, leftmost and non-overlapping per kind (the expressions below find w
 ones of the contract find, in linear time: possessive repeats, and no start inside a run that
 has failed). A kind's places follow from the lengths of the gaps between its matches.
 
-Around each mention lies a context of ``CONTEXT`` code points on either side (cut words left
-out). For an entity e (its normalised value) and a term t (lower-cased, without outer
-punctuation), over all T words of the corpus with cf(t) uses of t:
+Documents are the contexts. For an entity e (its normalised value) and a term t (a word, lower-cased, without outer
+punctuation), over the D documents of the corpus, of which n(e) have e, n(t) have t and n(e,t) have both:
 
-    IC(e)    = log2(T / n(e))                          n(e): different contexts of e
-    PMI(e;t) = log2(n(e,t) * T / (n(e) * cf(t) * W))   n(e,t): those with t; W: words in a context
+    IC(e)    = log2(D / n(e))                     what e tells
+    PMI(e;t) = log2(n(e,t) * D / (n(e) * n(t)))   what t tells about e
 
-A term with n(e,t) >= SUPPORT reveals e by PMI/IC. From ``GENERALISE`` on its uses in e's contexts
-are generalised (``<TERM>``), from ``REMOVE`` on removed. Copies of one context count once, so
-copied documents are no evidence. Counts cover all documents; they are aggregated on the map
-side, and the terms that can reveal anything are selected before they are joined.
+t reveals e by PMI/IC, which is 1 where t is found only with e. From ``GENERALISE`` on its uses in the documents of e are
+generalised (``<TERM>``), from ``REMOVE`` on removed, wherever they stand in the whole text. Which terms are judged:
 
-Null texts count as empty and have no spans. Rows are independent, repeated rows get the same spans.
+* of an entity in ``SUPPORT`` different texts or more, every term that shares so many texts with it;
+* of a rarer one, whose every rare word would be found with it by chance, the terms beside its mentions: the
+  ``BESIDE`` words with a letter on either side, within ``CONTEXT`` code points (cut words left out). Other numbers do not end a
+  context. n(e,t) then counts the documents where t is beside e, which is never too many.
+
+Copies of a text are one text for ``SUPPORT`` and weigh alike on both sides of the ratio. Counts cover whole texts of all
+documents, with a partial step on the map side; the terms that can reveal anything are selected before they are joined.
+
+Null texts count as empty and have no spans. Rows are independent, repeated rows get the same spans; terms of equal ratio
+are treated alike, so there are no ties. An empty table has no spans; other columns are never read.
 """
 
 from __future__ import annotations
@@ -38,10 +44,11 @@ PATTERNS = {
 BASE = list(PATTERNS)
 KINDS = [*BASE, "generalise", "remove"]
 PUNCTUATION = ".,;:!?()[]{}<>|\"'*#$%&+-/=_~`^\\@"
-CONTEXT = 60
-CONTEXT_WORDS = 20
+CONTEXT, BESIDE = 60, 3
+#: Matches of its own kind over which a mention's context may reach.
+REACH = 8
 SUPPORT = 3
-GENERALISE, REMOVE = 0.5, 0.75
+GENERALISE, REMOVE = 0.9, 1.0
 
 
 def _digits(m: Column) -> Column:
@@ -60,33 +67,41 @@ def _valid(kind: Column, m: Column) -> Column:
 
 
 def mentions(df: DataFrame, text: str, rid: str) -> DataFrame:
-    """rid, kind, start, end (code points, end exclusive), entity, before, after (contexts, cut words left out)."""
+    """rid, kind, start, end (code points, end exclusive), entity, text_id (digest), before, after (contexts, cut words left out)."""
     rows = df.select(col(rid).alias("rid"), text_or_empty(text).alias("t"))
     rows = rows.select("rid", "t", *[F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in PATTERNS.items()])
     rows = rows.filter(" OR ".join(f"size(m_{k}) > 0" for k in BASE))
-    rows = rows.select("rid", *[f"m_{k}" for k in BASE], *[F.when(F.size(f"m_{k}") > 0, F.split("t", p, -1)).alias(f"g_{k}") for k, p in PATTERNS.items()])
+    text_id = F.sha2(F.col("t").cast("binary"), 256).alias("text_id")
+    rows = rows.select("rid", text_id, *[f"m_{k}" for k in BASE], *[F.when(F.size(f"m_{k}") > 0, F.split("t", p, -1)).alias(f"g_{k}") for k, p in PATTERNS.items()])
+
+    def near(k: str, first: Column, n: Column) -> Column:
+        """Gaps and matches from gap ``first`` on, ``n`` of each, as one text (a gap's far part may be left out)."""
+        gaps = F.slice(F.col(f"g_{k}"), first + 1, n)
+        short = lambda g: F.when(F.length(g) > 2 * CONTEXT + 2, F.concat(F.left(g, F.lit(CONTEXT + 1)), F.right(g, F.lit(CONTEXT + 1)))).otherwise(g)
+        return F.array_join(F.transform(gaps, lambda g, j: F.concat(short(g), F.coalesce(F.get(F.col(f"m_{k}"), first + j), F.lit("")))), "")
 
     def entries(k: str) -> Column:
         gap = lambda i: F.get(F.col(f"g_{k}"), i)
+        back = lambda i: F.least(i, F.lit(REACH))
         return F.transform(
             F.col(f"m_{k}"),
             lambda m, i: F.struct(
                 F.lit(k).alias("kind"), i.alias("i"), F.length(gap(i)).alias("gap"), m.alias("m"),
-                F.right(gap(i), F.lit(CONTEXT)).alias("before"), (F.length(gap(i)) > CONTEXT).alias("cut_before"),
-                F.left(gap(i + 1), F.lit(CONTEXT)).alias("after"), (F.length(gap(i + 1)) > CONTEXT).alias("cut_after"),
+                F.concat(near(k, i - back(i), back(i)), gap(i)).alias("before"), near(k, i + 1, F.lit(REACH)).alias("after"),
             ),
         )
 
-    found = rows.select("rid", F.inline(F.concat(*[entries(k) for k in BASE])))
+    found = rows.select("rid", "text_id", F.inline(F.concat(*[entries(k) for k in BASE])))
+    sides = {"before": F.right("before", F.lit(CONTEXT + 1)), "after": F.left("after", F.lit(CONTEXT + 1))}
+    found = found.withColumns(sides)  # one more than a context: a word is cut if it reaches that far
     upto = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("n", F.length("m").cast("long")).withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto))
     value = F.when(F.col("kind") == "email", F.lower("m")).when(F.col("kind") == "ip", F.col("m")).otherwise(_digits(F.col("m")))
-    edge = f"^(?:(?!{BLANK_CLASS}).)*+"
+    edge = f"(?:(?!{BLANK_CLASS}).)++"
     return found.filter(_valid(F.col("kind"), F.col("m"))).select(
-        "rid", "kind", (F.col("end") - F.col("n")).alias("start"), "end",
-        F.concat_ws(":", "kind", value).alias("entity"),
-        F.when(F.col("cut_before"), F.regexp_replace("before", "(?s)" + edge, "")).otherwise(F.col("before")).alias("before"),
-        F.when(F.col("cut_after"), F.regexp_replace("after", f"(?s)(?<!(?!{BLANK_CLASS}).)(?:(?!{BLANK_CLASS}).)++$", "")).otherwise(F.col("after")).alias("after"),
+        "rid", "kind", (F.col("end") - F.col("n")).alias("start"), "end", F.concat_ws(":", "kind", value).alias("entity"), "text_id",
+        F.when(F.length("before") > CONTEXT, F.regexp_replace("before", "(?s)^" + edge, "")).otherwise(F.col("before")).alias("before"),
+        F.when(F.length("after") > CONTEXT, F.regexp_replace("after", f"(?s)(?<!(?!{BLANK_CLASS}).){edge}$", "")).otherwise(F.col("after")).alias("after"),
     )
 
 
@@ -94,49 +109,66 @@ def term_of(token: Column) -> Column:
     return F.lower(F.btrim(token, F.lit(PUNCTUATION)))
 
 
-def context_terms(found: DataFrame) -> DataFrame:
-    """rid, entity, ctx (digest of the context), term, start, end of every term in a mention's context."""
+def _is_term(word: Column) -> Column:
+    return word.rlike(r"\p{L}") & ~word.contains("@")
 
-    def tokens(side: str, origin: Column) -> Column:
-        parts = F.col(f"{side}_parts")
-        return F.transform(
-            parts,
-            lambda x, j: F.struct(
-                (origin + j + F.aggregate(F.slice(parts, F.lit(1), j), F.lit(0), lambda a, y: a + F.length(y))).cast("long").alias("at"), x.alias("token")
-            ),
-        )
 
-    rows = found.select(
-        "rid", "entity", F.sha2(F.concat_ws("\x00", "before", "after").cast("binary"), 256).alias("ctx"), "start", "end", F.length("before").alias("n"),
-        F.split("before", BLANK_CLASS).alias("before_parts"), F.split("after", BLANK_CLASS).alias("after_parts"),
-    )
-    rows = rows.select("rid", "entity", "ctx", F.inline(F.concat(tokens("before", F.col("start") - F.col("n")), tokens("after", F.col("end")))))
-    rows = rows.withColumn("term", term_of(F.col("token"))).filter("term <> ''")
-    first = F.col("at") + F.length("token") - F.length(F.ltrim("token", F.lit(PUNCTUATION)))
-    return rows.select("rid", "entity", "ctx", "term", first.alias("start"), (first + F.length("term")).alias("end"))
+def terms_of(words: Column) -> Column:
+    """Different terms with a letter among ``words`` (an array); addresses are entities, not terms."""
+    return F.array_distinct(F.transform(F.filter(words, _is_term), term_of))
 
 
-def disclosing_terms(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+def pairs_beside(found: DataFrame) -> DataFrame:
+    """entity, term, n_et of terms beside the mentions of an entity."""
+    before, after = (F.filter(F.split(side, BLANK_CLASS), _is_term) for side in ("before", "after"))
+    words = F.concat(F.slice(F.reverse(before), 1, BESIDE), F.slice(after, 1, BESIDE))
+    once = found.select("rid", "entity", F.explode(terms_of(words)).alias("term")).distinct()
+    return once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+
+
+def pairs_within(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """entity, term, n_et of terms in ``SUPPORT`` texts or more of an entity. ``rows``: rid, t; ``entities``: rid, entity, text_id."""
+    terms = rows.join(entities.select("rid").distinct(), "rid", "left_semi").select("rid", F.explode(terms_of(words_of(F.col("t")))).alias("term"))
+    both = terms.join(entities, "rid").groupBy("entity", "term", "text_id").agg(F.count(F.lit(1)).alias("n"))
+    return both.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT).drop("texts")
+
+
+def disclosing_terms(df: DataFrame, text: str, rid: str, found: DataFrame) -> DataFrame:
     """entity, term, ratio (PMI / IC) of the terms that reveal an entity by ``GENERALISE`` at least."""
-    once = terms.select("entity", "ctx", "term").distinct()
-    both = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= SUPPORT)
-    alone = terms.select("entity", "ctx").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= SUPPORT)
-    pairs = stage(both.join(alone, "entity"), "pairs")
-    words = df.select(F.explode(words_of(text_or_empty(text))).alias("w"))
-    uses = stage(words.groupBy(term_of(F.col("w")).alias("term")).agg(F.count(F.lit(1)).alias("cf")), "uses")
-    total = float(uses.agg(F.coalesce(F.sum("cf"), F.lit(0))).first()[0])
-    ic = F.log2(F.lit(total) / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * F.lit(total) / (F.col("n_e") * F.col("cf") * F.lit(float(CONTEXT_WORDS))))
-    known = pairs.join(uses, "term").filter(F.col("cf") > 0)
-    return known.filter(ic > 0).select("entity", "term", (pmi / ic).alias("ratio")).filter(F.col("ratio") >= GENERALISE)
+    rows = df.select(col(rid).alias("rid"), text_or_empty(text).alias("t"))
+    per_text = found.select("entity", "rid", "text_id").distinct().groupBy("entity", "text_id").agg(F.count(F.lit(1)).alias("n"))
+    entities = stage(per_text.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("texts")), "entities")
+    often, seldom = entities.filter(F.col("texts") >= SUPPORT).select("entity"), entities.filter(F.col("texts") < SUPPORT).select("entity")
+    within = pairs_within(rows, found.select("rid", "entity", "text_id").distinct().join(often, "entity"))
+    pairs = within.union(pairs_beside(found.join(seldom, "entity")))
+    pairs = stage(pairs.join(entities.select("entity", "n_e"), "entity"), "pairs")
+    wanted = pairs.select("term").distinct()
+    uses = rows.select(F.explode(terms_of(words_of(F.col("t")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    known = pairs.join(stage(uses.join(wanted, "term", "left_semi"), "uses"), "term")
+    total = F.lit(float(df.count()))
+    ic = F.log2(total / F.col("n_e"))
+    ratio = 1 + F.log2(F.col("n_et") / F.col("n_t")) / ic  # PMI = IC + log2(n(e,t) / n(t))
+    return known.filter(ic > 0).select("entity", "term", ratio.alias("ratio")).filter(F.col("ratio") >= GENERALISE)
+
+
+def term_places(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """rid, start, end, ratio of every use of a document's ``chosen`` terms (rid, term, ratio). ``rows``: rid, t.
+
+    Words lie between single blanks, so a word's place is the sum of the lengths before it."""
+    marked = rows.join(chosen.select("rid").distinct(), "rid", "left_semi")
+    words = marked.select("rid", F.posexplode(F.split("t", BLANK_CLASS, -1)).alias("j", "token"))
+    before = Window.partitionBy("rid").orderBy("j").rowsBetween(Window.unboundedPreceding, -1)
+    words = words.withColumn("at", F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0)).cast("long")).withColumn("term", term_of(F.col("token")))
+    first = F.col("at") + F.length("token") - F.length(F.ltrim("token", F.lit(PUNCTUATION)))
+    return words.join(chosen, ["rid", "term"]).select("rid", first.alias("start"), (first + F.length("term")).alias("end"), "ratio")
 
 
 def spans(df: DataFrame, text: str, rid: str) -> DataFrame:
     """rid, kind, start, end of all spans: base ones, and terms to generalise or remove."""
     found = stage(mentions(df, text, rid), "mentions")
-    terms = stage(context_terms(found), "terms")
-    reveal = stage(disclosing_terms(df, text, terms), "reveal")
-    added = terms.join(reveal, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("ratio").alias("ratio"))
+    reveal = stage(disclosing_terms(df, text, rid, found), "reveal")
+    of_row = found.select("rid", "entity").distinct().join(reveal, "entity").groupBy("rid", "term").agg(F.max("ratio").alias("ratio"))
+    added = term_places(df.select(col(rid).alias("rid"), text_or_empty(text).alias("t")), stage(of_row, "chosen"))
     added = added.select("rid", F.when(F.col("ratio") >= REMOVE, "remove").otherwise("generalise").alias("kind"), "start", "end")
     return found.select("rid", "kind", "start", "end").union(added)
 

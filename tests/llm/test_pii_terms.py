@@ -1,0 +1,125 @@
+"""Terms that disclose entities, against plain Python over whole texts."""
+
+import math
+import random
+import re
+
+from medallion.llm import pii
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+BLANKS = "[ \t\n\x0b\x0c\r]"
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def entity(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    good = {"email": True, "ip": all(int(x) <= 255 for x in m.split(".") if x) if kind == "ip" else True, "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+    return good and f"{kind}:{m.lower() if kind == 'email' else m if kind == 'ip' else d}"
+
+
+def term(token):
+    return token.strip(pii.PUNCTUATION).lower()
+
+
+def is_term(t):
+    return any(c.isalpha() for c in t) and "@" not in t
+
+
+def beside(text, start, end):
+    before, after = text[max(0, start - pii.CONTEXT - 1) : start], text[end : end + pii.CONTEXT + 1]
+    if len(before) > pii.CONTEXT:
+        before = re.sub(f"^(?:(?!{BLANKS}).)+", "", before, flags=re.DOTALL)
+    if len(after) > pii.CONTEXT:
+        after = re.sub(f"(?:(?!{BLANKS}).)+$", "", after, flags=re.DOTALL)
+    left, right = ([x for x in re.split(BLANKS, side) if is_term(x)] for side in (before, after))
+    return {term(x) for x in left[::-1][: pii.BESIDE] + right[: pii.BESIDE]}
+
+
+def expected(rows):
+    """Added spans (row number, kind, start, end) of ``rows`` of texts."""
+    words = [{term(x) for x in re.split(BLANKS, t or "") if is_term(x)} for t in rows]
+    found = []  # row, entity, start, end
+    for k, t in enumerate(rows):
+        for kind, p in PATTERNS.items():
+            for m in re.finditer(p, t or ""):
+                if e := entity(kind, m.group()):
+                    found.append((k, e, m.start(), m.end()))
+    reveal = {}
+    for e in {f[1] for f in found}:
+        docs = {f[0] for f in found if f[1] == e}
+        if len({rows[k] for k in docs}) >= pii.SUPPORT:
+            pairs = {t: sum(t in words[k] for k in docs) for t in set().union(*(words[k] for k in docs)) if len({rows[k] for k in docs if t in words[k]}) >= pii.SUPPORT}
+        else:
+            near = {}
+            for k, e2, a, b in found:
+                if e2 == e:
+                    for t in beside(rows[k], a, b):
+                        near.setdefault(t, set()).add(k)
+            pairs = {t: len(ks) for t, ks in near.items()}
+        ic = math.log2(len(rows) / len(docs))
+        for t, n in pairs.items():
+            if ic > 0 and (ratio := 1 + math.log2(n / sum(t in w for w in words)) / ic) >= pii.GENERALISE:
+                for k in docs:
+                    reveal[k, t] = max(reveal.get((k, t), 0), ratio)
+    out = set()
+    for k, text in enumerate(rows):
+        at = 0
+        for token in re.split(BLANKS, text or ""):
+            if is_term(token) and (ratio := reveal.get((k, term(token)))):
+                a = at + len(token) - len(token.lstrip(pii.PUNCTUATION))
+                out.add((k, "remove" if ratio >= pii.REMOVE else "generalise", a, a + len(term(token))))
+            at += len(token) + 1
+    return out
+
+
+def corpus():
+    rng = random.Random(11)
+    common = [f"w{'abcdefghij'[k % 10]}{'klmnop'[k % 6]}" for k in range(60)]
+
+    def prose(n):
+        return " ".join(rng.choice(common) + rng.choice(["", "", ",", "."]) for _ in range(n))
+
+    rows = [prose(rng.randint(5, 60)) for _ in range(150)]
+    rows += [f"{prose(30)} Zorblatt said to z@corp.example:\n{prose(40)} (Zorblatt) {prose(5)}" for _ in range(6)]  # a name in all texts of an entity
+    rows += [f"{prose(20)}\tMr. Quillfeather, quill@mail.example or +1 (702) 555-0742 {prose(20)} QUILLFEATHER"]  # beside an entity of one text
+    rows += [f"ask\x0bÉlodie  12, 45; 999, 4111 1111 1111 1111, 77; 88 pfeil {prose(30)} élodie"]  # rejected numbers do not end a context
+    rows += [f"{prose(3)} {'x' * 80}@a.example {'y' * 90} {prose(3)}", "10.0.0.9", f"Vantor 10.0.0.1 vantor {prose(5)}", f"{prose(9)} Vantor 10.0.0.1"]
+    rows += [rows[160], rows[160], None, "", " ", "4111-1111-1111-1112 bad card Nobody"]
+    return rows
+
+
+def run(spark, tmp_path, rows):
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = pii.op1_query(spark, str(tmp_path)).collect()
+    spans = [(r.doc_id, *s.split(":")) for r in got for s in r.spans.split(",") if s]
+    return {(k, kind, int(a), int(b)) for k, kind, a, b in spans if kind in ("remove", "generalise")}
+
+
+def test_added_spans_equal_plain_python(spark, tmp_path):
+    rows = corpus()
+    got = run(spark, tmp_path, rows)
+    assert got == expected(rows)
+    taken = {rows[k][a:b].lower() for k, kind, a, b in got if kind == "remove"}
+    assert {"zorblatt", "quillfeather", "élodie", "vantor"} <= taken
+    assert sum(rows[k][a:b].lower() == "zorblatt" for k, _, a, b in got) == 12  # also far from the address
+
+
+def test_long_text_and_many_mentions(spark, tmp_path):
+    filler = "some words of no meaning " * 60_000
+    rows = [filler + "Tarkwell tark@well.example " + filler + " tarkwell", " ".join(f"{k}.1.2.{k % 256}" for k in range(200)), *["some words of no meaning"] * 20]
+    got = run(spark, tmp_path, rows)
+    assert {(k, rows[k][a:b].lower()) for k, _, a, b in got} == {(0, "tarkwell")} and len(got) == 2 and got == expected(rows)
+
+
+def test_terms_are_added_on_the_test_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
+    got = pii.op1_query(spark, "/root/testdata/sf0.1").collect()
+    added = {(r.doc_id, s.split(":")[0], *map(int, s.split(":")[1:])) for r in got for s in r.spans.split(",") if s.startswith(("remove", "generalise"))}
+    number = {k: r.doc_id for k, r in enumerate(rows)}
+    want = {(number[k], *rest) for k, *rest in expected([r.text for r in rows])}
+    assert added == want and len(want) > 100
+    mentioned = {r.doc_id for r in got if r.n_email + r.n_ip + r.n_card + r.n_phone}
+    assert {x[0] for x in added} <= mentioned  # other documents are left alone

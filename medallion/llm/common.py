@@ -7,7 +7,9 @@ columns of the input, whatever they are called, never clash with internal ones.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,5 +57,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows: what a task holds in Python objects at a time is bounded by them."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))

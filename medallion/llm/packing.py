@@ -8,8 +8,8 @@
    matrix is never formed), rounded with the error carried on, and never take more pieces
    than there are. The rest of the histogram is packed best-fit, in whole counts per step.
 3. The plan says which ranks of a length go to which sequences. A piece's rank in its
-   length is its place in one of 256 buckets plus the bucket's first rank, so a length
-   that a third of all rows have is not sorted in one task.
+   length is its place among those of the task that made it plus that task's first rank. So a length
+   that a third of all rows have is ranked in as many groups as there are tasks, and no two pieces tie.
 
 Nothing is dropped or capped; the plan's size depends on ``size`` only, not on the data.
 Null and empty texts are one end id. Empty tables give empty results.
@@ -24,26 +24,27 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medallion.llm import tokens
-from medallion.llm.common import col, read_table, stage, text_or_empty
+from medallion.llm.common import col, read_table, slices, stage, text_or_empty
 
 SIZE = 2048
 END = 0
-BUCKETS = 256
 FIT_STEPS = 300
+ROWS_AT_ONCE = 256
 
 
 def pieces(df: DataFrame, text: str, id_col: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
-    """id, piece, start, length, ids_crc32, nth (place in its task) and, if asked for, the ids."""
+    """id, piece, start, length, ids_crc32, task and nth (the task that made it and its place there) and, if asked for, the ids."""
     src = df.select(col(id_col).alias("id"), text_or_empty(text).alias("t"))
     kind = dict(src.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nth = 0
-        for b in batches:
+        nth, task = 0, TaskContext.get().partitionId()
+        for b in slices(batches, ROWS_AT_ONCE):
             owner, rows, raw = [], [], []
             for i, t in enumerate(b.column("t").to_pylist()):
                 ids = np.append(tokens.encode(t), np.uint32(END)).astype("<u4")
@@ -51,15 +52,16 @@ def pieces(df: DataFrame, text: str, id_col: str, size: int = SIZE, with_ids: bo
                 for k, (s, e) in enumerate(zip(edges, edges[1:], strict=False)):
                     data = ids[s:e].tobytes()
                     owner.append(i)
-                    rows.append((k, s, e - s, zlib.crc32(data), nth))
-                    raw.append(data)
+                    rows.append((k, s, e - s, zlib.crc32(data), task, nth))
+                    if with_ids:
+                        raw.append(data)
                     nth += 1
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             arrays = [b.column("id").take(pa.array(owner, pa.int64())), pa.array(cols[0], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[1:]]]
-            names = ["id", "piece", "start", "length", "ids_crc32", "nth"]
+            names = ["id", "piece", "start", "length", "ids_crc32", "task", "nth"]
             yield pa.RecordBatch.from_arrays(arrays + ([pa.array(raw, pa.binary())] if with_ids else []), names + (["ids"] if with_ids else []))
 
-    return src.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, nth long" + (", ids binary" if with_ids else ""))
+    return src.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, task long, nth long" + (", ids binary" if with_ids else ""))
 
 
 def patterns(size: int, depth_step: int) -> np.ndarray:
@@ -186,12 +188,11 @@ def pack(staged: DataFrame, size: int = SIZE) -> DataFrame:
     if not histogram:
         return staged.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     made = plan(histogram, size)
-    rows = staged.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "nth"), F.lit(BUCKETS)).cast("int"))
-    sizes = rows.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("length", "bucket").orderBy("id", "piece", "nth")
-    ranked = rows.withColumn("rank", F.row_number().over(inside) - 1).join(firsts, ["length", "bucket"]).withColumn("rank", F.col("rank") + F.col("first"))
+    sizes = staged.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("length", "task").orderBy("nth")
+    ranked = staged.withColumn("rank", F.row_number().over(inside) - 1).join(firsts, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("first"))
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -203,7 +204,7 @@ def pack(staged: DataFrame, size: int = SIZE) -> DataFrame:
 
 def pack_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", size: int = SIZE, with_ids: bool = False) -> DataFrame:
     """Every piece of every document and its place: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
-    return pack(stage(pieces(df, text, id_col, size, with_ids), "pieces"), size).drop("nth").withColumnRenamed("id", id_col)
+    return pack(stage(pieces(df, text, id_col, size, with_ids), "pieces"), size).drop("task", "nth").withColumnRenamed("id", id_col)
 
 
 def op9_query(spark: SparkSession, sf_dir: str) -> DataFrame:

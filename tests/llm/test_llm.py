@@ -58,6 +58,7 @@ def empty(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("llm-empty"))
     spark.createDataFrame([], SCHEMA).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     spark.createDataFrame([], "page_id long, url string").write.parquet(f"{path}/pages.parquet")
     return path
 

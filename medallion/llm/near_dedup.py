@@ -13,9 +13,9 @@ with nothing). Windows are 64-bit hashes.
 3. Buckets whose members are in one component are done: further links could not change the
    result. When the pairs between the components of the remaining buckets are no more than a few
    per member (or a round finds next to nothing), all of them are met: members outside a bucket's
-   largest component with the members of other components, one pair of blocks at a time, by size and
-   sketch; pairs that pass are confirmed on the full sets. So no link between components is lost, and a
-   large group of copies never becomes all its pairs.
+   largest component with the members of other components, one pair of blocks at a time, on full
+   sets. Only links leave a pair of blocks. So no link between components is lost, and a large group
+   of copies never becomes all its pairs.
 
 There are no caps on buckets, partners or candidates. Rows with a null id form classes too;
 null sorts last when the smallest id is taken. Repeated rows share a class.
@@ -40,8 +40,8 @@ HASHES = BANDS * ROWS
 #: 0.75 of the sets' sizes; bits in which two sketches may differ: 240 * 0.125 plus six standard deviations.
 PERCENT = 75
 MAX_BITS = 61
-#: Members (of some 70 bytes) of a block; a group holds the members of two.
-BLOCK_MEMBERS = 2048
+#: Members and bytes of sets of a block; a group holds two blocks.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 1 << 25
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(1, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -174,36 +174,43 @@ def confirm(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def meet(rest: DataFrame, known: DataFrame) -> DataFrame:
-    """Links (u, v) between the components of each bucket, confirmed on full sets.
-
-    ``rest``: key, x (class, size and sketch), root, top (root of the bucket's largest component), n (members of the
-    bucket). A bucket is dealt into blocks of about ``BLOCK_MEMBERS`` members; each pair of blocks is a group of slim
-    rows of its own, in which the members outside the largest component meet the others. Only pairs whose sizes
-    and sketches allow 0.75 leave a group, and only for them the full sets are fetched."""
-    k = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("long")
-    rows = rest.select("key", "x.nid", F.col("x.n").alias("size"), *[f"x.s{j}" for j in range(4)], "root", "top", k.alias("k"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("nid"), F.col("k")))
+    """Links (u, v) between the components of each bucket, on full sets.
+
+    ``rest``: key, x (class, size and sketch), root, top (root of the bucket's largest component), n and long_ (members
+    and windows of the bucket). A bucket is dealt into blocks of about ``BLOCK_MEMBERS`` members or ``BLOCK_BYTES`` of
+    sets; each pair of blocks is a group of its own, in which the members of the one outside the largest component
+    meet those of the other. So a group holds two blocks at most, however large the bucket, and only links leave it."""
+    k = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("long_") * 8 / BLOCK_BYTES)).cast("long")
+    rows = rest.select("key", "x", "root", "top", k.alias("k")).join(known, F.col("x.nid") == F.col("rid"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("x.nid"), F.col("k")))
     blocks = F.sequence(F.lit(0).cast("long"), F.col("k") - 1)
-    data = ["nid", "size", "root", "top", *[f"s{j}" for j in range(4)]]
+    data = ["x.nid", "x.n", "root", "top", *[f"x.s{j}" for j in range(4)], "shingles"]
     placed = rows.select("key", F.explode(blocks).alias("i"), F.col("own").alias("j"), *data, F.lit(False).alias("minor"))
     sent = rows.filter("root <> top").select("key", F.col("own").alias("i"), F.explode(blocks).alias("j"), *data, F.lit(True).alias("minor"))
 
     def check(t: pa.Table) -> pa.Table:
-        nid, n, root, top = (t.column(c).to_numpy() for c in ("nid", "size", "root", "top"))
+        nid, n, root, top = (t.column(c).to_numpy() for c in ("nid", "n", "root", "top"))
         bits = np.stack([t.column(f"s{j}").to_numpy() for j in range(4)], 1)
         minor = t.column("minor").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
         here = np.flatnonzero(~minor)
-        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        u, v = [], []
         for y in np.flatnonzero(minor):
             can = here[(root[here] != root[y]) & ((root[here] == top[here]) | (nid[here] < nid[y]))]
             can = can[100 * np.minimum(n[can], n[y]) >= PERCENT * np.maximum(n[can], n[y])]
             can = can[np.bitwise_count((bits[can] ^ bits[y]).view(np.uint64)).sum(1) <= MAX_BITS]
-            u.append(np.minimum(nid[can], nid[y]))
-            v.append(np.maximum(nid[can], nid[y]))
-        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
+            if not len(can):
+                continue
+            ends = np.cumsum([len(sets[x]) for x in can])
+            pool = np.concatenate([sets[x] for x in can])
+            at = np.minimum(np.searchsorted(sets[y], pool), len(sets[y]) - 1)
+            common = np.add.reduceat((sets[y][at] == pool).astype(np.int64), np.concatenate([[0], ends[:-1]]))
+            for x in can[100 * common >= PERCENT * (n[can] + n[y] - common)]:
+                u.append(min(nid[x], nid[y]))
+                v.append(max(nid[x], nid[y]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    pairs = placed.union(sent).groupBy("key", "i", "j").applyInArrow(check, "u long, v long").distinct()
-    return confirm(stage(pairs, "pairs"), known)
+    return placed.union(sent).groupBy("key", "i", "j").applyInArrow(check, "u long, v long")
 
 
 def link_classes(members: DataFrame, docs: DataFrame, text: str, rid: str) -> DataFrame:
@@ -217,9 +224,9 @@ def link_classes(members: DataFrame, docs: DataFrame, text: str, rid: str) -> Da
     idle, turn = False, 0
     while True:
         placed = shared.join(roots, F.col("x.nid") == F.col("node"), "left").select("key", "x", F.coalesce("root", "x.nid").alias("root"))
-        of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("x.nid", F.lit(turn)).alias("h"), F.col("x"))).alias("p"))
-        open_ = of_root.groupBy("key").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("k"), F.min(F.struct("p", "root")).alias("pivot"))
-        open_ = stage(open_.filter("k > 1").select("key", F.col("top.root").alias("top"), F.col("pivot.p.x").alias("y"), F.col("pivot.root").alias("root2"), "n", (F.col("n") * (F.col("n") - F.col("top.m"))).alias("cost")), "open")
+        of_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("x.n").alias("long_"), F.min(F.struct(F.xxhash64("x.nid", F.lit(turn)).alias("h"), F.col("x"))).alias("p"))
+        open_ = of_root.groupBy("key").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("n"), F.sum("long_").alias("long_"), F.count(F.lit(1)).alias("k"), F.min(F.struct("p", "root")).alias("pivot"))
+        open_ = stage(open_.filter("k > 1").select("key", F.col("top.root").alias("top"), F.col("pivot.p.x").alias("y"), F.col("pivot.root").alias("root2"), "n", "long_", (F.col("n") * (F.col("n") - F.col("top.m"))).alias("cost")), "open")
         cost = open_.agg(F.sum(F.col("cost").cast("double"))).first()[0] or 0
         if not cost:
             return roots

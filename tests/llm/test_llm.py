@@ -255,6 +255,23 @@ def test_sharding(spark, table):
     assert all(r.grown_shard in (r.shard, 16) for r in rows)
 
 
+def test_near_bucket_of_several_blocks(spark, tmp_path, monkeypatch):
+    """Buckets that are dealt into many blocks give the links of whole ones."""
+    r = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    rows, base = [], [[r.choice(words) for _ in range(60)] for _ in range(6)]
+    for k in range(240):
+        w = list(base[k % 6])
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(len(w))] = f"n{r.randint(0, 9)}"
+        rows.append((k, " ".join(w)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = sorted((x.doc_id, x.component_id) for x in near_dedup.op7_query(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 3)
+    monkeypatch.setattr(near_dedup, "EASY", 10**9)  # everything meets after the first round
+    assert sorted((x.doc_id, x.component_id) for x in near_dedup.op7_query(spark, str(tmp_path)).collect()) == whole
+
+
 def test_near(spark, table):
     sets = []
     for i, t, *_ in ROWS:

@@ -8,8 +8,9 @@
    matrix is never formed), rounded with the error carried on, and never take more pieces
    than there are. The rest of the histogram is packed best-fit, in whole counts per step.
 3. The plan says which ranks of a length go to which sequences. A piece's rank in its
-   length is its place among those of the task that made it plus that task's first rank. So a length
-   that a third of all rows have is ranked in as many groups as there are tasks, and no two pieces tie.
+   length is its number among the pieces of that length that its task made (counted as they are
+   staged) plus that task's first rank. So no row is sorted or grouped for it, a length that a third of
+   all rows have is no hot group, and no two pieces tie.
 
 Nothing is dropped or capped; the plan's size depends on ``size`` only, not on the data.
 Null and empty texts are one end id. Empty tables give empty results.
@@ -38,12 +39,12 @@ ROWS_AT_ONCE = 256
 
 
 def pieces(df: DataFrame, text: str, id_col: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
-    """id, piece, start, length, ids_crc32, task and nth (the task that made it and its place there) and, if asked for, the ids."""
+    """id, piece, start, length, ids_crc32, task and nth (the task that made it and its number among those of its length there) and, if asked for, the ids."""
     src = df.select(col(id_col).alias("id"), text_or_empty(text).alias("t"))
     kind = dict(src.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nth, task = 0, TaskContext.get().partitionId()
+        seen, task = [0] * (size + 1), TaskContext.get().partitionId()
         for b in slices(batches, ROWS_AT_ONCE):
             owner, rows, raw = [], [], []
             for i, t in enumerate(b.column("t").to_pylist()):
@@ -52,10 +53,10 @@ def pieces(df: DataFrame, text: str, id_col: str, size: int = SIZE, with_ids: bo
                 for k, (s, e) in enumerate(zip(edges, edges[1:], strict=False)):
                     data = ids[s:e].tobytes()
                     owner.append(i)
-                    rows.append((k, s, e - s, zlib.crc32(data), task, nth))
+                    rows.append((k, s, e - s, zlib.crc32(data), task, seen[e - s]))
+                    seen[e - s] += 1
                     if with_ids:
                         raw.append(data)
-                    nth += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             arrays = [b.column("id").take(pa.array(owner, pa.int64())), pa.array(cols[0], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[1:]]]
             names = ["id", "piece", "start", "length", "ids_crc32", "task", "nth"]
@@ -191,8 +192,7 @@ def pack(staged: DataFrame, size: int = SIZE) -> DataFrame:
     sizes = staged.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("length", "task").orderBy("nth")
-    ranked = staged.withColumn("rank", F.row_number().over(inside) - 1).join(firsts, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("first"))
+    ranked = staged.join(firsts, ["length", "task"]).withColumn("rank", F.col("nth") + F.col("first"))
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:

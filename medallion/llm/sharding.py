@@ -6,7 +6,9 @@ rows only into itself, 1/(n+1) of them. A key always goes to one shard, so repea
 rows share a shard (that is the law, not skew that could be spread). Places inside a
 shard are numbered without ever sorting a whole shard in one task: a shard is divided
 into 4,096 buckets by the key's hash and the row's checksum, equal rows are counted
-first, and the bucket sizes (at most 4,096 rows a shard) give each bucket's first place.
+first, and the bucket sizes (at most 4,096 rows a shard) give each bucket's first place. Equal rows
+are written out again in runs of at most 65,536 places, dealt over all tasks, so that no array
+or task holds the copies of one row.
 
 Empty tables give empty results; null texts have size 1 (0 bytes plus 1) and checksum 0.
 """
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import col, read_table, stage
 
 BUCKETS = 4096
+RUN = 65_536
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -81,11 +84,16 @@ def number_places(df: DataFrame, shard: str, key: str, checksum: str, out: str =
     before = Window.partitionBy(col(shard)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select(col(shard).alias("_s"), F.col("_b").alias("_sb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     inside = Window.partitionBy(col(shard), "_b").orderBy("_h", *[col(c) for c in names]).rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    placed = (
         counted.withColumn("_done", F.coalesce(F.sum("_m").over(inside), F.lit(0)))
         .join(firsts, (F.col("_s") == col(shard)) & (F.col("_sb") == F.col("_b")))
-        .select(*[col(c) for c in names], F.explode(F.sequence(F.col("_first") + F.col("_done"), F.col("_first") + F.col("_done") + F.col("_m") - 1)).alias(out))
+        .withColumn("_from", F.col("_first") + F.col("_done"))
+        .withColumn("_upto", F.col("_from") + F.col("_m") - 1)
     )
+    # a number of partitions that is asked for isn't coalesced by size: a run is one small row here, but many later
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = placed.withColumn("_at", F.explode(F.sequence("_from", "_upto", F.lit(RUN)))).repartition(tasks, col(shard), "_at")
+    return runs.select(*[col(c) for c in names], F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + (RUN - 1), F.col("_upto")))).alias(out))
 
 
 def op5_query(spark: SparkSession, sf_dir: str) -> DataFrame:

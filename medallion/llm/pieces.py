@@ -13,6 +13,7 @@ otherwise the text is one word. Memory does not depend on a text's length beyond
 
 Decoding joins the pieces, byte pieces included, and takes the leading space away; U+2581 in a text
 comes back as a space (so does it in the reference implementation). Null texts count as empty, with no pieces.
+Repeated rows are encoded one by one; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm.common import col, read_table, text_or_empty
+from medallion.llm.common import col, read_table, slices, text_or_empty
 from medallion.llm.tokens import vocabulary_file
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 KEPT_WORDS = 500_000
+ROWS_AT_ONCE = 256
 
 
 class Pieces(dict):
@@ -130,7 +132,7 @@ def encode(df: DataFrame, text: str, id_col: str, model_file: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in batches:
+        for b in slices(batches, ROWS_AT_ONCE):
             ids = [m.encode(t).astype(np.int32) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
@@ -145,15 +147,15 @@ def decode(df: DataFrame, ids: str, id_col: str, model_file: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in batches:
+        for b in slices(batches, ROWS_AT_ONCE):
             texts = [m.decode(np.array(x or [], np.int64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [id_col, "text"])
 
     return src.mapInArrow(run, f"`{id_col}` {kind}, text string")
 
 
-def digests(df: DataFrame, text: str, id_col: str, model_file: str | None = None) -> DataFrame:
-    """id, n_pieces, n_byte_pieces, score, ids_crc32 and round_trip (decoding gives the text back, U+2581 as a space)."""
+def round_trips(df: DataFrame, text: str, id_col: str, model_file: str | None = None) -> DataFrame:
+    """id, ids, decoded (the ids' text), n_pieces, n_byte_pieces, score, ids_crc32 and round_trip (decoded is the text, U+2581 as a space)."""
     path = model_file or vocabulary_file(MODEL)
     src = df.select(col(id_col).alias(id_col), text_or_empty(text).alias("_t"))
     kind = dict(src.dtypes)[id_col]
@@ -162,19 +164,19 @@ def digests(df: DataFrame, text: str, id_col: str, model_file: str | None = None
         m = model(path)
         is_byte = np.zeros(len(m.scores), np.int64)
         is_byte[m.byte_ids] = 1
-        for b in batches:
+        for b in slices(batches, ROWS_AT_ONCE):
             rows = []
-            for t in b.column(1).to_pylist():
+            for t in b.column("_t").to_pylist():
                 ids = m.encode(t)
-                rows.append((len(ids), int(is_byte[ids].sum()), float(m.scores[ids].sum()), zlib.crc32(ids.tobytes()), m.decode(ids) == t.replace(SPACE, " ")))
-            c = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(x, k) for x, k in zip(c, kinds, strict=True)]], [id_col, "n_pieces", "n_byte_pieces", "score", "ids_crc32", "round_trip"]
-            )
+                back = m.decode(ids)
+                rows.append((ids.astype(np.int32), back, len(ids), int(is_byte[ids].sum()), float(m.scores[ids].sum()), zlib.crc32(ids.tobytes()), back == t.replace(SPACE, " ")))
+            c = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            kinds = [pa.list_(pa.int32()), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_()]
+            names = [id_col, "ids", "decoded", "n_pieces", "n_byte_pieces", "score", "ids_crc32", "round_trip"]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(c, kinds, strict=True)]], names)
 
-    return src.mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, n_byte_pieces long, score double, ids_crc32 long, round_trip boolean")
+    return src.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string, n_pieces long, n_byte_pieces long, score double, ids_crc32 long, round_trip boolean")
 
 
 def op4_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(read_table(spark, sf_dir, "documents"), "text", "doc_id")
+    return round_trips(read_table(spark, sf_dir, "documents"), "text", "doc_id")

@@ -185,24 +185,18 @@ def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
     Null texts stay null. Of overlapping spans the union is replaced, by the name of the first. ``df``
     must be a file scan (see ``keyed``)."""
     rows, rid = keyed(df)
-    order = F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("e"), "kind")))
-    lists = fresh(rows, "_spans")
-    per_row = spans(rows, text, rid).groupBy(F.col("rid").alias(rid)).agg(order.alias(lists))
     # cuts: for each span that does not begin inside the ones before it, the kept text before it and the replacement
-    reach = F.transform(col(lists), lambda x, i: F.struct(x["start"].alias("s"), (-x["e"]).alias("e"), x["kind"].alias("k")))
-    step = F.aggregate(
-        reach,
-        F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<a:bigint,b:bigint,k:string>>").alias("cuts")),
-        lambda acc, x: F.when(
-            x["s"] >= acc["end"], F.struct(x["e"].alias("end"), F.concat(acc["cuts"], F.array(F.struct(acc["end"].alias("a"), x["s"].alias("b"), x["k"].alias("k")))).alias("cuts"))
-        ).otherwise(F.struct(F.greatest(acc["end"], x["e"]).alias("end"), acc["cuts"].alias("cuts"))),
-    )
+    before = Window.partitionBy("rid").orderBy("start", F.col("end").desc(), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    found = spans(rows, text, rid).withColumn("upto", F.coalesce(F.max("end").over(before), F.lit(0)).cast("long"))
+    cut = F.when(F.col("start") >= F.col("upto"), F.struct(F.col("upto").alias("a"), F.col("start").alias("b"), F.col("kind").alias("k")))
+    state = fresh(rows, "_state")
+    per_row = found.groupBy(F.col("rid").alias(rid)).agg(F.struct(F.sort_array(F.collect_list(cut)).alias("cuts"), F.max("end").alias("end")).alias(state))
     name = lambda k: F.when(k == "remove", "").when(k == "generalise", "<TERM>").otherwise(F.concat(F.lit("<"), F.upper(k), F.lit(">")))
-    state, t = fresh(rows, "_state"), col(text)
-    out = rows.join(per_row, rid, "left").withColumn(state, F.when(col(lists).isNotNull() & t.isNotNull(), step))
+    t = col(text)
+    out = rows.join(per_row, rid, "left")
     pieces = F.transform(col(state)["cuts"], lambda c: F.concat(F.substring(t, (c["a"] + 1).cast("int"), (c["b"] - c["a"]).cast("int")), name(c["k"])))
     new = F.concat(F.array_join(pieces, ""), F.substring(t, (col(state)["end"] + 1).cast("int"), F.length(t)))
-    out = out.withColumn(text, F.when(col(state).isNull(), t).otherwise(new))
+    out = out.withColumn(text, F.when(col(state).isNull() | t.isNull(), t).otherwise(new))
     return out.select(*[col(c) for c in df.columns])
 
 

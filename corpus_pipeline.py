@@ -1,7 +1,10 @@
 """Corpus pipeline: quality rules, exact dedup, near dedup, personal data, packing.
 
 Each stage takes the rows its predecessor kept (read back from Parquet) and works on all of
-them. All but the last return the columns of ``documents``; the last returns packed pieces.
+them. All but the last return the columns of ``documents``; the last returns packed pieces
+with their token ids (``ids``: little-endian unsigned 32-bit), so the training sequences are its rows
+by sequence_id and offset. Of equal texts the longest row stays, then the smallest doc_id; of near
+copies the smallest doc_id. Extra columns, whatever their names, go through all stages but the last.
 Empty tables pass through as empty tables; null texts are judged as empty ones.
 """
 
@@ -30,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, with_ids=True)
 
 
 STAGES = [

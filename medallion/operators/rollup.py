@@ -7,18 +7,24 @@ after multiplies rows and, with several COUNT(DISTINCT), makes Catalyst expand
 every row once per distinct aggregate before two shuffles.
 
 Here each level is reduced to *path counts*: ``(group, node_id, _w)`` where
-``_w`` is how many joined rows reach ``node_id`` from ``group``. Descending one
-level is a join of that (small, already aggregated) table with the child table
-on the child's parent key, followed by a re-aggregation. Then
+``_w`` is how many joined rows reach ``node_id`` from ``group`` (0 where the id
+is null: such a row only keeps its group). Descending one level is a join of
+that (small, already aggregated) table with the child table on the child's
+parent key, followed by a re-aggregation. Then
 
-* distinct count of level k per group = number of non-null node ids in the
-  level-k path table (its rows are unique per (group, id));
+* distinct count of level k per group = number of distinct ids in the level-k
+  path table;
 * SUM(CASE ...) over joined rows = sum of ``_w * condition`` over leaf rows.
 
 Both are exact for any data (duplicate keys included); nothing assumes unique
 ids. The only pass over the big leaf table is one join with the level above
 (AQE broadcasts that side when its measured size allows, else sort-merge) and
 one aggregate with a map-side partial step.
+
+Every consumer of a path table reads it through ``live`` or ``distinct_nodes``.
+Both test ``_w``, an aggregate's output, so no null filter is pushed below that
+aggregate for one of them only: the consumers' plans stay alike, Spark runs the
+level's exchange once and reuses it, and each table is scanned once.
 """
 
 from __future__ import annotations
@@ -32,33 +38,43 @@ W = "_w"
 
 
 def root_paths(root: DataFrame, group: Sequence[str], node: str) -> DataFrame:
-    """Path counts at the root level: rows of ``root`` per (group, node)."""
+    """Path counts at the root level: rows of ``root`` per (group, node), 0 for a null node."""
     cols = list(dict.fromkeys([*group, node]))
-    return root.groupBy(*cols).agg(F.count(F.lit(1)).alias(W))
+    return root.groupBy(*cols).agg(F.count(node).alias(W))
 
 
-def descend(paths: DataFrame, group: Sequence[str], node: str, child: DataFrame, parent_key: str, child_node: str) -> DataFrame:
-    """Path counts one level down: ``paths`` joined to ``child`` on ``child.parent_key = paths.node``.
+def live(paths: DataFrame, group: Sequence[str], node: str, name: str) -> DataFrame:
+    """The rows of a path table that have an id: group columns, the id as ``name``, ``_w``.
 
-    Null parent ids never match an equi-join, so they are dropped before the
-    join (this also keeps a null-key hot spot out of the shuffle).
+    Null ids never match an equi-join, so this also keeps a null-key hot spot out of the shuffle.
     """
-    up = paths.filter(F.col(node).isNotNull()).select(*group, F.col(node).alias("_parent"), W)
+    there = F.col(W) > 0
+    return paths.filter(there).select(*group, F.when(there, F.col(node)).alias(name), W)
+
+
+def descend(paths: DataFrame, group: Sequence[str], node: str, child: DataFrame, parent_key: str, child_node: str) -> DataFrame:
+    """Path counts one level down: ``paths`` joined to ``child`` on ``child.parent_key = paths.node``."""
+    up = live(paths, group, node, "_parent")
     down = child.filter(F.col(parent_key).isNotNull()).select(F.col(parent_key).alias("_parent"), F.col(child_node).alias("_child"))
     joined = up.join(down, "_parent")
-    return joined.groupBy(*group, F.col("_child").alias(child_node)).agg(F.sum(W).alias(W))
+    weight = F.when(F.col("_child").isNotNull(), F.col(W)).otherwise(0)
+    return joined.groupBy(*group, F.col("_child").alias(child_node)).agg(F.sum(weight).alias(W))
 
 
-def distinct_nodes(paths: DataFrame, by: Sequence[str], node: str, name: str) -> DataFrame:
-    """COUNT(DISTINCT node) per ``by`` from a path table.
+def distinct_nodes(levels: Sequence[tuple[DataFrame, str, str]], by: Sequence[str]) -> DataFrame:
+    """COUNT(DISTINCT node) per ``by`` for several path tables at once; ``levels``: (path table, node, output name).
 
-    When ``by`` + ``node`` are all of the path table's keys, its rows are
-    already unique and a plain count of non-null ids is enough.
+    The levels are stacked, each id in a column of its own, and share one distinct and one count. Every
+    group of any level has a row.
     """
-    keys = set(paths.columns) - {W}
-    if keys == set(by) | {node}:
-        return paths.groupBy(*by).agg(F.count(node).alias(name))
-    return paths.groupBy(*by).agg(F.countDistinct(node).alias(name))
+    names = [name for _, _, name in levels]
+    stacked: DataFrame | None = None
+    for paths, node, name in levels:
+        rows = paths.select(*by, F.when(F.col(W) > 0, F.col(node)).alias(name))
+        stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
+    if stacked is None:
+        raise ValueError("no levels")
+    return stacked.distinct().groupBy(*by).agg(*[F.count(name).alias(name) for name in names])
 
 
 def fold_stats(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import safe_percent, weighted_count_where
-from medallion.operators.rollup import W, descend, distinct_nodes, fold_stats, root_paths
+from medallion.operators.rollup import W, descend, distinct_nodes, fold_stats, live, root_paths
 from medallion.plans.gold.common import need, stamp
 
 NAME = "freezer_utilization_summary"
@@ -42,8 +42,7 @@ def per_freezer_stats(silver: Mapping[str, DataFrame]) -> DataFrame:
     boxes = descend(racks, key, "rack_id", box, "rack_id", "box_id")
     pos = position.select("box_id", "position_id", "is_occupied").filter(F.col("box_id").isNotNull())
     leaf = (
-        boxes.filter(F.col("box_id").isNotNull())
-        .select("freezer_id", "box_id", W)
+        live(boxes, key, "box_id", "box_id")
         .join(pos, "box_id")
         .groupBy("freezer_id")
         .agg(
@@ -52,14 +51,8 @@ def per_freezer_stats(silver: Mapping[str, DataFrame]) -> DataFrame:
             weighted_count_where(F.col("is_occupied") == AVAILABLE, W).alias("_available"),
         )
     )
-    return fold_stats(
-        [
-            distinct_nodes(racks, key, "rack_id", "total_racks"),
-            distinct_nodes(boxes, key, "box_id", "total_boxes"),
-            leaf,
-        ],
-        key,
-    )
+    upper = distinct_nodes([(racks, "rack_id", "total_racks"), (boxes, "box_id", "total_boxes")], key)
+    return fold_stats([upper, leaf], key)
 
 
 def build(silver: Mapping[str, DataFrame], as_of: datetime | Column | None = None) -> DataFrame:

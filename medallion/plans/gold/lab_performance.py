@@ -3,9 +3,10 @@
 lims_sample -> accession -> analysis -> result, all left joins. The upper
 levels become path counts keyed by (lab_id, received_datetime, node); the
 received time is carried because turnaround is TIMESTAMPDIFF(HOUR) between the
-sample's receipt and each result, which does not split into sums. The result
-table is read once, joined to the analysis-level paths and aggregated per lab
-with a single COUNT(DISTINCT result_id).
+sample's receipt and each result, which does not split into sums. Each table is
+read once: the upper levels' distinct counts share one distinct over the stacked
+paths, whose exchanges the next level reuses. The results are joined to the
+analysis-level paths and aggregated per lab with a single COUNT(DISTINCT result_id).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import hours_between, weighted_count_where
-from medallion.operators.rollup import W, descend, distinct_nodes, fold_stats, root_paths
+from medallion.operators.rollup import W, descend, distinct_nodes, fold_stats, live, root_paths
 from medallion.plans.gold.common import need, stamp
 
 NAME = "lab_performance"
@@ -35,7 +36,7 @@ def build(silver: Mapping[str, DataFrame], as_of: datetime | Column | None = Non
     res = result.select("analysis_id", "result_id", "result_status", "abnormal_flag", "critical_flag", "result_datetime")
     hours = F.col("_hours")
     leaf = (
-        analyses.filter(F.col("analysis_id").isNotNull())
+        live(analyses, carry, "analysis_id", "analysis_id")
         .join(res.filter(F.col("analysis_id").isNotNull()), "analysis_id")
         .withColumn("_hours", hours_between("received_datetime", "result_datetime"))
         .groupBy(*lab)
@@ -50,17 +51,15 @@ def build(silver: Mapping[str, DataFrame], as_of: datetime | Column | None = Non
             F.max("result_datetime").alias("latest_result_datetime"),
         )
     )
-    labs = sample.select(*lab).distinct()
-    stats = fold_stats(
+    upper = distinct_nodes(
         [
-            labs,
-            distinct_nodes(samples, lab, "sample_id", "total_samples"),
-            distinct_nodes(accessions, lab, "accession_id", "total_accessions"),
-            distinct_nodes(analyses, lab, "analysis_id", "total_analyses"),
-            leaf,
+            (samples, "sample_id", "total_samples"),
+            (accessions, "accession_id", "total_accessions"),
+            (analyses, "analysis_id", "total_analyses"),
         ],
         lab,
     )
+    stats = fold_stats([upper, leaf], lab)
 
     def zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0)).alias(c)

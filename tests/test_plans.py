@@ -4,6 +4,7 @@ no unconditional broadcast of growing data."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import __spark_entry__ as E
 
@@ -37,3 +38,16 @@ def test_no_hint_broadcast_in_marts(spark):
         if name.startswith("gold_"):
             plan = E.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
             assert "broadcast" not in plan.lower(), name
+
+
+def test_marts_scan_each_table_once(spark):
+    """Distinct counts of several levels reuse the exchange of each level's paths."""
+    for mart, tables in {
+        "gold_lab_performance": ("nation", "customer", "orders", "lineitem"),
+        "gold_freezer_utilization_summary": ("region", "nation", "supplier", "lineitem"),
+    }.items():
+        df = E.queries()[mart](spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        read = Counter(re.findall(r"FileScan.*/(\w+)\.parquet", final))
+        assert read == dict.fromkeys(tables, 1), (mart, read)

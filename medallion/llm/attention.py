@@ -1,8 +1,9 @@
-"""A small causal self-attention model over token classes, trained and run in numpy.
+"""A small causal self-attention model over tokens, trained and run in numpy.
 
-The model has one attention head over windows of ``WINDOW`` classes. Windows overlap by half: the
-second half's next classes are scored, each once, with the first half as context. Positions before a
-document's start (and after its end, which no scored position sees) hold a class of their own, ``none``.
+The model has one attention head over windows of ``WINDOW`` tokens and predicts the next token's class.
+Windows overlap by half: the second half's next tokens are scored, each once, with the first half as
+context. Positions before a document's start (and after its end, which no scored position sees) hold a
+token of their own, ``none``.
 """
 
 from __future__ import annotations
@@ -38,17 +39,19 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def windows(classes: np.ndarray, lengths: np.ndarray, start: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(ids: np.ndarray, lengths: np.ndarray, start: int, none: int, goals: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of inputs, their scored targets (-1: no target) and their document's place, for documents in a row.
 
-    ``start`` is the class that stands before a document's first; every length is at least 1."""
+    ``start`` is the id that stands before a document's first; every length is at least 1. ``goals`` are the
+    classes to predict, one for each id (without: the ids themselves)."""
     rows = -(-lengths // HALF)
     at = np.cumsum((rows + 2) * HALF) - (rows + 2) * HALF  # a document's place among all padded ones
     size = int((rows + 2).sum()) * HALF
-    inputs, targets = np.full(size, none, np.int16), np.full(size + 1, -1, np.int16)
-    place = np.arange(len(classes)) + np.repeat(at + HALF + 1 - (np.cumsum(lengths) - lengths), lengths)
+    inputs, targets = np.full(size, none, np.int32), np.full(size + 1, -1, np.int16)
+    place = np.arange(len(ids)) + np.repeat(at + HALF + 1 - (np.cumsum(lengths) - lengths), lengths)
     inputs[at + HALF] = start
-    inputs[place] = targets[place] = classes
+    inputs[place] = ids
+    targets[place] = ids if goals is None else goals
     owner = np.repeat(np.arange(len(rows)), rows)
     n = np.arange(len(owner)) + 2 * owner  # windows begin at every half; the last two of a document run over its end
     view = np.lib.stride_tricks.sliding_window_view
@@ -77,7 +80,7 @@ def _attend(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, .
 
 
 def tables(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Key, value, query and input of every class and of every place: a window's are sums of two.
+    """Key, value, query and input of every token and of every place: a window's are sums of two.
 
     Values have one more column of ones: it sums the attention, and meets the bias as one more row of ``o``."""
     q, column = w["q"] * np.float32(WIDTH**-0.5), lambda m, last: np.pad(m, ((0, 0), (0, 1)), constant_values=last)
@@ -140,16 +143,36 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
 
 
 class Adam:
-    """Adam over all weights as one vector."""
+    """Adam over the class model's weights as one vector, and over the token rows that a batch uses.
 
-    def __init__(self, values: np.ndarray, like: dict[str, np.ndarray], rate: float):
+    A token's input is its class's row of ``e`` plus a row of its own (``rows``), so a token seen seldom
+    falls back on its class. Rows that a batch doesn't use stay as they are.
+    """
+
+    def __init__(self, values: np.ndarray, rows: np.ndarray, class_of: np.ndarray, like: dict[str, np.ndarray], rate: float):
         self.values, self.like, self.rate, self.n = values.astype(np.float32), like, rate, 0
-        self.m, self.s = np.zeros_like(self.values), np.zeros_like(self.values)
+        self.rows, self.class_of = rows.astype(np.float32), class_of
+        self.uses = np.zeros(len(rows), np.int64)
+        self._m, self._s = np.zeros_like(self.values), np.zeros_like(self.values)
+        self._row_m, self._row_s = np.zeros_like(self.rows), np.zeros_like(self.rows)
+
+    def _move(self, d: np.ndarray, m: np.ndarray, s: np.ndarray) -> np.ndarray:
+        m += np.float32(0.1) * (d - m)
+        s += np.float32(0.01) * (d * d - s)
+        scale = self.rate / (1 - 0.9**self.n) * np.sqrt(1 - 0.99**self.n)
+        return np.float32(scale) * m / (np.sqrt(s) + np.float32(1e-8))
 
     def step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
-        d = flat(gradients(shaped(self.values, self.like), inputs, targets))
+        used, at, n = np.unique(inputs, return_inverse=True, return_counts=True)
+        kinds = self.class_of[used]
+        w = shaped(self.values, self.like)
+        g = gradients(w | {"e": w["e"][kinds] + self.rows[used]}, at.reshape(inputs.shape), targets)
+        own = g["e"]
+        shared = np.zeros_like(w["e"])
+        np.add.at(shared, kinds, own)
         self.n += 1
-        self.m += np.float32(0.1) * (d - self.m)
-        self.s += np.float32(0.01) * (d * d - self.s)
-        scale = self.rate / (1 - 0.9**self.n) * np.sqrt(1 - 0.99**self.n)
-        self.values -= np.float32(scale) * self.m / (np.sqrt(self.s) + np.float32(1e-8))
+        self.uses[used] += n
+        self.values -= self._move(flat(g | {"e": shared}), self._m, self._s)
+        m, s = self._row_m[used], self._row_s[used]
+        self.rows[used] -= self._move(own, m, s)
+        self._row_m[used], self._row_s[used] = m, s

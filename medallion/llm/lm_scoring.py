@@ -10,11 +10,14 @@ count as empty texts.
 2. Token counts and the counts of what stands before them over all training documents (tables bounded
    by the tokenizer's vocabulary) give classes: the most frequent tokens alone, the rest by k-means; and
    P(token | its class, the class before it), smoothed by P(token | its class).
-3. The attention model over classes is trained in rounds: each task runs Adam over the share of its training
-   documents that the row number's hash gives the round; Spark averages the weights (weighted by windows). The
-   rounds' shares are disjoint and together hold every training document.
-4. A token's probability is P(its class | the classes before it) by the attention model, times the table's.
-   Every token is scored once in overlapping windows with batched masked attention (``attention.py``).
+3. The attention model reads token ids, a row of weights for each id beside its class's, and predicts the next
+   token's class. It is trained in rounds: each task runs Adam over the share of its training documents that the
+   row number's hash gives the round; Spark averages the weights (weighted by windows; a token's row by its uses).
+   The rounds' shares are disjoint and together hold every training document. Which documents one task
+   trains on follows the table's files, so scores differ a little when the same rows are stored in other files.
+4. A token's probability is a softmax in two levels over all ids: P(its class | the ids before it) by the attention
+   model, times the table's P(token | its class, the class before). Every token is scored once in overlapping
+   windows with batched masked attention (``attention.py``).
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from medallion.llm import attention, tokens
 from medallion.llm.common import col, keyed, read_table, stage, text_or_empty
 
 CHUNK_BYTES = 1 << 24
+WORD_BITS = 27  # of a word's place: its number in its chunk (a single text may be longer than a chunk)
 ALONE, CLUSTERS, CONTEXTS = 24, 40, 32
 CLASSES = ALONE + CLUSTERS
 ROUNDS, BATCH, RATE = 3, 32, 0.02
@@ -67,7 +71,7 @@ def split_texts(df: DataFrame, text: str, id_col: str, rid: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        chunk = TaskContext.get().partitionId() << 16
+        chunk = TaskContext.get().partitionId() << 16  # with WORD_BITS, room for 2**20 partitions
         rows: list[tuple] = []
         number = Numbers()
         train: list[np.ndarray] = []
@@ -75,6 +79,8 @@ def split_texts(df: DataFrame, text: str, id_col: str, rid: str) -> DataFrame:
         size, id_type = 0, None
 
         def close() -> Iterator[pa.RecordBatch]:
+            if len(number) > 1 << WORD_BITS:
+                raise ValueError(f"a text with over {1 << WORD_BITS} different words")
             counts = np.bincount(np.concatenate(train), minlength=len(number)) if train else np.zeros(len(number), np.int64)
             used = np.bincount(np.concatenate(recent), minlength=tokens.VOCABULARY) if recent else np.zeros(tokens.VOCABULARY, np.int64)
             n = len(rows)
@@ -115,7 +121,7 @@ def base_scores(split: DataFrame) -> DataFrame:
     """rid, id, held_out, n_tokens, n_known, train_tokens, base_score of the word unigram model."""
     docs = split.filter("rid IS NOT NULL")
     words = split.filter("vocabulary IS NOT NULL").select("chunk", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("at", "x"))
-    place = F.shiftleft(F.col("chunk"), 24).bitwiseOR(F.col("at").cast("long"))  # a chunk has under 2**24 words
+    place = F.shiftleft(F.col("chunk"), WORD_BITS).bitwiseOR(F.col("at").cast("long"))
     words = words.select(place.alias("place"), F.col("x.vocabulary").alias("word"), F.col("x.counts").cast("int").alias("n"))
     same = Window.partitionBy("word")
     known = words.select("place", "n", F.sum("n").over(same).alias("c"), (F.col("place") == F.min("place").over(same)).alias("first"))
@@ -142,8 +148,8 @@ def base_scores(split: DataFrame) -> DataFrame:
         )
 
     left = docs.select("chunk", "rid", "id", "held_out", "words").groupBy("chunk")
-    at = F.col("place").bitwiseAND(F.lit((1 << 24) - 1)).cast("int")
-    right = known.select(F.shiftright("place", 24).alias("chunk"), at.alias("at"), "c").groupBy("chunk")
+    at = F.col("place").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
+    right = known.select(F.shiftright("place", WORD_BITS).alias("chunk"), at.alias("at"), "c").groupBy("chunk")
     return left.cogroup(right).applyInArrow(score, f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double")
 
 
@@ -204,11 +210,25 @@ def classes_of(counts: np.ndarray, before: np.ndarray) -> np.ndarray:
     return out
 
 
+def initial_weights() -> np.ndarray:
+    """Weights before training: the class model's, then a row of zeros for every id and for the place outside a text."""
+    model = attention.flat(attention.initial(CLASSES))
+    return np.concatenate([model, np.zeros((tokens.VOCABULARY + 1) * attention.WIDTH)])
+
+
+def _parts(weights: np.ndarray, like: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The class model's weights and the rows of the ids."""
+    model = sum(x.size for x in like.values())
+    return weights[:model], weights[model:].reshape(-1, attention.WIDTH)
+
+
 def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn: int) -> np.ndarray:
     like = attention.initial(CLASSES)
+    shared = df.sparkSession.sparkContext.broadcast((class_of, weights.astype(np.float32)))  # a row for each id: 3 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opt = attention.Adam(weights, like, RATE / (turn + 1))
+        class_of, weights = shared.value
+        opt = attention.Adam(*_parts(weights, like), np.append(class_of, CLASSES), like, RATE / (turn + 1))
         held: list[tuple[np.ndarray, ...]] = []
         have = used = 0
 
@@ -221,7 +241,7 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
 
         for b in _slices(batches):
             ids, _, _, lengths = _ids(b)
-            held.append(attention.windows(class_of[ids], lengths, class_of[tokens.END_ID], CLASSES))
+            held.append(attention.windows(ids, lengths, tokens.END_ID, tokens.VOCABULARY, class_of[ids]))
             have += len(held[-1][0])
             if have >= 64 * BATCH:  # many documents at a time, mixed
                 used += learn()
@@ -229,20 +249,22 @@ def train_round(df: DataFrame, class_of: np.ndarray, weights: np.ndarray, turn:
         if have:
             used += learn()
         if used:
-            values = opt.values.astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array(values * used), pa.array([used] * len(values), pa.int64())], ["at", "w", "n"])
+            model = len(opt.values)
+            seen = np.flatnonzero(opt.uses)
+            at = np.concatenate([np.arange(model), (model + seen[:, None] * attention.WIDTH + np.arange(attention.WIDTH)).ravel()])
+            n = np.concatenate([np.full(model, used), np.repeat(opt.uses[seen], attention.WIDTH)])
+            values = np.concatenate([opt.values, opt.rows[seen].ravel()]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(values * n), pa.array(n, pa.int64())], ["at", "w", "n"])
 
     mine = F.pmod(F.xxhash64("rid"), F.lit(ROUNDS)) == turn  # a document is in one round, no document in none
     rows = df.filter(mine).select("ids").mapInArrow(run, "at int, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
-    if rows.empty:  # no training document has this round
-        return weights
-    out = np.zeros(len(weights))
-    out[rows["at"].to_numpy()] = rows["w"].to_numpy()
-    return out.round(5)  # sums in any order of the tasks give the same weights
+    out = weights.astype(np.float64)  # a row no document of the round uses stays, as all do without documents
+    out[rows["at"].to_numpy(np.int64)] = rows["w"].to_numpy(np.float64).round(5)  # sums in any order of the tasks give the same weights
+    return out
 
 
 def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each token, log10 P(token | its class, class before), weights of the class model."""
+    """Class of each token, log10 P(token | its class, class before), weights (see ``initial_weights``)."""
     train = split.filter("rid IS NOT NULL AND NOT held_out").select("rid", "ids")
     used = split.filter("token_counts IS NOT NULL").select(F.posexplode("token_counts").alias("at", "n")).filter("n > 0")
     used = used.groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # at most the tokenizer's vocabulary
@@ -260,7 +282,7 @@ def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         seen = np.bincount(class_of, after[a], CLASSES)
         kinds = np.maximum(np.bincount(class_of, after[a] > 0, CLASSES), 1.0)
         inside[a] = np.log10((after[a] + kinds[class_of] * own) / (seen + kinds)[class_of])
-    weights = attention.flat(attention.initial(CLASSES)).astype(np.float64)
+    weights = initial_weights()
     for turn in range(ROUNDS):
         weights = train_round(train, class_of, weights, turn)
     return class_of, inside, weights
@@ -269,18 +291,19 @@ def fit(split: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def model_scores(split: DataFrame) -> DataFrame:
     """rid, score: log10 probability of each whole document under the attention model."""
     class_of, inside, weights = fit(split)
-    like = attention.initial(CLASSES)
-
-    shared = split.sparkSession.sparkContext.broadcast((class_of, inside))  # CLASSES by the tokenizer's vocabulary: 13 MB
+    model, rows = _parts(weights.astype(np.float32), attention.initial(CLASSES))
+    w = attention.shaped(model, attention.initial(CLASSES))
+    w["e"] = w["e"][np.append(class_of, CLASSES)] + rows
+    shared = split.sparkSession.sparkContext.broadcast((class_of, inside, w))  # CLASSES by the tokenizer's vocabulary, and its rows: 16 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = attention.tables(attention.shaped(weights, like))
-        classes, table = shared.value
+        classes, table, w = shared.value
+        w = attention.tables(w)
         table = table.ravel()
         for b in _slices(batches):
             ids, before, first, lengths = _ids(b)
             total = np.add.reduceat(np.take(table, classes[before] * tokens.VOCABULARY + ids), first, dtype=np.float64)
-            x, y, owner = attention.windows(classes[ids], lengths, classes[tokens.END_ID], CLASSES)
+            x, y, owner = attention.windows(ids, lengths, tokens.END_ID, tokens.VOCABULARY, classes[ids])
             for i in range(0, len(x), SCORE_BATCH):
                 got = attention.log_probs(w, x[i : i + SCORE_BATCH], y[i : i + SCORE_BATCH]).sum(1, dtype=np.float64) / math.log(10)
                 total += np.bincount(owner[i : i + SCORE_BATCH], got, len(lengths))

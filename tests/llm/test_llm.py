@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 
 from medallion.llm import bwt, components, exact_dedup, lm_scoring, near_dedup, packing, pieces, pii, quality, queries, sharding, substring_dedup, tokens, url_filters
+from medallion.llm.common import keyed, stage
 
 SCHEMA = "doc_id long, text string, rid string, id string, n long, _rid long, t string, spans string"
 BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -147,9 +148,7 @@ def test_lm_learns(spark):
 
 
 def test_lm_trains_on_every_document(spark):
-    from medallion.llm import attention
-
-    start = attention.flat(attention.initial(lm_scoring.CLASSES)).astype(np.float64)
+    start = lm_scoring.initial_weights()
     class_of = (np.arange(tokens.VOCABULARY) % lm_scoring.CLASSES).astype(np.int32)
     ids = bytearray(np.arange(40, dtype="<u2").tobytes())
     for rid in range(6):
@@ -158,6 +157,37 @@ def test_lm_trains_on_every_document(spark):
         assert sum(moved) == 1
 
 
+def test_lm_score_equals_token_by_token(spark):
+    """Every token's probability from its own context, one at a time, by the fitted weights."""
+    from medallion.llm import attention
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows, rid = keyed(df)
+    split = stage(lm_scoring.split_texts(rows, "text", "doc_id", rid), "split")
+    class_of, inside, weights = lm_scoring.fit(split)
+    w = attention.shaped(weights, attention.initial(lm_scoring.CLASSES))
+    own = weights[sum(x.size for x in w.values()) :].reshape(-1, attention.WIDTH)
+    assert len(own) == tokens.VOCABULARY + 1 and np.abs(own).sum(1).astype(bool).sum() > 500  # ids have rows of their own
+    e = w["e"][np.append(class_of, lm_scoring.CLASSES)] + own
+    got = {r.rid: r.score for r in lm_scoring.model_scores(split).collect()}
+    docs = split.filter("rid IS NOT NULL").select("rid", "ids").collect()
+    for r in sorted(docs, key=lambda r: len(r.ids))[:: len(docs) // 8]:
+        ids = np.frombuffer(r.ids, "<u2").astype(int)
+        total = 0.0
+        for t, goal in enumerate(ids):
+            first = t // attention.HALF * attention.HALF - attention.HALF  # of the window that scores place t
+            seen = [tokens.VOCABULARY if j < 0 else tokens.END_ID if j == 0 else ids[j - 1] for j in range(first, t + 1)]
+            x = e[seen] + w["p"][: len(seen)]
+            a = np.exp((x @ w["k"]) @ (x[-1] @ w["q"]) / attention.WIDTH**0.5)
+            h = x[-1] + (a / a.sum()) @ (x @ w["v"])
+            z = h @ w["o"] + w["b"]
+            c = class_of[goal]
+            before = class_of[tokens.END_ID if t == 0 else ids[t - 1]]
+            total += (z[c] - np.log(np.exp(z).sum())) / np.log(10) + inside[before, goal]
+        assert got[r.rid] == pytest.approx(total, rel=1e-4)
+    assert np.allclose((10.0**inside).sum(1), lm_scoring.CLASSES, rtol=1e-3)  # within each class, probabilities add to 1
+
+
 def test_attention_gradients():
     from medallion.llm import attention
 

@@ -207,6 +207,34 @@ def test_attention_gradients():
     assert np.allclose(np.exp(attention.log_probs(attention.tables(w), np.repeat(x[:1], 5, 0), np.repeat(np.arange(5)[:, None], 16, 1))).sum(0), 1, atol=1e-5)
 
 
+def test_adam_steps_as_dense():
+    """Token rows, their moments and uses after some steps, by Adam over plain dictionaries of rows."""
+    from medallion.llm import attention
+
+    r = np.random.default_rng(8)
+    classes, size = 5, 40
+    class_of = np.append(r.integers(0, classes, size), classes)
+    like = attention.initial(classes)
+    values, rows = attention.flat(like), (r.standard_normal((size + 1, attention.WIDTH)) * 0.1).astype(np.float32)
+    opt = attention.Adam(values, rows, class_of, like, 0.02)
+    want, first, second = rows.astype(np.float64), np.zeros(rows.shape), np.zeros(rows.shape)
+    uses = np.zeros(size + 1, np.int64)
+    for n in range(1, 6):
+        ids = r.integers(0, size // 2 if n % 2 else size, 90)  # some ids come back, some don't
+        x, y, _ = attention.windows(ids, np.array([30, 60]), 7, size, class_of[ids])
+        w = attention.shaped(opt.values.copy(), like)
+        g = attention.gradients(w | {"e": w["e"][class_of] + opt.rows}, x, y)["e"].astype(np.float64)
+        opt.step(x, y)
+        for i in set(x.ravel().tolist()):
+            uses[i] += int((x == i).sum())
+            first[i] = 0.9 * first[i] + 0.1 * g[i]
+            second[i] = 0.99 * second[i] + 0.01 * g[i] ** 2
+            want[i] -= 0.02 * (first[i] / (1 - 0.9**n)) / (np.sqrt(second[i] / (1 - 0.99**n)) + 1e-8 / np.sqrt(1 - 0.99**n))
+    assert opt.uses.tolist() == uses.tolist()
+    assert np.allclose(opt.rows, want, atol=1e-4)
+    assert (opt.rows[uses == 0] == rows[uses == 0]).all() and not np.allclose(opt.values, values)
+
+
 def test_exact(spark, table):
     groups: dict[str, list] = {}
     for i, t, *_ in ROWS:

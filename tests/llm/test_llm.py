@@ -395,6 +395,21 @@ def test_suffix(spark, table, monkeypatch, many):
     assert sorted(map(tuple, substring_dedup.op8_query(spark, table).collect()), key=key) == sorted(want, key=key)
 
 
+def test_suffix_stages_only_what_is_read_twice_or_dear(spark, table, monkeypatch):
+    names, joins = [], {}
+
+    def recorded(df, name):
+        names.append(name)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins[name] = plan.count("SortMergeJoin") + plan.count("HashJoin")
+        return stage(df, name)
+
+    monkeypatch.setattr(substring_dedup, "stage", recorded)
+    substring_dedup.op8_query(spark, table)
+    assert sorted(names) == ["digests", "judged", "segments", "shared-segments", "texts", "windows"]
+    assert joins["texts"] == 2  # digests with their minimiser's count, then with the documents: fetched texts aren't joined again
+
+
 def test_tokens_equal_the_json_vocabulary():
     from tokenizers import Tokenizer
 
